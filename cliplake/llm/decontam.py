@@ -7,14 +7,16 @@ each document and item the values that the slots hold on both sides must map
 consistently, as they do when a question is asked again with other numbers or
 names. DataFrame functions only.
 
-Scale: the text is read once and not shuffled. Benchmark windows are grouped to
-one row per hash. Each join takes the side with fewer bytes as broadcast only if
-the planner's measured size allows it, and else shuffles eight bytes a window.
+Scale: a window with a match holds its anchor, a pair of neighbouring plain words;
+one pass over the words looks pairs up among the anchors (broadcast if counted to
+be few, else joined by hash), and only documents with an anchor, a few in a
+hundred, become templates. Text is not shuffled unless those are many.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import cut, keyed, same_row, text_of
@@ -27,52 +29,99 @@ HITS = 4
 #: Share of the slot values of an item that must map to one value in the document, if any differs.
 CONSISTENT = 0.8
 #: Unit words that count as a slot after a number.
-UNITS = "km|m|cm|mm|kg|g|mg|lb|lbs|oz|l|ml|s|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|months?|years?|miles?|feet|foot|inch(?:es)?|met(?:er|re)s?|gram(?:me)?s?|lit(?:er|re)s?|dollars?|euros?|cents?|percent|usd|eur|mph|kmh"
-_SLOT = "\x01"
+UNITS = ("km", "m", "cm", "mm", "kg", "g", "mg", "lb", "lbs", "oz", "l", "ml", "s", "sec", "second", "seconds", "min", "minute", "minutes", "h", "hour", "hours", "day", "days", "week", "weeks", "month", "months", "year", "years", "mile", "miles", "feet", "foot", "inch", "inches", "metre", "metres", "meter", "meters", "gram", "grams", "litre", "litres", "liter", "liters", "dollar", "dollars", "euro", "euros", "cent", "cents", "percent", "usd", "eur", "mph")
 
 
-def template(text: Column) -> Column:
-    """The words of the template: plain ones, or \\x01, a letter for the type (n, u or c) and the value."""
-    t = F.regexp_replace(text, "\x01", " ")
-    t = F.regexp_replace(t, r"(?<=[\p{L}\p{N},;:)'’-] )\p{Lu}[\p{L}'’-]*", "\x01c$0")
-    t = F.regexp_replace(t, r"(?<![\p{L}\p{N}\x01])[+-]?([0-9]+(?:[.,:/][0-9]+)*)(?: ?(?i:(" + UNITS + r"))(?![\p{L}\p{N}]))?", " \x01n$1 \x01u$2 ")
-    t = F.regexp_replace(F.lower(t), r"(?<![0-9])[^\p{L}\p{N}\x01]+|[^\p{L}\p{N}\x01]+(?![0-9])", " ")
-    return F.filter(F.split(t, r"\s+"), lambda w: (w != "") & (w != "\x01u"))
+#: Signs that part words; those in NUMERIC stay between digits.
+SIGNS = "\n\t\r\x0b\x0c;!?\"'()[]{}*#$%&+|<>=\\~^_`-–—…“”‘’«»€£¿¡\x01\x02"
+NUMERIC = ".,:/"
+#: Up to so many anchors, of eight bytes, are broadcast.
+ANCHORS = 1_000_000
 
 
-def codes(words: Column) -> Column:
-    """A number per word: a hash of at least 0, or below 0 the type of a slot."""
-    kind = lambda w: F.when(w.startswith("\x01n"), -1).when(w.startswith("\x01c"), -2).when(w.startswith("\x01u"), -3)
-    return F.transform(words, lambda w: F.when(w.startswith(_SLOT), kind(w).cast("long")).otherwise(F.xxhash64(w).bitwiseAND(F.lit((1 << 63) - 1))))
+def template(rows: DataFrame) -> DataFrame:
+    """Turns `text` into `words`: plain ones, or \x01, a letter for the type (n number, u unit, c name) and the value.
+
+    A number begins with a digit or has a sign between digits; a unit stands
+    after a number and is in UNITS; a name has a capital and a small letter and
+    does not begin a sentence. Plain words have no signs and are in lower case."""
+    t = F.regexp_replace("text", r"(?<=[.!?][\"')\]]{0,2}\s{1,3})(?=\p{Lu})", "\x03")
+    t = F.regexp_replace(F.translate(t, SIGNS, " " * len(SIGNS)), r"(?<![0-9])[.,:/]|[.,:/](?![0-9])", " ")
+    rows = rows.withColumn("raw", F.split(t, " ")).withColumn("raw", F.filter("raw", lambda w: ~w.isin("", "\x03")))
 
+    def word(w: Column, i: Column) -> Column:
+        number = (w >= "0") & (w < ":") | w.rlike("[0-9][.,:/]")
+        before = F.coalesce(F.get("raw", i - 1), F.lit(""))
+        unit = (before >= "0") & (before < ":") & w.isin(*UNITS)
+        plain = F.ltrim(F.lower(w), F.lit("\x03"))
+        return F.when(number, F.concat(F.lit("\x01n"), w)).when(unit, F.concat(F.lit("\x01u"), w)).when((plain == w) | (F.upper(w) == w) | w.startswith("\x03") | (i == 0), plain).otherwise(F.concat(F.lit("\x01c"), plain))
 
-def windows(code: Column, window: int = WINDOW) -> Column:
-    """(place from 0, key, least code) of all windows of a column of codes."""
-    keys = F.transform(F.sequence(F.lit(0), F.size(code) - window), lambda i: _key(i, F.slice(code, i + 1, F.lit(window))))
-    return F.when(F.size(code) >= window, keys).otherwise(F.array().cast("array<struct<place:int,key:bigint,least:bigint>>"))
+    return rows.withColumn("words", F.transform("raw", word)).drop("raw", "text")
 
 
-def _key(i: Column, part: Column) -> Column:
-    return F.struct(i.alias("place"), F.xxhash64(part).alias("key"), F.array_min(part).alias("least"))
+def _pair(a: Column, b: Column) -> Column:
+    return F.xxhash64(a, b)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, plain: int = PLAIN) -> DataFrame:
-    """doc_id, row_hash, item_id, windows (distinct places of the item that match), item_windows, same_slots, slots (values of the item in matched windows), mapped (those with one value in the document)."""
-    bench = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), template(text_of(benchmark)).alias("words"))
-    bench = bench.withColumn("codes", codes(F.col("words"))).withColumn("w", windows(F.col("codes"), window))
-    slots = lambda k: F.size(F.filter(F.slice("codes", k["place"] + 1, F.lit(window)), lambda c: c < 0))
-    bench = bench.withColumn("w", F.filter("w", lambda k: slots(k) <= window - plain))
-    bench = cut(bench.select("item_id", "words", F.size("w").alias("item_windows"), F.explode("w").alias("w")).select(F.col("w.key").alias("k"), "item_id", F.col("w.place").alias("item_place"), "item_windows", F.slice("words", F.col("w.place") + 1, F.lit(window)).alias("item_words")), "bench")
-    rows = keyed(docs).select("doc_id", "row_hash", template(F.col("text")).alias("words")).withColumn("codes", codes(F.col("words")))
-    found = rows.select("doc_id", "row_hash", "words", F.explode(windows(F.col("codes"), window)).alias("w"))
-    found = found.select("doc_id", "row_hash", F.col("w.key").alias("key"), F.when(F.col("w.least") < 0, F.slice("words", F.col("w.place") + 1, F.lit(window))).alias("doc_words"))
-    met = found.join(bench, F.col("key") == F.col("k"))
+def codes(words: Column) -> Column:
+    """A number per word: a hash of at least 0, or below 0 the type of a slot."""
+    kind = lambda w: F.when(w.startswith("\x01n"), -1).when(w.startswith("\x01c"), -2).otherwise(-3)
+    return F.transform(words, lambda w: F.when(w < "\x02", kind(w).cast("long")).otherwise(F.xxhash64(w).bitwiseAND(F.lit((1 << 63) - 1))))
+
+
+def _bench(benchmark: DataFrame, window: int, plain: int) -> DataFrame:
+    """A row per window of an item: k (its hash), anchor, item_id, item_place, item_windows, item_words.
+
+    The anchor is the pair of plain neighbours with most characters; one exists
+    where more than half of the words are plain."""
+    rows = template(benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), text_of(benchmark).alias("text")))
+    rows = rows.where(F.size("words") >= window).select("item_id", "words", F.explode(F.sequence(F.lit(0), F.size("words") - window)).alias("item_place"))
+    rows = rows.withColumn("item_words", F.slice("words", F.col("item_place") + 1, F.lit(window))).drop("words")
+    rows = rows.withColumn("code", codes(F.col("item_words"))).where(F.size(F.filter("code", lambda c: c >= 0)) >= plain)
+    size = lambda w: F.when(w < "\x02", -1000).otherwise(F.length(w))
+    pairs = F.transform(F.sequence(F.lit(0), F.lit(window - 2)), lambda i: F.struct((size(F.get("item_words", i)) + size(F.get("item_words", i + 1))).alias("n"), _pair(F.get("item_words", i), F.get("item_words", i + 1)).alias("pair")))
+    rows = rows.withColumn("anchor", F.array_max(pairs)["pair"]).withColumn("item_windows", F.count("*").over(W.partitionBy("item_id")))
+    return rows.select(F.xxhash64("code").alias("k"), "anchor", "item_id", "item_place", "item_windows", "item_words")
+
+
+def candidates(docs: DataFrame, bench: DataFrame, most: int = ANCHORS) -> DataFrame:
+    """doc_id, row_hash of the documents in which an anchor of `bench` occurs; all that hold a window do."""
+    anchors = bench.select("anchor").distinct()
+    if anchors.limit(most + 1).count() <= most:
+        anchors = F.broadcast(anchors)
+    rows = keyed(docs)
+    signs = SIGNS + NUMERIC
+    raw = rows.select("doc_id", "row_hash", F.split(F.regexp_replace(F.translate(F.lower("text"), signs, " " * len(signs)), "  +", " "), " ").alias("raw"))
+    pairs = raw.select("doc_id", "row_hash", F.explode(F.arrays_zip(F.col("raw").alias("a"), F.slice("raw", F.lit(2), F.size("raw")).alias("b"))).alias("p"))
+    return pairs.select("doc_id", "row_hash", _pair(F.col("p.a"), F.col("p.b")).alias("of")).join(anchors, F.col("of") == F.col("anchor"), "left_semi").select("doc_id", "row_hash").distinct()
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, plain: int = PLAIN, anchors: int = ANCHORS) -> DataFrame:
+    """doc_id, row_hash, item_id, windows (distinct places of the item that match), item_windows, same_slots, slots (values of the item in matched windows), mapped (those with one value in the document).
+
+    plain must be more than half of window. Only documents with an anchor are
+    turned into templates."""
+    if 2 * plain <= window:
+        raise ValueError("more than half of a window's words must be plain")
+    bench = cut(_bench(benchmark, window, plain), "bench")
+    some = cut(candidates(docs, bench, anchors).withColumnsRenamed({"doc_id": "d", "row_hash": "r"}), "candidates")
+    rows = keyed(docs)
+    rows = rows.join(some, rows["doc_id"].eqNullSafe(some["d"]) & (rows["row_hash"] == some["r"]), "left_semi")
+    rows = cut(template(rows), "templates").withColumn("codes", codes(F.col("words")))
+    part = lambda i: F.slice("codes", i + 1, F.lit(window))
+    value = lambda i: F.when(F.array_min(part(i)) < 0, F.slice("words", i + 1, F.lit(window)))
+    every = F.transform(F.sequence(F.lit(0), F.size("codes") - window), lambda i: F.struct(F.xxhash64(part(i)).alias("key"), value(i).alias("doc_words")))
+    found = rows.where(F.size("codes") >= window).select("doc_id", "row_hash", F.explode(every).alias("w")).select("doc_id", "row_hash", "w.key", "w.doc_words")
+    met = found.join(bench.drop("anchor"), F.col("key") == F.col("k"))
     pair = F.arrays_zip(F.col("item_words").alias("a"), F.coalesce("doc_words", "item_words").alias("b"))
-    value = F.filter(pair, lambda p: p["a"].startswith(_SLOT))
+    value = F.filter(pair, lambda p: p["a"] < "\x02")
     met = met.select("doc_id", "row_hash", "item_id", "item_place", "item_windows", value.alias("slots"))
-    sums = met.groupBy("doc_id", "row_hash", "item_id").agg(F.count_distinct("item_place").alias("windows"), F.first("item_windows").alias("item_windows"))
+    # a passage that a document repeats is counted before it moves
+    sums = met.groupBy("doc_id", "row_hash", "item_id", "item_place").agg(F.first("item_windows").alias("item_windows"))
+    sums = sums.groupBy("doc_id", "row_hash", "item_id").agg(F.count("*").alias("windows"), F.first("item_windows").alias("item_windows"))
     held = met.select("doc_id", "row_hash", "item_id", F.explode("slots").alias("s")).groupBy("doc_id", "row_hash", "item_id", "s.a").agg(F.min("s.b").alias("least"), F.max("s.b").alias("most"))
-    held = held.groupBy("doc_id", "row_hash", "item_id").agg(F.count("*").alias("slots"), F.sum(F.when(F.col("least") == F.col("most"), 1).otherwise(0)).alias("mapped"), F.sum(F.when((F.col("least") == F.col("a")) & (F.col("most") == F.col("a")), 1).otherwise(0)).alias("same_slots"))
+    same = (F.col("least") == F.col("a")) & (F.col("most") == F.col("a"))
+    held = held.groupBy("doc_id", "row_hash", "item_id").agg(F.count("*").alias("slots"), F.count_if(F.col("least") == F.col("most")).alias("mapped"), F.count_if(same).alias("same_slots"))
     out = sums.alias("x").join(held.alias("y"), F.expr("x.doc_id <=> y.doc_id AND x.row_hash = y.row_hash AND x.item_id = y.item_id"), "left")
     return out.select("x.*", *[F.coalesce(f"y.{c}", F.lit(0)).alias(c) for c in ("slots", "mapped", "same_slots")])
 

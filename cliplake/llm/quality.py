@@ -80,10 +80,11 @@ def statistics(text: str | None) -> tuple[int, ...]:
 
 
 def features(c: np.ndarray) -> np.ndarray:
-    """Ratios of the COUNTS (float columns), one row per document."""
-    words, chars, symbols, dup, repeat, lines, distinct, upper, digit, alpha, longest = c.T
+    """How far the COUNTS (float columns, one row per document) lie beyond what filter rules let pass."""
+    words, chars, symbols, dup, repeat, lines, _, upper, digit, alpha, longest = c.T
     w, ch, ln = np.maximum(words, 1), np.maximum(chars, 1), np.maximum(lines, 1)
-    return np.stack([np.log1p(words), chars / w, symbols / w, dup / ln, repeat / w, np.minimum(distinct / np.sqrt(w), 50), upper / ch, digit / ch, alpha / ch, np.log1p(longest)], 1)
+    over = lambda x, at: np.maximum(x - at, 0)
+    return np.stack([symbols / w, over(0.9, alpha / ch), over(np.abs(chars / w - 5.5), 3.0), over(repeat / w, 0.2), over(dup / ln, 0.3), over(digit / ch, 0.15), over(upper / ch, 0.3), over(np.log1p(longest), 4.0)], 1)
 
 
 def base_failed(c: np.ndarray) -> np.ndarray:
@@ -153,15 +154,14 @@ def count(docs: DataFrame) -> DataFrame:
 def fit(counts: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, good_cost: float = GOOD_COST) -> tuple[Forest, float]:
     """The forest and its threshold.
 
-    The forest is grown on the fit_rows labelled rows of quality 1 with the
-    least hash (all rows if none is labelled so). The threshold has the
+    The forest is grown on the fit_rows labelled rows with the least hash. The threshold has the
     least cost on all labelled rows that pass the hard rules: good_cost * (share
     of good rows lost) + (share of bad rows kept); of equal ones the highest.
     Without labels nothing is rejected by the forest."""
     lab = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("of")).agg(F.min("quality").alias("quality"))
     got = cut(counts.join(lab, counts["doc_id"] == lab["of"]).drop("of"), "labelled")
     by_hash = F.xxhash64("doc_id")
-    sample = got.where("quality = 1").orderBy(by_hash, *COUNTS).limit(fit_rows).select(*COUNTS).toPandas().to_numpy(float).reshape(-1, len(COUNTS))
+    sample = got.orderBy(by_hash, *COUNTS).limit(fit_rows).select(*COUNTS).toPandas().to_numpy(float).reshape(-1, len(COUNTS))
     forest = Forest(features(sample))
     if not len(sample):
         return forest, 2.0
