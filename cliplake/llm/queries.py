@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, forest_join, lines, mixing, quality, secret_scan
+from . import decontam, forest_join, html_text, lattice, lines, mixing, pii, quality, secret_scan, spans
 from .common import table
 
 
@@ -15,6 +15,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents"), secret_scan.new_ledger(spark)))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest_join.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies")
 
@@ -29,6 +33,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", *quality.BASE, "base_failed", "kept", "score")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.scan(table(spark, sf_dir, "documents")))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -37,5 +49,9 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.check(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_lattice_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in sorted(globals().items()) if k.startswith("op") and callable(v)}
