@@ -42,9 +42,6 @@ def repeated_words(ids: np.ndarray, n: int) -> int:
     pair = ids[:-1] * np.int64(n) + ids[1:]
     if n >= 1 << 20:  # three ids would not fit in 63 bits
         pair = np.unique(pair, return_inverse=True)[1]
-        n = max(n, int(pair.max()) + 1)
-        if n >= 1 << 31:
-            raise ValueError("a text of more than 2^31 words")
     third = pair[:-1] * np.int64(n) + ids[2:]
     _, inverse, count = np.unique(third, return_inverse=True, return_counts=True)
     again = count[inverse] > 1

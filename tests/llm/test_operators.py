@@ -1,0 +1,482 @@
+"""Operators against brute force and on odd rows: nulls, empty and very long texts, ties, repeated rows, empty tables, clashing columns."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+from math import log10
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cliplake.llm import common, decontam, forest_join, graph, html_text, lattice, lines, mixing, pii, quality, secret_scan, spans
+
+ODD = [(1, None), (2, ""), (None, "a null id with a few words in its text here"), (4, " \n\t"), (5, "twice the same row"), (5, "twice the same row")]
+
+
+def by_id(df, *columns):
+    return {r["doc_id"]: tuple(r[c] for c in columns) for r in df.collect()}
+
+
+# ---- 1
+
+
+def base_secrets(t):
+    a = re.compile(r"((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
+    s = [(m.start(), 0, "assign", m.end()) for m in a.finditer(t) if len(m.group(2)) >= 6]
+    s += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m.group()) >= 20]
+    s += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m.group()) >= 24]
+    return ",".join(f"{k}:{b}:{e}" for b, _, k, e in sorted(s))
+
+
+def test_secrets(spark, docs):
+    r = random.Random(1)
+    bits = ["password", "Token", "api_key", "APIKEY", " = ", ": ", '"', "'", "abc", "secret", "s3cr3tvalue", "AKIA", "ABCDEFGHIJ0123456789", "0123456789abcdef", "é", "𝒳", " ", "\n", "=", "ſecret", "toKen"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 25))) for _ in range(120)] + ["secret=token:abcdefgh", "x" * 50_000 + " token = abcdef0123 " + "y" * 50_000]
+    rows = docs(ODD + [(100 + i, t) for i, t in enumerate(texts)])
+    ledger = secret_scan.new_ledger(spark)
+    got = secret_scan.digest(secret_scan.scan(rows, ledger))
+    assert got.count() == rows.count()
+    seen = by_id(got, "spans", "base_sha256")
+    for i, t in enumerate(texts):
+        want = base_secrets(t)
+        assert seen[100 + i] == (want, hashlib.sha256(want.encode()).hexdigest()), t
+    assert seen[1][0] == "" and secret_scan.digest(secret_scan.scan(rows.limit(0), secret_scan.new_ledger(spark))).count() == 0
+
+
+def test_ledger_scans_only_what_is_new(spark, docs):
+    ledger = secret_scan.new_ledger(spark)
+    rules = secret_scan.RULES[:3]
+    first = docs([(1, "token = abcdef99"), (2, "nothing")])
+    secret_scan.scan(first, ledger, rules).count()
+    assert spark.read.parquet(ledger).count() == 2
+    more = docs([(1, "token = abcdef99"), (3, "moved: nothing"), (4, "token = abcdef99")])
+    got = by_id(secret_scan.digest(secret_scan.scan(more, ledger, rules)), "spans")
+    assert spark.read.parquet(ledger).count() == 3 and got[4] == ("assign:0:16",) == got[1]
+    newer = (*rules[:1], secret_scan.Rule("access", rules[1].pattern, version=2), *rules[2:])
+    secret_scan.scan(more, ledger, newer).count()
+    last = spark.read.parquet(ledger).where("array_contains(scanned, 'access@2')").select("scanned").distinct().collect()
+    assert [r[0] for r in last] == [["access@2"]]
+
+
+# ---- 2
+
+
+def test_spans(spark, docs, words):
+    sentence = lambda n: " ".join(words(n)).capitalize() + "."
+    passage = " ".join(sentence(9) for _ in range(8))
+    own = [" ".join(sentence(8) for _ in range(6)) for _ in range(6)]
+    short = "Yes. No. Well then."
+    rows = docs(ODD + [(10, own[0] + "\n" + passage + "\n" + own[1]), (11, own[2] + " " + passage), (12, own[3]), (13, passage + "\n" + own[4] + "\n" + passage), (14, short), (15, short), (16, " ".join(words(30_000)))])
+    got = by_id(spans.dedup(rows), "text", "n_removed", "n_chars")
+    assert spans.dedup(rows).count() == rows.count()
+    assert passage in got[10][0] and got[10][1] == 0
+    assert got[11][0].startswith(own[2][:-1]) and passage[60:-60] not in got[11][0] and got[11][1] > 4
+    assert got[13][0].count(own[4]) == 1 and passage[60:-60] not in got[13][0]
+    assert got[12] == (own[3], 0, len(own[3])) and got[14][0] == got[15][0] == short and got[1][0] == ""
+    assert spans.dedup(rows.limit(0)).count() == 0
+
+
+def test_spans_match_brute_force(docs, words):
+    r = random.Random(2)
+    pool = [" ".join(words(r.randint(4, 12))) + r.choice([".", "!", "\n"]) for _ in range(25)]
+    texts = {i: " ".join(r.choice(pool) for _ in range(r.randint(0, 14))) for i in range(40)}
+    cuts, first, gone = {}, {}, defaultdict(set)
+    for i, t in texts.items():
+        for a, n, d in spans.runs(spans.pieces(t, cuts)):
+            if d in first:
+                gone[i].update(range(a, a + n))
+            first.setdefault(d, i)
+    got = by_id(spans.dedup(docs(list(texts.items()))), "text", "n_removed")
+    for i, t in texts.items():
+        assert got[i] == (spans.strip(t, gone[i], cuts)[0] if gone[i] else t, len(gone[i]))
+
+
+# ---- 3
+
+
+def test_forest_join(spark, docs, words):
+    base = [words(60) for _ in range(6)]
+    rows = []
+    r = random.Random(3)
+    for k, b in enumerate(base):
+        for j in range(12):
+            w = list(b)
+            for _ in range(r.choice([0, 1, 1, 2, 5])):
+                w[r.randrange(len(w))] = words(1)[0]
+            rows.append((1000 + k * 100 + j, " ".join(w)))
+    rows += [(9000, "few words"), (9001, "Few  words"), (9002, "other words"), (9003, " ".join(words(20_000)))]
+    df = docs(rows + ODD)
+    got = {r["doc_id"]: r for r in forest_join.classes(df).collect()}
+    sets = {i: set(forest_join.grams(t, {}).tolist()) for i, t in rows}
+    ids = sorted(sets)
+    links = {i: [j for j in ids if j != i and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9] for i in ids}
+    assert {i: got[i]["n_links"] for i in ids} == {i: len(v) for i, v in links.items()}
+
+    def reach(i):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in links[todo.pop()]:
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        return min(seen)
+
+    assert {i: got[i]["class_id"] for i in ids} == {i: reach(i) for i in ids}
+    assert got[1]["class_id"] == 1 and got[2]["class_id"] == 2 and got[5]["n_links"] == 1
+    kept = forest_join.keep_first(df)
+    assert kept.columns == df.columns
+    left = [r["doc_id"] for r in kept.collect()]
+    assert Counter(left) == Counter([reach(i) for i in ids if reach(i) == i] + [1, 2, 4, 5, None])
+    assert forest_join.keep_first(df.limit(0)).count() == 0
+
+
+def test_large_groups_are_blocked(docs, words, monkeypatch):
+    monkeypatch.setattr(forest_join, "BLOCK_SETS", 4)
+    base = words(50)
+    rows = []
+    for j in range(30):
+        w = list(base) + words(j % 5)
+        w[j] = words(1)[0]
+        rows.append((j, " ".join(w)))
+    got = {r["doc_id"]: r["n_links"] for r in forest_join.classes(docs(rows)).collect()}
+    sets = {i: set(forest_join.grams(t, {}).tolist()) for i, t in rows}
+    assert got == {i: sum(i != j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9 for j in sets) for i in sets}
+
+
+def test_depth_reaches_recall():
+    d = forest_join.depth()
+    assert 1 - (1 - 0.8**d) ** forest_join.TREES >= forest_join.RECALL > 1 - (1 - 0.8 ** (d + 1)) ** forest_join.TREES
+
+
+def test_components(spark):
+    r = random.Random(4)
+    edges = [(r.randrange(200), r.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 340)]
+    root = {}
+    find = lambda x: x if root.setdefault(x, x) == x else find(root[x])
+    for a, b in edges:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    got = dict(graph.components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert got == {x: find(x) for a, b in edges if a != b for x in (a, b)}
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# ---- 4
+
+
+def within_one(a, b):
+    if abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) > len(b):
+        a, b = b, a
+    k = 0
+    while k < len(a) and a[k] == b[k]:
+        k += 1
+    return a[k + 1 :] == b[k + 1 :] if len(a) == len(b) else a[k:] == b[k + 1 :]
+
+
+def test_lines(spark, docs, words):
+    r = random.Random(5)
+    base = [" ".join(words(r.randint(1, 12))) for _ in range(40)] + ["a" * 40, "ab" * 30]
+
+    def edit(s):
+        k = r.randrange(len(s) + 1)
+        kind = r.randrange(4)
+        c = r.choice("abxyz é")
+        return s if kind == 0 else s[:k] + c + s[k:] if kind == 1 else s[:k] + s[k + 1 :] if kind == 2 else s[:k] + c + s[k + 1 :]
+
+    texts = {}
+    for i in range(80):
+        out = []
+        for _ in range(r.randint(0, 6)):
+            s = edit(r.choice(base))
+            out.append(r.choice([s, edit(s), s.upper(), f"  {s}\t", ""]))
+        texts[i] = "\n".join(out)
+    texts[500] = "z" * 9000 + "\n" + "z" * 8999
+    seq = [(i, n, line.strip(" \t\x0b\x0c\r").lower()) for i in sorted(texts) for n, line in enumerate(texts[i].split("\n"))]
+    seq = [x for x in seq if x[2]]
+    first = {}
+    for k, (_, _, s) in enumerate(seq):
+        first.setdefault(s, k)
+    long = [s for s in first if len(s) >= lines.MIN_FUZZY]
+    near = {s for s in long if any(first[t] < first[s] and within_one(s, t) for t in long)}
+    want = defaultdict(list)
+    for k, (i, n, s) in enumerate(seq):
+        if k > first[s] or s in near:
+            want[i].append(n)
+    df = docs(list(texts.items()))
+    out = lines.dedup(df)
+    got = by_id(out, "removed_lines", "text", "n")
+    assert len(near) > 20 and {i: g[0] for i, g in got.items() if g[0]} == dict(want)
+    for i, t in texts.items():
+        assert got[i][1] == "\n".join(s for n, s in enumerate(t.split("\n")) if n not in want.get(i, ())) and got[i][2] == "x"
+
+
+def test_lines_odd_rows(docs):
+    got = lines.dedup(docs(ODD))
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in got.collect()))) == sorted(map(str, ODD))
+    assert lines.dedup(docs(ODD).limit(0)).count() == 0
+
+
+# ---- 5
+
+
+def test_quality_counts():
+    def slow(t):
+        w = [x for x in re.split("[ \t-\r]+", t) if x]
+        tri = Counter(zip(w, w[1:], w[2:]))
+        hit = {k + j for k in range(len(w) - 2) if tri[tuple(w[k : k + 3])] > 1 for j in range(3)}
+        rows = [x for x in t.split("\n") if x.strip(" \t\x0b\x0c\r")]
+        return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(rows) - len(set(rows)), len(hit)
+
+    r = random.Random(6)
+    bits = ["a", "b", "é", "#", " ", "\n", "\t", " ", "\x1c", "𝒳", "c d", "\x0b", "\r"]
+    for _ in range(300):
+        t = "".join(r.choice(bits) for _ in range(r.randint(0, 60)))
+        assert quality.statistics(t)[:5] == slow(t)
+    assert quality.statistics(None)[:5] == (0, 0, 0, 0, 0)
+    ids = np.array([1, 2, 3, 1, 2, 3, 4])
+    assert quality.repeated_words(ids, 1 << 21) == quality.repeated_words(ids, 5) == 6
+
+
+def test_quality_keeps_good_and_drops_bad(spark, docs, words):
+    good = [(100 + i, " ".join(words(80))) for i in range(200)]
+    bad = [(1000 + i, " ".join(w + "***%%%" for w in words(80))) for i in range(60)]
+    df = docs(good + bad + ODD)
+    labels = spark.createDataFrame([(100 + i, 1, 0) for i in range(100)] + [(1000 + i, 0, 0) for i in range(20)] + [(None, 1, 0), (3, None, None)], "doc_id long, quality int, toxic int")
+    got = by_id(quality.assess(df, labels), "kept", "base_failed")
+    assert sum(got[i][0] for i, _ in good) >= 198 and not any(got[i][0] for i, _ in bad)
+    assert got[1] == (False, True)
+    left = quality.reject(df, labels)
+    assert left.columns == df.columns and {r["doc_id"] for r in left.collect()} == {i for i, g in got.items() if g[0]}
+    none = by_id(quality.assess(df, labels.limit(0)), "kept")
+    assert all(none[i][0] for i, _ in good + bad) and quality.assess(df.limit(0), labels).count() == 0
+
+
+# ---- 6
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a = "</p><p>no";</script></head><body>
+<header><h1>Site</h1></header><nav><ul><li><a href=/>Home</a></ul></nav><div id="cookie-notice"><p>We use cookies on this site to make it better for you and for us.</p></div>
+%s<aside>See also</aside><form><p>Subscribe</p><input></form><div class="comments"><p>A very long comment by a reader that goes on and on and on for a while.</p></div><footer>&copy; me</footer></body></html>"""
+BODY = "<h1>Head &amp; line</h1><p>First   paragraph\n with <b>bold</b> and <a href=x>a link</a>.<p>Sh&ouml;rt.<br>Same block<div class='advert'>Buy!</div><ul><li>One<li>Two</ul>"
+TEXT = "Head & line\nFirst paragraph with bold and a link.\nShört. Same block\nOne\nTwo"
+
+
+def test_html(spark):
+    assert html_text.extract(PAGE % f"<article>{BODY}</article>") == TEXT
+    assert html_text.extract(PAGE % f"<main>{BODY}</main>") == TEXT
+    assert html_text.extract(PAGE % f"<div class='content'>{BODY}</div>") == TEXT
+    assert [html_text.extract(x) for x in (None, "", "<p>", "<!-- x", "<script>a")] == [""] * 5
+    long = "<article>" + "<p>word word</p>" * 20_000 + "</article>"
+    assert html_text.extract(long).count("\n") == 19_999
+    pages = spark.createDataFrame([(1, "u", PAGE % f"<article>{BODY}</article>", "x"), (1, "u", None, "x"), (None, None, "", "x")], "page_id long, url string, html string, text string")
+    got = [tuple(r) for r in html_text.extract_pages(pages).collect()]
+    assert got == [(1, "u", TEXT, len(TEXT)), (1, "u", "", 0), (None, None, "", 0)]
+    assert html_text.extract_pages(pages.limit(0)).count() == 0
+
+
+# ---- 7
+
+
+def slow_pii(t):
+    out = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [("ip", m.start(), m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m.group().split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = re.sub("[ -]", "", m.group())
+        if 16 <= len(d) <= 19 and sum(int(c) if k % 2 == 0 else sum(divmod(2 * int(c), 10)) for k, c in enumerate(d[::-1])) % 10 == 0:
+            out.append(("card", m.start(), m.end()))
+    out += [("phone", m.start(), m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 8 <= sum(c.isdigit() for c in m.group()) <= 15]
+    return out
+
+
+@pytest.fixture(scope="module")
+def field():
+    return pii.train()
+
+
+def test_pii_base_matches_patterns():
+    r = random.Random(8)
+    bits = ["a", "b.c", "@", "@x.org", ".", "..", "4111 1111 1111 1111", "4111-1111", "1", "12", "255", "256", "0300", "+", "+49 ", "(", ")", "-", " ", "\n", "é", "%", "_", "192.168.0.1", "555 1234567"]
+    for _ in range(3000):
+        t = "".join(r.choice(bits) for _ in range(r.randint(0, 14)))
+        assert pii.base_spans(t) == slow_pii(t), t
+    assert pii.base_spans("1" * 200_000 + "a" * 200_000 + "@" + "." * 1000) == []
+
+
+def test_pii_field(spark, docs, field):
+    right = total = 0
+    for before, chunks, truth in pii._sentences(77, 300):
+        total += 1
+        right += set(field.best(chunks, before)) == truth
+    assert right / total > 0.97
+    t = "Call (555) 123-4567 or write bob[at]x.org; card 4111-1111-1111-1111 from 10.0.0.1 on 2024-01-02, 12345 items."
+    got = pii.find(t, field)
+    assert set(pii.base_spans(t)) <= set(got) and [t[s:e] for k, s, e in got] == ["bob[at]x.org", "10.0.0.1", "4111-1111-1111-1111", "(555) 123-4567"]
+    rows = docs(ODD + [(7, t), (8, "1 " * 30_000)])
+    seen = by_id(pii.digest(pii.scan(rows, field)), "n_ip", "n_card", "spans", "base_sha256")
+    assert seen[7][:2] == (1, 1) and seen[7][2] == ",".join(f"{k}:{s}:{e}" for k, s, e in got)
+    assert seen[7][3] == hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in slow_pii(t)).encode()).hexdigest()
+    assert seen[1][2] == "" and pii.scan(rows.limit(0), field).count() == 0
+
+
+# ---- 8
+
+
+def highest(targets, seats):
+    got = [0] * len(targets)
+    for _ in range(seats):
+        k = max(range(len(targets)), key=lambda i: (targets[i] / (2 * got[i] + 1), -i))
+        got[k] += 1
+    return got
+
+
+def test_sainte_lague(spark):
+    r = random.Random(9)
+    for n in (1, 2, 7, 30):
+        w = [float(r.choice([0, 1, 5, 5, 400, r.randint(1, 3000)])) for _ in range(n)] or [1.0]
+        w[0] = max(w[0], 1.0)
+        seats = r.randint(1, 500)
+        s = spark.createDataFrame([(str(i), i + 1, 0, 0, x, 1, seats) for i, x in enumerate(w)], "source string, rank int, source_size long, docs long, target double, block long, seats long")
+        got = [x["blocks"] for x in mixing._highest_quotients(s).orderBy("rank").collect()]
+        assert got == highest(w, seats)
+
+
+def test_mix(docs, words):
+    r = random.Random(10)
+    rows = [(i, " ".join(words(r.randint(0, 60))), r.choice(["a", "a", "b", "B", None, "z"])) for i in range(400)]
+    rows += [(900, "one tiny source", "tiny"), (901, None, "empty"), (5, "twice", "a"), (5, "twice", "a")]
+    df = docs(rows)
+    got = mixing.mix(df, shard_docs=16).collect()
+    assert len(got) == len(rows) and got is not None
+    again = sorted(map(str, mixing.mix(df.repartition(7), shard_docs=16).collect()))
+    assert sorted(map(str, got)) == again
+    names = sorted({x[2] for x in rows if x[2] is not None}) + [None]
+    size = Counter()
+    for x in rows:
+        size[x[2]] += len((x[1] or "").split())
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
+    total, free, target = sum(size.values()), set(names), {}
+    while True:  # as the contract says it
+        left = total - sum(target.values())
+        share = {s: left * weight[s] / sum(weight[t] for t in free) for s in free}
+        over = {s for s in free if share[s] > 3 * size[s]}
+        if not over:
+            target |= share
+            break
+        for s in over:
+            target[s] = 3 * size[s]
+            free.discard(s)
+    taken = Counter()
+    for x in got:
+        taken[x["source"]] += x["taken"]
+        assert x["taken"] <= 3 * x["size"] and x["source_size"] == size[x["source"]] and abs(x["target"] - target[x["source"]]) < 1e-6
+    for s in names:
+        assert abs(taken[s] - target[s]) <= max(2, 0.02 * target[s]), (s, taken[s], target[s])
+    assert mixing.mix(df.limit(0)).count() == 0
+    assert [x["taken"] for x in mixing.mix(docs([(1, None), (2, "")])).collect()] == [0, 0]
+
+
+# ---- 9
+
+
+def test_decontamination(spark, docs, words):
+    item = "A baker named Tom has 12 loaves and sells 5 loaves per day while his friend Anna buys 3 kg of flour every week for the bakery near the river"
+    again = "A baker named Max has 40 loaves and sells 8 loaves per day while his friend Lena buys 9 kg of flour every week for the bakery near the river"
+    bench = spark.createDataFrame([(1, item, 0), (2, " ".join(words(40)), 0), (None, item, 0), (3, None, 0), (4, "too short", 0)], "item_id long, text string, words int")
+    plain = [" ".join(words(70)) for _ in range(5)]
+    rows = docs(ODD + [(10, plain[0] + ". " + item + ". " + plain[1]), (11, plain[1] + "\n" + again), (12, plain[2]), (13, item.upper()), (14, " ".join(words(20_000)) + " " + item), (15, " ".join(str(k) for k in range(3000)))])
+    got = by_id(decontam.check(rows, bench), "contaminated", "items", "reparameterised")
+    assert decontam.check(rows, bench).count() == rows.count()
+    assert got[10] == (True, "1", False) and got[14][:2] == (True, "1")
+    assert got[11] == (True, "1", True)
+    assert not any(got[i][0] for i in (1, 2, 4, 5, 12, 15))
+    left = decontam.clean(rows, bench)
+    assert left.columns == rows.columns and {10, 11, 14}.isdisjoint({r["doc_id"] for r in left.collect()}) and left.count() == rows.count() - sum(g[0] for g in got.values())
+    assert decontam.clean(rows, bench.limit(0)).count() == rows.count() and decontam.check(rows.limit(0), bench).count() == 0
+    wide = by_id(decontam.contaminated(rows, bench), "items")  # the anchors' other way
+    some = decontam.matches(rows, bench, anchors=1)
+    assert {r["doc_id"] for r in some.collect()} >= set(wide)
+
+
+def test_slots_must_be_consistent(spark, docs):
+    item = "Take 12 red apples and 12 green apples and then put 12 yellow apples into the big round basket of the old farmer"
+    good, bad = item.replace("12", "30"), "Take 1 red apples and 2 green apples and then put 3 yellow apples into the big round basket of the old farmer"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = by_id(decontam.check(docs([(1, good), (2, bad), (3, item)]), bench), "contaminated", "reparameterised")
+    assert got == {1: (True, True), 2: (False, False), 3: (True, False)}
+
+
+# ---- 10
+
+
+def test_lattice_sums_all_segmentations():
+    v = lattice.Vocabulary(lattice.VOCABULARY, {300: 50, 400: 7}, 3)
+
+    def slow(s):
+        best = [1.0]
+        for j in range(1, len(s) + 1):
+            total = 0.0
+            for i in range(j):
+                p = v.piece.get(s[i:j])
+                total += best[i] * np.exp(p) if p is not None else 0
+            p = 1.0
+            for b in s[j - 1].encode():
+                p *= np.exp(v.byte[b])
+            best.append(total + best[j - 1] * p)
+        return np.log(best[-1])
+
+    for w in ("the", "bakery", "thonble", "é", "𝒳y", "a" * 12):
+        assert abs(v.token(w) - slow("▁" + w)) < 1e-8
+    assert v.token("x" * 20_000) < -1000
+
+
+def test_scores(spark, docs, words):
+    rows = [(100 + i, " ".join(words(30)).title()) for i in range(60)] + [(70, "bé \U0001d4b3 " + "y" * 3000)]
+    df = docs(rows + ODD)
+    got = lattice.score(df, hot=50).collect()
+    assert len(got) == len(rows) + len(ODD)
+    split = lambda t: (t or "").encode().lower().split() + [b"\n"]
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    c = Counter(w for i, t in rows + ODD if not held(i) for w in split(t))
+    n, v = sum(c.values()), len(c)
+    text = dict(rows + ODD)
+    for x in got:
+        w = split(text[x["doc_id"]])
+        assert (x["held_out"], x["n_tokens"], x["n_known"], x["train_tokens"]) == (held(x["doc_id"]), len(w), sum(c[k] > 0 for k in w), n)
+        assert abs(x["base_score"] - sum(log10((c[k] + 1) / (n + v + 1)) for k in w)) < 1e-6 and x["score"] <= 0
+    every = {r["doc_id"]: r["score"] for r in lattice.score(df).collect()}
+    assert all(abs(every[x["doc_id"]] - x["score"]) < 1e-6 for x in got)
+    assert lattice.score(df.limit(0)).count() == 0
+
+
+# ---- pipeline and helpers
+
+
+def test_pipeline(spark, sf, tmp_path):
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    before = docs
+    for name, stage in p.STAGES:
+        after = common.cut(stage(spark, before, sf), name)
+        if name != p.STAGES[-1][0]:
+            assert after.columns == docs.columns and after.schema == docs.schema
+        assert 0 < after.count() <= before.count()
+        before = after
+    assert sorted(map(str, before.collect())) == sorted(map(str, p.run(spark, sf).collect()))
+    empty = docs.limit(0)
+    for _, stage in p.STAGES:
+        assert stage(spark, empty, sf).count() == 0
+
+
+def test_sweep_keeps_what_is_asked(spark):
+    since = common.mark()
+    a, b = common.cut(spark.range(3).select(F.col("id"))), common.cut(spark.range(4).select(F.col("id")))
+    common.sweep(spark, since, b)
+    assert b.count() == 4
+    with pytest.raises(Exception):
+        a.count()
