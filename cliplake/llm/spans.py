@@ -26,7 +26,7 @@ from .common import cut, keyed
 SENTENCES = 3
 WORDS = 20
 #: One word in so many ends a piece of a sentence.
-CUT = 16
+CUT = 10
 _END = (".", "!", "?", '."', '!"', '?"', ".)", "!)", "?)", ".'", "!'", "?'")
 
 
