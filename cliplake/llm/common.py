@@ -15,6 +15,8 @@ SPACE = r"[ \x09-\x0D]"
 WORD = r"[^ \x09-\x0D]+"
 
 _own: list[str] = []
+_made: list[str] = []
+_path: dict[int, tuple[DataFrame, str]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +47,28 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     join, which adaptive execution can split if a key is hot."""
     path = f"{shared_dir(df.sparkSession)}/cliplake/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _made.append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _path[id(out)] = (out, path)
+    return out
+
+
+def mark() -> int:
+    return len(_made)
+
+
+def sweep(spark: SparkSession, since: int, *keep: DataFrame) -> None:
+    """Delete what cut() has written since mark(), but for the tables in keep.
+
+    For the end of an operator, when all that it needs later has been cut."""
+    stay = {_path[id(df)][1] for df in keep}
+    for path in _made[since:]:
+        if path not in stay:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    _made[since:] = [p for p in _made[since:] if p in stay]
+    for key in [k for k, (_, p) in _path.items() if p not in _made]:
+        del _path[key]
 
 
 def text_of(docs: DataFrame, column: str = "text") -> Column:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, keyed
+from .common import cut, keyed, mark, sweep
 
 SENTENCES = 3
 WORDS = 20
@@ -114,13 +114,14 @@ def dedup(docs: DataFrame, sentences: int = SENTENCES, least: int = WORDS) -> Da
     what they have in common. Null texts count as empty. Lines that lose nothing
     are unchanged; in others blanks between what is left become one. Texts with
     fewer sentences or words than a run lose nothing. Other columns are not read."""
-    table = run_table(docs, sentences, least)
+    since, table = mark(), run_table(docs, sentences, least)
     last = F.coalesce("doc_id", F.lit((1 << 63) - 1))
     again = table.groupBy("h", "g").agg(F.min(last).alias("first"), F.max(last).alias("last")).where("first < last")
     again = cut(again.select(F.col("h").alias("oh"), F.col("g").alias("og"), "first"), "repeated")
     hits = table.join(again, (F.col("h") == F.col("oh")) & (F.col("g") == F.col("og"))).where(last > F.col("first"))
     gone = hits.groupBy("doc_id", "row_hash").agg(F.collect_set(F.struct("at", "n")).alias("runs"))
     gone = cut(gone.withColumnsRenamed({"doc_id": "d", "row_hash": "r"}), "gone")
+    sweep(docs.sparkSession, since, gone)
     rows = keyed(docs)
     rows = rows.join(gone, rows["doc_id"].eqNullSafe(gone["d"]) & (rows["row_hash"] == gone["r"]), "left").select("doc_id", "text", "runs")
 
