@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, keyed, same_row, text_of
+from .common import cut, keyed, mark, same_row, sweep, text_of
 
 WINDOW = 8
 #: Words in a window that must not be slots.
@@ -144,8 +144,9 @@ def check(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Null and empty texts, on either side, and texts of fewer than WINDOW template
     words match nothing; an empty benchmark or one with null ids leaves all
     clean. Repeated rows get the same verdict; other columns are not read."""
-    rows = keyed(docs).drop("text")
+    since, rows = mark(), keyed(docs).drop("text")
     bad = cut(contaminated(docs, benchmark), "contaminated")
+    sweep(docs.sparkSession, since, bad)
     got = rows.join(bad, same_row(rows, bad), "left").drop(bad["doc_id"]).drop(bad["row_hash"])
     items = F.coalesce("items", F.array().cast("array<bigint>"))
     return got.select("doc_id", F.col("items").isNotNull().alias("contaminated"), F.array_join(F.transform(items, lambda x: x.cast("string")), ",").alias("items"), F.size(items).alias("n_items"), F.coalesce("reparameterised", F.lit(False)).alias("reparameterised"), F.coalesce("best", F.lit(0.0)).alias("best"))
@@ -153,7 +154,9 @@ def check(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, that are not contaminated."""
+    since = mark()
     bad = cut(contaminated(docs, benchmark).select("doc_id", "row_hash"), "contaminated")
+    sweep(docs.sparkSession, since, bad)
     key = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     key = key.select("row", F.col("row.doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("row.doc_id").cast("long"), F.coalesce(F.col("row.text").cast("string"), F.lit(""))).alias("row_hash"))
     return key.join(bad, same_row(key, bad), "left_anti").select("row.*")

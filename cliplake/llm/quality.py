@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, mark, sweep
 
 FIT_ROWS = 4096
 TREES = 100
@@ -192,14 +192,18 @@ def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Null and empty texts have counts of 0 and fail. Labels with a null doc_id or
     quality are ignored; of several for a document the lowest quality counts.
     Repeated rows are judged alike."""
+    since = mark()
     counts = cut(count(docs), "counts")
     forest, threshold = fit(counts, labels)
+    sweep(docs.sparkSession, since, counts)
     return score(counts, forest).withColumn("kept", ~F.col("base_failed") & (F.col("score") < threshold))
 
 
 def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, that assess() keeps. Text is read again rather than shuffled."""
+    since = mark()
     forest, threshold = fit(cut(count(docs), "counts"), labels)
+    sweep(docs.sparkSession, since)
     held = docs.sparkSession.sparkContext.broadcast((forest, threshold))
     at = docs.columns.index("text")
 
