@@ -85,7 +85,7 @@ def call_out(rows: DataFrame, function: Callable[[dict], dict], schema: str, att
                     except Exception as e:  # a row's failure is data
                         error = e
                         break
-                out.append({n: got.get(n) for n in names} | {"ok": error is None, "error_category": type(error).__name__ if error else None, "error_message": str(error) if error else None, "attempts": tried})
+                out.append({n: got.get(n, row.get(n)) for n in names} | {"ok": error is None, "error_category": type(error).__name__ if error else None, "error_message": str(error) if error else None, "attempts": tried})
             yield pd.DataFrame(out, columns=[*names, "ok", "error_category", "error_message", "attempts"])
 
     return rows.mapInPandas(run, f"{schema}, ok boolean, error_category string, error_message string, attempts int")
