@@ -116,7 +116,7 @@ def gcd(a: Column, b: Column) -> Column:
 
 def aspect_ratio(width: Column, height: Column) -> Column:
     g = gcd(width, height)
-    whole = lambda x: F.expr("1").cast("bigint") * F.floor(x / g)
+    whole = lambda x: F.floor(x / g)
     return F.when((width > 0) & (height > 0), F.concat(whole(width).cast("string"), F.lit(":"), whole(height).cast("string")))
 
 

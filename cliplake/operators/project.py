@@ -13,10 +13,6 @@ LABEL = "struct<value:string,label:string,confidence:string,rationale:string>"
 DOCUMENT = f"struct<source:struct<platform:string,video_id:string,source_url:string>,decompilation:struct<pipeline_version:string,prompt_version:string,annotation_mode:string>,observed:struct<shots:array<{SHOT}>,hook:struct<description:string,start_seconds:double,end_seconds:double,evidence:array<string>>>,inferred:struct<commercial:struct<status:string,details:struct<product_presence:string,first_product_appearance_seconds:double,proof_type:string,trust_signals:array<string>,cta:struct<text:string,text_exact:boolean,type:string>>>,hook_type:{LABEL},narrative_structure:{LABEL},attention_mechanisms:array<{LABEL}>,persuasion_mechanisms:array<{LABEL}>>>"
 
 
-def _all(shots: Column, field: str) -> Column:
-    return F.flatten(F.transform(shots, lambda s: F.coalesce(s[field], F.array().cast("array<string>") if field == "subjects" else F.slice(s[field], 1, 0))))
-
-
 def _list(c: Column, kind: str = "array<string>") -> Column:
     return F.coalesce(c, F.array().cast(kind))
 

@@ -27,7 +27,8 @@ def index_rows(manifests: DataFrame) -> DataFrame:
 
 def write_index(rows: DataFrame, path: str, files: int = 1) -> None:
     """Rebuild the index. Without rows there is still a file with the schema. More rows than fit a file: raise `files`."""
-    rows.repartitionByRange(files, "video_id").sortWithinPartitions("video_id").write.mode("overwrite").parquet(path) if files > 1 else rows.coalesce(1).sortWithinPartitions("video_id").write.mode("overwrite").parquet(path)
+    parts = rows.coalesce(1) if files == 1 else rows.repartitionByRange(files, "video_id")
+    parts.sortWithinPartitions("video_id").write.mode("overwrite").parquet(path)
 
 
 def append_log(rows: DataFrame, path: str) -> None:
