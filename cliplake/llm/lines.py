@@ -10,8 +10,9 @@ member of a key is compared with the others, so a key with many lines makes as
 many pairs as it has lines. The edit distance of each pair is then verified.
 
 Only lines that share their first or last part (a power of two of at most half
-their length) with another line can be within one edit of one; the rest emit no
-variants. That filter loses nothing.
+their length) with another line can be within one edit of one, and then they are
+the same outside one of PARTS equal parts, in which the edit lies. Variants are
+made of that part only; the rest goes into the key as it is. Nothing is lost.
 
 Scale: DataFrame functions only. Shuffled are hashes and positions of all lines,
 the text of lines that passed the filter, and the documents once. Sums per key
@@ -24,27 +25,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, keyed, same_row
+from .common import cut, keyed, mark, same_row, sweep
 
 #: Shorter lines are deduplicated only if equal.
 MIN_FUZZY = 20
-#: Variants are hashed in parts of this many characters, so that a line of n characters costs n * PART, not n * n.
-PART = 64
+#: Variants are made in that one of so many parts of a line outside of which another line is the same.
+PARTS = 16
 _LATE = 1 << 62
 
 
 def normal(line: Column) -> Column:
-    return F.lower(F.trim(F.regexp_replace(line, r"^[\t-\r]+|[\t-\r]+$", "")))
+    return F.lower(F.btrim(line, F.lit(" \t\x0b\x0c\r")))
 
 
 def positions(docs: DataFrame) -> DataFrame:
-    """doc_id, row_hash, line (number from 0), norm, h, g (two hashes), pos: one row per line that isn't blank.
-
-    pos orders lines by doc_id (null last) and line."""
+    """doc_id, row_hash, line (number from 0), norm, h, g (two hashes): one row per line that isn't blank."""
     rows = keyed(docs)
     rows = rows.select("doc_id", "row_hash", F.posexplode(F.split("text", "\n", -1)).alias("line", "norm")).withColumn("norm", normal(F.col("norm"))).where("norm <> ''")
-    pos = F.coalesce("doc_id", F.lit(_LATE)).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("line")
-    return rows.select("doc_id", "row_hash", "line", "norm", F.xxhash64("norm").alias("h"), F.xxhash64(F.lit(1), "norm").alias("g"), pos.cast("decimal(34,0)").alias("pos"))
+    return rows.select("doc_id", "row_hash", "line", "norm", F.xxhash64("norm").alias("h"), F.xxhash64(F.lit(1), "norm").alias("g"))
+
+
+def _pos() -> Column:
+    """Orders lines by doc_id (null last) and line."""
+    return (F.coalesce("doc_id", F.lit(_LATE)).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("line")).cast("decimal(34,0)")
 
 
 def _halves(norm: Column) -> Column:
@@ -58,41 +61,44 @@ def _halves(norm: Column) -> Column:
     return F.array_distinct(F.array(*keys))
 
 
-def _variants(norm: Column) -> Column:
-    """(key, role, place) of a line: role 0 itself; role 1 without one character, which meets role 0; role 2 the same with the place, which meets role 2."""
-    size = F.length(norm)
-    whole = lambda begin, n: F.xxhash64(F.substr(norm, F.lit(1), begin), F.substr(norm, begin + 1, n), F.substr(norm, begin + n + 1, size))
-    itself = F.transform(F.sequence(F.lit(0), F.floor(size / PART).cast("int")), lambda c: F.struct(whole(c * PART, F.lit(PART - 1)).alias("key"), F.lit(0).alias("role")))
+def _frames(norm: Column) -> Column:
+    """(frame, longer, mid): for m, the shorter length of a pair, and each of PARTS equal parts of m characters, a hash of all before and after the part, and what stands in between.
 
-    def part(c: Column) -> Column:
-        begin = c * PART
-        ahead, after = F.xxhash64(F.substr(norm, F.lit(1), begin)), F.substr(norm, begin + PART + 1, size)
-        body = F.substr(norm, begin + 1, F.lit(PART))
-        return F.struct(ahead.alias("ahead"), body.alias("body"), after.alias("after"), begin.alias("begin"))
+    A pair within one edit has the same frame where the edit lies in the part.
+    longer: this line would be the longer one of the pair."""
 
-    parts = F.transform(F.sequence(F.lit(0), F.floor((size - 1) / PART).cast("int")), part)
+    def part(more: int, i: Column) -> Column:
+        m = F.length(norm) - more
+        begin, end = F.floor(i * m / PARTS).cast("int"), F.floor((i + 1) * m / PARTS).cast("int")
+        frame = F.xxhash64(m, i, F.left(norm, begin), F.right(norm, m - end))
+        return F.struct(frame.alias("frame"), F.lit(more == 1).alias("longer"), F.substr(norm, begin + 1, end - begin + more).alias("mid"))
 
-    def without(p: Column) -> Column:
-        n = F.length(p["body"])
-        return F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: _pair(p, i, n)))
+    every = F.sequence(F.lit(0), F.lit(PARTS - 1))
+    return F.concat(F.transform(every, lambda i: part(0, i)), F.transform(every, lambda i: part(1, i)))
 
-    def _pair(p: Column, i: Column, n: Column) -> Column:
-        rest = F.concat(F.left(p["body"], i - 1), F.right(p["body"], n - i))
-        key = F.xxhash64(F.substr(norm, F.lit(1), p["begin"]), rest, p["after"])
-        return F.array(F.struct(key.alias("key"), F.lit(1).alias("role")), F.struct(F.xxhash64(key, p["begin"] + i).alias("key"), F.lit(2).alias("role")))
 
-    return F.concat(itself, F.flatten(F.transform(parts, without)))
+def _variants(frame: Column, longer: Column, mid: Column) -> Column:
+    """(key, role) of a line in a frame. The shorter line of a pair has role 0, the longer without one character role 1, which meets role 0; lines of equal length without the character at the same place meet in role 2."""
+    n = F.length(mid)
+    rest = lambda i: F.concat(F.left(mid, i - 1), F.right(mid, n - i))
+    some = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    cut_out = F.transform(some, lambda i: F.struct(F.xxhash64(frame, rest(i)).alias("key"), F.lit(1).alias("role")))
+    replaced = F.transform(some, lambda i: F.struct(F.xxhash64(frame, rest(i), i).alias("key"), F.lit(2).alias("role")))
+    return F.when(longer, cut_out).otherwise(F.concat(F.array(F.struct(F.xxhash64(frame, mid).alias("key"), F.lit(0).alias("role"))), replaced))
 
 
-def near(lines: DataFrame, min_fuzzy: int = MIN_FUZZY) -> DataFrame:
-    """h, g of the distinct lines that have an earlier one within one edit."""
-    long = lines.where(F.length("norm") >= min_fuzzy)
-    halves = long.select("h", F.explode(_halves(F.col("norm"))).alias("half"))
+def near(docs: DataFrame, lines: DataFrame, min_fuzzy: int = MIN_FUZZY) -> DataFrame:
+    """h, g of the distinct lines that have an earlier one within one edit. lines: from removed()."""
+    halves = lines.where("halves IS NOT NULL").select("h", F.explode("halves").alias("half"))
     shared = cut(halves.groupBy("half").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").select("half"), "halves")
     few = cut(halves.join(shared, "half", "left_semi").groupBy("h").agg(F.lit(1).alias("one")).select(F.col("h").alias("few")), "few")
-    left = long.select("h", "g", "pos", "norm").join(few, F.col("h") == F.col("few"), "left_semi")
-    left = cut(left.groupBy("h", "g").agg(F.min("pos").alias("pos"), F.first("norm").alias("norm")), "fuzzy")
-    keys = cut(left.select("h", "pos", F.explode(_variants(F.col("norm"))).alias("v")).select("h", "pos", "v.key", "v.role").distinct(), "variants")
+    left = positions(docs).where(F.length("norm") >= min_fuzzy).join(few, F.col("h") == F.col("few"), "left_semi")
+    left = cut(left.groupBy("h", "g").agg(F.min(_pos()).alias("pos"), F.first("norm").alias("norm")), "fuzzy")
+    frames = left.select("h", "pos", F.explode(_frames(F.col("norm"))).alias("f")).select("h", "pos", "f.frame", "f.longer", "f.mid")
+    alike = frames.groupBy("frame").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b")
+    alike = cut(alike.select(F.col("frame").alias("of")), "frames")
+    frames = frames.join(alike, F.col("frame") == F.col("of"), "left_semi")
+    keys = cut(frames.select("h", "pos", F.explode(_variants(F.col("frame"), F.col("longer"), F.col("mid"))).alias("v")).select("h", "pos", "v.key", "v.role"), "variants")
     first = lambda role: F.min(F.when(F.col("role") == role, F.struct("pos", "h")))
     met = keys.groupBy("key").agg(first(0).alias("r0"), first(1).alias("r1"), first(2).alias("r2"), F.count("*").alias("n")).where("n > 1")
     met = cut(met.select(F.col("key").alias("k"), "r0", "r1", "r2"), "met")
@@ -107,13 +113,17 @@ def near(lines: DataFrame, min_fuzzy: int = MIN_FUZZY) -> DataFrame:
 
 def removed(docs: DataFrame, min_fuzzy: int = MIN_FUZZY) -> DataFrame:
     """doc_id, row_hash, lines (array of line numbers that go): only documents that lose lines."""
-    lines = positions(docs)
-    again = lines.groupBy("h", "g").agg(F.min("pos").alias("first"), F.max("pos").alias("last")).where("first < last").select("h", "g", "first")
-    every = near(lines, min_fuzzy).select("h", "g", F.lit(-1).cast("decimal(34,0)").alias("first"))
+    since = mark()
+    halves = F.when(F.length("norm") >= min_fuzzy, _halves(F.col("norm")))
+    lines = cut(positions(docs).select("doc_id", "row_hash", "line", "h", "g", halves.alias("halves")), "lines")
+    again = lines.groupBy("h", "g").agg(F.min(_pos()).alias("first"), F.max(_pos()).alias("last")).where("first < last").select("h", "g", "first")
+    every = near(docs, lines, min_fuzzy).select("h", "g", F.lit(-1).cast("decimal(34,0)").alias("first"))
     out = again.unionByName(every).groupBy("h", "g").agg(F.min("first").alias("first"))
     out = cut(out.select(F.col("h").alias("oh"), F.col("g").alias("og"), "first"), "repeated")
-    hit = lines.select("doc_id", "row_hash", "line", "h", "g", "pos").join(out, (F.col("h") == F.col("oh")) & (F.col("g") == F.col("og")))
-    return cut(hit.where("pos > first").groupBy("doc_id", "row_hash").agg(F.collect_set("line").alias("lines")), "removed")
+    hit = lines.select("doc_id", "row_hash", "line", "h", "g").join(out, (F.col("h") == F.col("oh")) & (F.col("g") == F.col("og")))
+    gone = cut(hit.where(_pos() > F.col("first")).groupBy("doc_id", "row_hash").agg(F.collect_set("line").alias("lines")), "removed")
+    sweep(docs.sparkSession, since, gone)
+    return gone
 
 
 def dedup(docs: DataFrame, min_fuzzy: int = MIN_FUZZY) -> DataFrame:
