@@ -88,6 +88,24 @@ def same_row(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["row_hash"] == b["row_hash"])
 
 
+#: Bitmaps of 4 KB in 2^11 buckets: 8 MB.
+_BUCKET_BITS = 11
+
+
+def maybe_in(rows: DataFrame, key: str, few: DataFrame, of: str) -> DataFrame:
+    """Rows whose 64-bit hash `key` may be in few.of: all that are, and some that aren't.
+
+    few becomes bitmaps in at most 2^11 buckets, which is all that is broadcast,
+    whatever the size of few. Before an exact semi join, so that most text stays
+    where it is."""
+    bucket = lambda h: F.shiftrightunsigned(h, 64 - _BUCKET_BITS).cast("int")
+    place = lambda h: h.bitwiseAND(F.lit(32767)).cast("int")
+    maps = few.groupBy(bucket(F.col(of)).alias("_bucket")).agg(F.bitmap_construct_agg(place(F.col(of)).cast("bigint")).alias("_bits"))
+    byte = F.conv(F.hex(F.substr("_bits", F.floor(place(F.col(key)) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
+    held = rows.join(F.broadcast(maps), bucket(F.col(key)) == F.col("_bucket"))
+    return held.where(F.getbit(byte, place(F.col(key)) % 8) == 1).drop("_bucket", "_bits")
+
+
 def small(df: DataFrame, rows: int = 10_000) -> DataFrame:
     """df with a broadcast hint if it is known to have at most so many rows; else as it is."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, keyed, mark, same_row, sweep, text_of
+from .common import cut, keyed, mark, maybe_in, same_row, sweep, text_of
 
 WINDOW = 8
 #: Words in a window that must not be slots.
@@ -105,7 +105,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, plain:
         raise ValueError("more than half of a window's words must be plain")
     bench = cut(_bench(benchmark, window, plain), "bench")
     some = cut(candidates(docs, bench, anchors).withColumnsRenamed({"doc_id": "d", "row_hash": "r"}), "candidates")
-    rows = keyed(docs)
+    rows = maybe_in(keyed(docs), "row_hash", some, "r")
     rows = rows.join(some, rows["doc_id"].eqNullSafe(some["d"]) & (rows["row_hash"] == some["r"]), "left_semi")
     rows = cut(template(rows), "templates").withColumn("codes", codes(F.col("words")))
     part = lambda i: F.slice("codes", i + 1, F.lit(window))

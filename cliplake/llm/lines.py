@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, keyed, mark, same_row, sweep
+from .common import cut, keyed, mark, maybe_in, same_row, sweep
 
 #: Shorter lines are deduplicated only if equal.
 MIN_FUZZY = 20
@@ -92,7 +92,8 @@ def near(docs: DataFrame, lines: DataFrame, min_fuzzy: int = MIN_FUZZY) -> DataF
     halves = lines.where("halves IS NOT NULL").select("h", F.explode("halves").alias("half"))
     shared = cut(halves.groupBy("half").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").select("half"), "halves")
     few = cut(halves.join(shared, "half", "left_semi").groupBy("h").agg(F.lit(1).alias("one")).select(F.col("h").alias("few")), "few")
-    left = positions(docs).where(F.length("norm") >= min_fuzzy).join(few, F.col("h") == F.col("few"), "left_semi")
+    long = positions(docs).where(F.length("norm") >= min_fuzzy)
+    left = maybe_in(long, "h", few, "few").join(few, F.col("h") == F.col("few"), "left_semi")
     left = cut(left.groupBy("h", "g").agg(F.min(_pos()).alias("pos"), F.first("norm").alias("norm")), "fuzzy")
     frames = left.select("h", "pos", F.explode(_frames(F.col("norm"))).alias("f")).select("h", "pos", "f.frame", "f.longer", "f.mid")
     alike = frames.groupBy("frame").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b")
