@@ -106,7 +106,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, plain:
     bench = cut(_bench(benchmark, window, plain), "bench")
     some = cut(candidates(docs, bench, anchors).withColumnsRenamed({"doc_id": "d", "row_hash": "r"}), "candidates")
     rows = maybe_in(keyed(docs), "row_hash", some, "r")
-    rows = rows.join(some, rows["doc_id"].eqNullSafe(some["d"]) & (rows["row_hash"] == some["r"]), "left_semi")
+    rows = rows.join(some, rows["doc_id"].eqNullSafe(some["d"]) & (rows["row_hash"] == some["r"])).drop("d", "r")  # some is distinct; a semi join would be moved below the bitmap
     rows = cut(template(rows), "templates").withColumn("codes", codes(F.col("words")))
     part = lambda i: F.slice("codes", i + 1, F.lit(window))
     value = lambda i: F.when(F.array_min(part(i)) < 0, F.slice("words", i + 1, F.lit(window)))

@@ -93,7 +93,7 @@ def near(docs: DataFrame, lines: DataFrame, min_fuzzy: int = MIN_FUZZY) -> DataF
     shared = cut(halves.groupBy("half").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").select("half"), "halves")
     few = cut(halves.join(shared, "half", "left_semi").groupBy("h").agg(F.lit(1).alias("one")).select(F.col("h").alias("few")), "few")
     long = positions(docs).where(F.length("norm") >= min_fuzzy)
-    left = maybe_in(long, "h", few, "few").join(few, F.col("h") == F.col("few"), "left_semi")
+    left = maybe_in(long, "h", few, "few").join(few, F.col("h") == F.col("few")).drop("few")  # few is distinct; a semi join would be moved below the bitmap
     left = cut(left.groupBy("h", "g").agg(F.min(_pos()).alias("pos"), F.first("norm").alias("norm")), "fuzzy")
     frames = left.select("h", "pos", F.explode(_frames(F.col("norm"))).alias("f")).select("h", "pos", "f.frame", "f.longer", "f.mid")
     alike = frames.groupBy("frame").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b")
