@@ -1,8 +1,12 @@
 """Substring dedup over sliding spans of sentences.
 
 A text is cut into sentences, at . ! ? and line breaks, and long sentences once
-more after words chosen by their hash, so that the same words are cut alike
-wherever they stand. Every run of SENTENCES or more sentences with WORDS or more
+more by winnowing: of every GAP words in a row that hold no end of a sentence, the
+piece ends at the one with the least hash. Whether a word ends a piece is decided
+by fewer than GAP words on either side, so the same words are cut alike wherever
+they stand, and no piece has more than GAP words. In a passage of 50 words the
+first and last GAP - 1 may be cut otherwise than in another text; between them
+always lies a whole run. Every run of SENTENCES or more sentences with WORDS or more
 words (the shortest such from each sentence on) is hashed and joined globally;
 sentences that a repeated run covers go, except where it occurs first.
 
@@ -15,7 +19,9 @@ moves once, to meet the runs of its document.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -25,68 +31,116 @@ from .common import cut, keyed, mark, sweep
 
 SENTENCES = 3
 WORDS = 20
-#: One word in so many ends a piece of a sentence.
-CUT = 10
+#: Most words in a piece. A shared run ends within 2 GAP - 2 + WORDS + GAP - 1 words of a passage, GAP more decide its last cut: 50 for 8.
+GAP = 8
 _END = (".", "!", "?", '."', '!"', '?"', ".)", "!)", "?)", ".'", "!'", "?'")
 
 
-def pieces(text: str, cuts: dict[str, bool]) -> list[tuple[int, str]]:
-    """(number of words, words joined by blanks in lower case) of each sentence or part of one, in order."""
+def _key(w: str) -> int:
+    """63 bits of a hash of a word in lower case, inverted if it ends a sentence."""
+    k = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) >> 1
+    return ~k if w.endswith(_END) else k
+
+
+def _cut(text: str, cuts: dict[str, int]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Words in lower case, their keys (kept in cuts), and the places after which a piece ends."""
     if len(cuts) > 500_000:
         cuts.clear()
-    out = []
-    for line in text.split("\n"):
-        words = line.split()
-        at = 0
-        for k, w in enumerate(words, 1):
-            end = cuts.get(w)
-            if end is None:
-                end = cuts[w] = w.endswith(_END) or xxhash.xxh32_intdigest(w.lower().encode("utf-8", "surrogatepass")) % CUT == 0
-            if end:
-                out.append((k - at, " ".join(words[at:k]).lower()))
-                at = k
-        if at < len(words):
-            out.append((len(words) - at, " ".join(words[at:]).lower()))
+    lines = [w for line in text.lower().split("\n") if (w := line.split())]
+    words = list(chain.from_iterable(lines))
+    for w in set(words).difference(cuts):
+        cuts[w] = _key(w)
+    n = len(words)
+    keys = np.fromiter(map(cuts.__getitem__, words), np.int64, n)
+    end = keys < 0
+    end[np.cumsum([len(w) for w in lines], dtype=np.int64) - 1] = True
+    if n >= GAP:
+        # the least hash of each window, of equal ones the last, by windows of 2, 4 and 8 words
+        least, size = (np.where(end, -1, keys & 0xFFFFFFFF) << 31) + np.arange(n - 1, -1, -1), 1
+        while size < GAP:
+            step = min(size, GAP - size)
+            least, size = np.minimum(least[:-step], least[step:]), size + step
+        end[n - 1 - (least & 0x7FFFFFFF)] = True
+    return words, keys, np.flatnonzero(end) + 1
+
+
+def pieces(text: str, cuts: dict[str, int]) -> list[tuple[int, str]]:
+    """(number of words, words joined by blanks in lower case) of each sentence or part of one, in order."""
+    words, _, ends = _cut(text, cuts)
+    out, at = [], 0
+    for k in ends.tolist():
+        out.append((k - at, " ".join(words[at:k])))
+        at = k
     return out
 
 
-def runs(parts: list[tuple[int, str]], sentences: int = SENTENCES, least: int = WORDS) -> Iterator[tuple[int, int, bytes]]:
-    """(first piece, number of pieces, hash) of the shortest run from each piece on."""
-    keys = [xxhash.xxh3_128_digest(p.encode("utf-8", "surrogatepass")) for _, p in parts]
-    end = total = 0
-    for i in range(len(parts)):
-        while end < len(parts) and (end - i < sentences or total < least):
-            total += parts[end][0]
-            end += 1
-        if end - i < sentences or total < least:
-            return
-        yield i, end - i, xxhash.xxh3_128_digest(b"".join(keys[i:end]))
-        total -= parts[i][0]
+def _powers(base: int) -> np.ndarray:
+    out = np.full(_BLOCK, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+#: Run hashes are polynomials of the keys modulo 2^64, taken in blocks of so many words, which overlap by the longest run.
+_BLOCK = 1 << 16
+_BASES = [0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93]
+_UP = [_powers(b) for b in _BASES]
+_DOWN = [_powers(pow(b, -1, 1 << 64)) for b in _BASES]
+
+
+def _runs(keys: np.ndarray, ends: np.ndarray, sentences: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First piece, number of pieces and hashes (64 and 32 bits, of the words) of the shortest run from each piece on."""
+    starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+    at = np.arange(len(ends))
+    last = np.maximum(at + sentences - 1, np.searchsorted(ends, starts + least))
+    at = at[last < len(ends)]
+    last = last[: len(at)]
+    s, e = starts[at], ends[last]
+    out = [np.zeros(len(at), np.uint64) for _ in _BASES]
+    mixed = [keys.astype(np.uint64), (keys ^ (keys >> 29)).astype(np.uint64)]
+    i = 0
+    while i < len(at):
+        low = s[i]
+        j = max(i + 1, int(np.searchsorted(e, low + _BLOCK, "right")))
+        if e[i] - low > _BLOCK:
+            raise ValueError(f"a run has more than {_BLOCK} words")
+        for k, m in enumerate(mixed):
+            part = m[low : e[j - 1]]
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * _UP[k][: len(part)], dtype=np.uint64)])
+            out[k][i:j] = (total[e[i:j] - low] - total[s[i:j] - low]) * _DOWN[k][s[i:j] - low]
+        i = j
+    return at, last - at + 1, out[0].view(np.int64), (out[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def runs(parts: list[tuple[int, str]], sentences: int = SENTENCES, least: int = WORDS) -> Iterator[tuple[int, int, tuple[int, int]]]:
+    """(first piece, number of pieces, hashes) of the shortest run from each piece on."""
+    keys = np.array([_key(w) for _, p in parts for w in p.split(" ")], np.int64)
+    at, n, h, g = (x.tolist() for x in _runs(keys, np.cumsum([n for n, _ in parts], dtype=np.int64), sentences, least))
+    yield from zip(at, n, zip(h, g))
 
 
 def run_table(docs: DataFrame, sentences: int = SENTENCES, least: int = WORDS) -> DataFrame:
     """h, g (hashes of a run), doc_id, row_hash, at, n: the first occurrence of each run in each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cuts: dict[str, bool] = {}
+        cuts: dict[str, int] = {}
         for b in batches:
-            row, h, g, at, n = [], [], [], [], []
+            found, row = [], []
             for r, t in enumerate(b.column(2)):
-                seen = set()
-                for i, k, d in runs(pieces(t.as_py(), cuts), sentences, least):
-                    if d not in seen:
-                        seen.add(d)
-                        row.append(r)
-                        h.append(int.from_bytes(d[:8], "little", signed=True))
-                        g.append(int.from_bytes(d[8:12], "little", signed=True))
-                        at.append(i)
-                        n.append(k)
-            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(g, pa.int32()), b.column(0).take(pa.array(row, pa.int64())), b.column(1).take(pa.array(row, pa.int64())), pa.array(at, pa.int32()), pa.array(n, pa.int32())], names=["h", "g", "doc_id", "row_hash", "at", "n"])
+                got = _runs(*_cut(t.as_py(), cuts)[1:], sentences, least)
+                if len(got[0]):
+                    one = np.unique(got[2], return_index=True)[1]
+                    found.append([x[one] for x in got])
+                    row.append(np.full(len(one), r))
+            if not found:
+                continue
+            at, n, h, g = (np.concatenate(x) for x in zip(*found))
+            rows = pa.array(np.concatenate(row))
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(g), b.column(0).take(rows), b.column(1).take(rows), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))], names=["h", "g", "doc_id", "row_hash", "at", "n"])
 
     return keyed(docs).select("doc_id", "row_hash", "text").mapInArrow(run, "h long, g int, doc_id long, row_hash long, at int, n int")
 
 
-def strip(text: str, gone: set[int], cuts: dict[str, bool]) -> tuple[str, int]:
+def strip(text: str, gone: set[int], cuts: dict[str, int]) -> tuple[str, int]:
     """text without the pieces whose number is in gone, and the number of pieces; a line without words left goes with its break."""
     lines, k = [], 0
     for line in text.split("\n"):
@@ -126,19 +180,21 @@ def dedup(docs: DataFrame, sentences: int = SENTENCES, least: int = WORDS) -> Da
     rows = rows.join(gone, rows["doc_id"].eqNullSafe(gone["d"]) & (rows["row_hash"] == gone["r"]), "left").select("doc_id", "text", "runs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cuts: dict[str, bool] = {}
+        cuts: dict[str, int] = {}
         for b in batches:
             text, n, removed = [], [], []
             for t, r in zip(b.column(1), b.column(2)):
-                t, parts = t.as_py(), pieces(t.as_py(), cuts)
+                t, (_, keys, ends) = t.as_py(), _cut(t.as_py(), cuts)
                 bad = {k for x in r.as_py() or () for k in range(x["at"], x["at"] + x["n"])}
-                seen: set[bytes] = set()
-                for i, k, d in runs(parts, sentences, least):
-                    if d in seen:
-                        bad.update(range(i, i + k))
-                    seen.add(d)
+                at, size, h, _ = _runs(keys, ends, sentences, least)
+                once = np.unique(h, return_index=True)[1]
+                if len(once) < len(h):
+                    again = np.ones(len(h), bool)
+                    again[once] = False
+                    for k in np.flatnonzero(again).tolist():
+                        bad.update(range(int(at[k]), int(at[k] + size[k])))
                 text.append(strip(t, bad, cuts)[0] if bad else t)
-                n.append(len(parts))
+                n.append(len(ends))
                 removed.append(len(bad))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.string()), pa.array(n, pa.int64()), pa.array(removed, pa.int64())], names=["doc_id", "text", "n_sentences", "n_removed"])
 

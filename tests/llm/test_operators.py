@@ -94,6 +94,19 @@ def test_spans_match_brute_force(docs, words):
         assert got[i] == (spans.strip(t, gone[i], cuts)[0] if gone[i] else t, len(gone[i]))
 
 
+@pytest.mark.parametrize("size", [50, 51, 55])
+def test_every_passage_of_50_words_holds_a_shared_run(words, size):
+    r, cuts = random.Random(size), {}
+    few = words(40)
+    found = lambda t: {d for _, _, d in spans.runs(spans.pieces(t, cuts))}
+    for k in range(1500):
+        passage = " ".join(words(size) if k % 3 else [r.choice(few) for _ in range(size)])
+        if k % 5 == 0:
+            passage = passage.replace(" ", ". ", r.randint(0, 9))
+        a, b = (" ".join(words(r.randint(0, 30))) + r.choice([" ", "\n", ". "]) + passage + r.choice([" ", "\n", ". "]) + " ".join(words(r.randint(0, 30))) for _ in "ab")
+        assert found(a) & found(b), passage
+
+
 # ---- 3
 
 
