@@ -3,9 +3,10 @@
 Texts become templates: numbers, units after numbers and capitalised names turn
 into typed slots, the rest into lower-case words without punctuation. Windows of
 WINDOW template words are hashed and joined with those of the benchmark. For
-each document and item the values that the slots hold on both sides must map
-consistently, as they do when a question is asked again with other numbers or
-names. DataFrame functions only.
+each occurrence of an item in a document the values that the slots hold on both
+sides must map consistently, as they do when a question is asked again with other
+numbers or names; windows with the item's own values count whatever else the
+document holds. DataFrame functions only.
 
 Scale: a window with a match holds its anchor, a pair of neighbouring plain words;
 one pass over the words looks pairs up among the anchors (broadcast if counted to
@@ -97,7 +98,11 @@ def candidates(docs: DataFrame, bench: DataFrame, most: int = ANCHORS) -> DataFr
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, plain: int = PLAIN, anchors: int = ANCHORS) -> DataFrame:
-    """doc_id, row_hash, item_id, windows (distinct places of the item that match), item_windows, same_slots, slots (values of the item in matched windows), mapped (those with one value in the document).
+    """doc_id, row_hash, item_id, part, windows (distinct places of the item that match), item_windows, same_slots, slots (values of the item in matched windows), mapped (those with one value in the part).
+
+    Parts of a document are the whole, the windows with the item's own values, and
+    occurrences: windows at one shift against the item, and at shifts less than a
+    window apart in order, as values of more or fewer words move what follows.
 
     plain must be more than half of window. Only documents with an anchor are
     turned into templates."""
@@ -110,30 +115,40 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, plain:
     rows = cut(template(rows), "templates").withColumn("codes", codes(F.col("words")))
     part = lambda i: F.slice("codes", i + 1, F.lit(window))
     value = lambda i: F.when(F.array_min(part(i)) < 0, F.slice("words", i + 1, F.lit(window)))
-    every = F.transform(F.sequence(F.lit(0), F.size("codes") - window), lambda i: F.struct(F.xxhash64(part(i)).alias("key"), value(i).alias("doc_words")))
-    found = rows.where(F.size("codes") >= window).select("doc_id", "row_hash", F.explode(every).alias("w")).select("doc_id", "row_hash", "w.key", "w.doc_words")
+    every = F.transform(F.sequence(F.lit(0), F.size("codes") - window), lambda i: F.struct(i.alias("place"), F.xxhash64(part(i)).alias("key"), value(i).alias("doc_words")))
+    found = rows.where(F.size("codes") >= window).select("doc_id", "row_hash", F.explode(every).alias("w")).select("doc_id", "row_hash", "w.place", "w.key", "w.doc_words")
     met = found.join(bench.drop("anchor"), F.col("key") == F.col("k"))
     pair = F.arrays_zip(F.col("item_words").alias("a"), F.coalesce("doc_words", "item_words").alias("b"))
     value = F.filter(pair, lambda p: p["a"] < "\x02")
-    met = met.select("doc_id", "row_hash", "item_id", "item_place", "item_windows", value.alias("slots"))
-    # a passage that a document repeats is counted before it moves
-    sums = met.groupBy("doc_id", "row_hash", "item_id", "item_place").agg(F.first("item_windows").alias("item_windows"))
-    sums = sums.groupBy("doc_id", "row_hash", "item_id").agg(F.count("*").alias("windows"), F.first("item_windows").alias("item_windows"))
-    held = met.select("doc_id", "row_hash", "item_id", F.explode("slots").alias("s")).groupBy("doc_id", "row_hash", "item_id", "s.a").agg(F.min("s.b").alias("least"), F.max("s.b").alias("most"))
+    met = met.select("doc_id", "row_hash", "item_id", "item_place", "item_windows", (F.col("place") - F.col("item_place")).alias("shift"), value.alias("slots")).distinct()
+    item = ["doc_id", "row_hash", "item_id"]
+    by_shift = W.partitionBy(*item).orderBy("shift")
+    met = met.withColumn("jump", (F.col("shift") - F.lag("shift").over(by_shift) >= window).cast("int"))
+    met = met.withColumn("near", F.coalesce(F.sum("jump").over(by_shift), F.lit(0)))
+    name = lambda kind, n: F.struct(F.lit(kind).alias("kind"), n.cast("long").alias("n"))
+    parts = [name("whole", F.lit(0)), name("shift", F.col("shift")), name("near", F.col("near"))]
+    own = F.forall("slots", lambda p: p["a"] == p["b"])
+    met = met.withColumn("part", F.explode(F.when(own, F.array(*parts, name("own", F.lit(0)))).otherwise(F.array(*parts))))
+    item.append("part")
+    sums = met.groupBy(*item, "item_place").agg(F.first("item_windows").alias("item_windows"))
+    sums = sums.groupBy(*item).agg(F.count("*").alias("windows"), F.first("item_windows").alias("item_windows"))
+    held = met.select(*item, F.explode("slots").alias("s")).groupBy(*item, "s.a").agg(F.min("s.b").alias("least"), F.max("s.b").alias("most"))
     same = (F.col("least") == F.col("a")) & (F.col("most") == F.col("a"))
-    held = held.groupBy("doc_id", "row_hash", "item_id").agg(F.count("*").alias("slots"), F.count_if(F.col("least") == F.col("most")).alias("mapped"), F.count_if(same).alias("same_slots"))
-    out = sums.alias("x").join(held.alias("y"), F.expr("x.doc_id <=> y.doc_id AND x.row_hash = y.row_hash AND x.item_id = y.item_id"), "left")
+    held = held.groupBy(*item).agg(F.count("*").alias("slots"), F.count_if(F.col("least") == F.col("most")).alias("mapped"), F.count_if(same).alias("same_slots"))
+    out = sums.alias("x").join(held.alias("y"), F.expr("x.doc_id <=> y.doc_id AND x.row_hash = y.row_hash AND x.item_id = y.item_id AND x.part = y.part"), "left")
     return out.select("x.*", *[F.coalesce(f"y.{c}", F.lit(0)).alias(c) for c in ("slots", "mapped", "same_slots")])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, hits: int = HITS, consistent: float = CONSISTENT) -> DataFrame:
     """doc_id, row_hash, items (ids), reparameterised, best (largest share of an item's windows): only contaminated documents.
 
-    An item counts if `hits` of its windows (all if it has fewer) match and
-    either all its slot values are the item's own or at least the share
+    An item counts if in a part of the document `hits` of its windows (all if it
+    has fewer) match and either all its slot values are the item's own or at least the share
     `consistent` of them maps to one value each."""
     got = matches(docs, benchmark)
-    fine = (F.col("same_slots") == F.col("slots")) | (F.col("mapped") >= consistent * F.col("slots"))
+    # windows without slots say nothing of an occurrence whose slots do not map
+    fine = (F.col("slots") > 0) | F.col("part.kind").isin("whole", "near")
+    fine &= (F.col("same_slots") == F.col("slots")) | (F.col("mapped") >= consistent * F.col("slots"))
     got = got.where((F.col("windows") >= F.least(F.lit(hits), F.col("item_windows"))) & fine)
     return got.groupBy("doc_id", "row_hash").agg(F.array_sort(F.collect_set("item_id")).alias("items"), F.bool_or(F.col("same_slots") < F.col("slots")).alias("reparameterised"), F.max(F.col("windows") / F.col("item_windows")).alias("best"))
 

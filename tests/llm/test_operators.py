@@ -423,6 +423,17 @@ def test_slots_must_be_consistent(spark, docs):
     assert got == {1: (True, True), 2: (False, False), 3: (True, False)}
 
 
+def test_each_occurrence_has_its_own_slots(spark, docs):
+    item = "Take 12 red apples and 12 green apples and then give Anna 7 yellow apples for the big round basket of the old farmer"
+    ask = lambda a, name, b: item.replace("12", a).replace("Anna", name).replace("7", b)
+    bad = "Take 1 red apples and 2 green apples and then give Anna 3 yellow apples for the"
+    # a name of two words moves what follows it
+    texts = [item + ". " + ask("30", "Lena", "9"), ask("30", "Lena", "9") + ". " + ask("5", "Max", "8"), item + ". " + bad, ask("30", "Lena Ott", "9") + ". Well. " + ask("5", "Max", "8"), bad + ". " + bad.replace("2", "4").replace("3", "6")]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = by_id(decontam.check(docs(list(enumerate(texts))), bench), "contaminated", "reparameterised")
+    assert got == {0: (True, True), 1: (True, True), 2: (True, False), 3: (True, True), 4: (False, False)}
+
+
 # ---- 10
 
 
