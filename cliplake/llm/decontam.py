@@ -6,7 +6,8 @@ WINDOW template words are hashed and joined with those of the benchmark. For
 each occurrence of an item in a document the values that the slots hold on both
 sides must map consistently, as they do when a question is asked again with other
 numbers or names; windows with the item's own values count whatever else the
-document holds. DataFrame functions only.
+document document holds. Items without a window of enough plain words are looked for whole,
+with their own values. DataFrame functions only.
 
 Scale: a window with a match holds its anchor, a pair of neighbouring plain words;
 one pass over the words looks pairs up among the anchors (broadcast if counted to
@@ -85,16 +86,45 @@ def _bench(benchmark: DataFrame, window: int, plain: int) -> DataFrame:
     return rows.select(F.xxhash64("code").alias("k"), "anchor", "item_id", "item_place", "item_windows", "item_words")
 
 
-def candidates(docs: DataFrame, bench: DataFrame, most: int = ANCHORS) -> DataFrame:
-    """doc_id, row_hash of the documents in which an anchor of `bench` occurs; all that hold a window do."""
-    anchors = bench.select("anchor").distinct()
+def _bare(words: Column) -> Column:
+    """The words in lower case without types: alike wherever a sentence begins."""
+    return F.transform(words, lambda w: F.lower(F.regexp_replace(w, "^\x01.|\x03", "")))
+
+
+def _whole(benchmark: DataFrame, window: int, plain: int) -> DataFrame:
+    """A row per item without a usable window: whole (hash of its words), n (their number), anchor, alone, item_id.
+
+    The anchor is the pair of neighbours with most characters, signs in numbers
+    parting them too, or the only word there is (alone)."""
+    rows = template(benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), text_of(benchmark).alias("text"))).where(F.size("words") > 0)
+    few = lambda i: F.size(F.filter(F.slice("codes", i + 1, F.lit(window)), lambda c: c >= 0)) < plain
+    places = F.sequence(F.lit(0), F.greatest(F.size("codes") - window, F.lit(0)))
+    rows = rows.withColumn("codes", codes(F.col("words"))).where((F.size("codes") < window) | F.forall(places, few))
+    rows = rows.select("item_id", _bare(F.col("words")).alias("bare"))
+    tokens = F.filter(F.split(F.translate(F.array_join("bare", " "), NUMERIC, " " * len(NUMERIC)), " "), lambda w: w != "")
+    rows = rows.withColumn("tokens", tokens).withColumn("alone", F.size("tokens") == 1)
+    next_ = lambda i: F.coalesce(F.get("tokens", i + 1), F.lit(""))
+    pairs = F.transform(F.sequence(F.lit(0), F.greatest(F.size("tokens") - 2, F.lit(0))), lambda i: F.struct((F.length(F.get("tokens", i)) + F.length(next_(i))).alias("n"), _pair(F.get("tokens", i), next_(i)).alias("pair")))
+    return rows.select(F.xxhash64("bare").alias("whole"), F.size("bare").alias("n"), F.array_max(pairs)["pair"].alias("anchor"), "alone", "item_id")
+
+
+def candidates(docs: DataFrame, bench: DataFrame, most: int = ANCHORS, alone: bool = False) -> DataFrame:
+    """doc_id, row_hash of the documents in which an anchor of `bench` occurs; all that hold a window do.
+
+    If bench has n, so has the result. alone: some anchors are of one word."""
+    keys = [c for c in ("n",) if c in bench.columns]
+    anchors = bench.select("anchor", *keys).distinct()
     if anchors.limit(most + 1).count() <= most:
         anchors = F.broadcast(anchors)
     rows = keyed(docs)
     signs = SIGNS + NUMERIC
     raw = rows.select("doc_id", "row_hash", F.split(F.regexp_replace(F.translate(F.lower("text"), signs, " " * len(signs)), "  +", " "), " ").alias("raw"))
     pairs = raw.select("doc_id", "row_hash", F.explode(F.arrays_zip(F.col("raw").alias("a"), F.slice("raw", F.lit(2), F.size("raw")).alias("b"))).alias("p"))
-    return pairs.select("doc_id", "row_hash", _pair(F.col("p.a"), F.col("p.b")).alias("of")).join(anchors, F.col("of") == F.col("anchor"), "left_semi").select("doc_id", "row_hash").distinct()
+    pairs = pairs.select("doc_id", "row_hash", _pair(F.col("p.a"), F.col("p.b")).alias("of"))
+    if alone:
+        pairs = pairs.union(raw.select("doc_id", "row_hash", F.explode("raw").alias("a")).select("doc_id", "row_hash", _pair(F.col("a"), F.lit(""))))
+    met = pairs.join(anchors, F.col("of") == F.col("anchor"), "inner" if keys else "left_semi")
+    return met.select("doc_id", "row_hash", *keys).distinct()
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, plain: int = PLAIN, anchors: int = ANCHORS) -> DataFrame:
@@ -109,10 +139,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, plain:
     if 2 * plain <= window:
         raise ValueError("more than half of a window's words must be plain")
     bench = cut(_bench(benchmark, window, plain), "bench")
-    some = cut(candidates(docs, bench, anchors).withColumnsRenamed({"doc_id": "d", "row_hash": "r"}), "candidates")
+    whole = cut(_whole(benchmark, window, plain), "whole")
+    short, alone = (bool(whole.where(c).limit(1).count()) for c in ("true", "alone"))
+    if short:
+        both = bench.select("anchor", F.lit(None).cast("int").alias("n")).union(whole.select("anchor", "n"))
+        some = candidates(docs, both, anchors, alone).groupBy("doc_id", "row_hash").agg(F.collect_set("n").alias("lengths"))
+    else:
+        some = candidates(docs, bench, anchors)
+    some = cut(some.withColumnsRenamed({"doc_id": "d", "row_hash": "r"}), "candidates")
     rows = maybe_in(keyed(docs), "row_hash", some, "r")
     rows = rows.join(some, rows["doc_id"].eqNullSafe(some["d"]) & (rows["row_hash"] == some["r"])).drop("d", "r")  # some is distinct; a semi join would be moved below the bitmap
-    rows = cut(template(rows), "templates").withColumn("codes", codes(F.col("words")))
+    rows = template(rows)
+    rows = cut(rows.withColumn("bare", _bare(F.col("words"))) if short else rows, "templates")
+    texts, rows = rows, rows.withColumn("codes", codes(F.col("words")))
     part = lambda i: F.slice("codes", i + 1, F.lit(window))
     value = lambda i: F.when(F.array_min(part(i)) < 0, F.slice("words", i + 1, F.lit(window)))
     every = F.transform(F.sequence(F.lit(0), F.size("codes") - window), lambda i: F.struct(i.alias("place"), F.xxhash64(part(i)).alias("key"), value(i).alias("doc_words")))
@@ -136,7 +175,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, plain:
     same = (F.col("least") == F.col("a")) & (F.col("most") == F.col("a"))
     held = held.groupBy(*item).agg(F.count("*").alias("slots"), F.count_if(F.col("least") == F.col("most")).alias("mapped"), F.count_if(same).alias("same_slots"))
     out = sums.alias("x").join(held.alias("y"), F.expr("x.doc_id <=> y.doc_id AND x.row_hash = y.row_hash AND x.item_id = y.item_id AND x.part = y.part"), "left")
-    return out.select("x.*", *[F.coalesce(f"y.{c}", F.lit(0)).alias(c) for c in ("slots", "mapped", "same_slots")])
+    out = out.select("x.*", *[F.coalesce(f"y.{c}", F.lit(0)).alias(c) for c in ("slots", "mapped", "same_slots")])
+    if not short:
+        return out
+    fit = F.filter("lengths", lambda n: n <= F.size("bare"))
+    every = F.flatten(F.transform(fit, lambda n: F.transform(F.sequence(F.lit(0), F.size("bare") - n), lambda i: F.xxhash64(F.slice("bare", i + 1, n)))))
+    found = texts.select("doc_id", "row_hash", F.explode(F.array_distinct(every)).alias("key")).join(whole.select("whole", "item_id"), F.col("key") == F.col("whole"))
+    found = found.select("doc_id", "row_hash", "item_id", name("whole", F.lit(0)).alias("part")).distinct()
+    return out.unionByName(found.withColumns({"windows": F.lit(1), "item_windows": F.lit(1), "slots": F.lit(0), "mapped": F.lit(0), "same_slots": F.lit(0)}))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, hits: int = HITS, consistent: float = CONSISTENT) -> DataFrame:
@@ -156,8 +202,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, hits: int = HITS, consis
 def check(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, contaminated, items (ids joined by commas), n_items, reparameterised, best: one row per row of docs.
 
-    Null and empty texts, on either side, and texts of fewer than WINDOW template
-    words match nothing; an empty benchmark or one with null ids leaves all
+    Null and empty texts, on either side, match nothing; items of fewer than WINDOW
+    template words, or of too few plain ones, match only as they are; an empty benchmark or one with null ids leaves all
     clean. Repeated rows get the same verdict; other columns are not read."""
     since, rows = mark(), keyed(docs).drop("text")
     bad = cut(contaminated(docs, benchmark), "contaminated")

@@ -423,6 +423,14 @@ def test_slots_must_be_consistent(spark, docs):
     assert got == {1: (True, True), 2: (False, False), 3: (True, False)}
 
 
+def test_items_without_windows_match_as_they_are(spark, docs):
+    items = {1: "What is 17 plus 25?", 2: "12 4.5 7 9 1,000 3 8 44 6 5 2", 3: "Zyxqw", 4: "?", 5: "Name Anna, Tom, Lena, Max and Bob 3 km off"}
+    texts = ["He asked: what is 17 plus 25? Nobody knew.", "What is 17 plus 26?", "Sort 12 4.5 7 9 1,000 3 8 44 6 5 2 now", "Sort 12 45 7 9 1,000 3 8 44 6 5 2 now", "a zyxqw b", "Please name Anna, Tom, Lena, Max and Bob 3 km off.", "plus 25", None]
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = by_id(decontam.check(docs(list(enumerate(texts))), bench), "items")
+    assert [got[i][0] for i in range(len(texts))] == ["1", "", "2", "", "3", "5", "", ""]
+
+
 def test_each_occurrence_has_its_own_slots(spark, docs):
     item = "Take 12 red apples and 12 green apples and then give Anna 7 yellow apples for the big round basket of the old farmer"
     ask = lambda a, name, b: item.replace("12", a).replace("Anna", name).replace("7", b)
