@@ -1,10 +1,10 @@
 """Main text of web pages by the distribution of text over line blocks.
 
 Markup is stripped to lines, one per block element. A line weighs as much as its
-text outside links; lines of parts that are never the article (menus, headers,
-footers, sidebars, notices, adverts, forms, comments) weigh nothing, and if the
-page names its article, neither does anything outside. Weights are summed over
-windows of WINDOW lines. A stretch of the page from where the sums rise from
+text outside links, or nothing if most of it is in links; lines of parts that are
+never the article (menus, headers, footers, sidebars, notices, adverts, forms,
+comments) weigh nothing. Lines of an article that the page names weigh BOOST times
+as much. Weights are summed over windows of WINDOW lines. A stretch of the page from where the sums rise from
 nothing to where they dive to nothing is text if they surge over a threshold in
 between; its lines with a weight are kept.
 
@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 WINDOW = 3
 #: A sum of this many characters is a surge on any page.
 SURGE = 86
-#: On pages without a named article a line must have this share of its text outside links.
+#: Weight of a line in a named article.
+BOOST = 4
+#: A line must have this share of its text outside links.
 PLAIN_SHARE = 0.5
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|textarea|select|iframe|title)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>", re.DOTALL | re.IGNORECASE)
@@ -122,17 +124,9 @@ def lines(html: str) -> list[tuple[str, int, bool, bool]]:
 def extract(html: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     """The main text, blocks joined by line breaks; empty if there is none."""
     found = lines(html or "")
-    named = any(art and not bad for _, _, bad, art in found)
-    weight = []
-    for text, plain, bad, art in found:
-        if bad or named and not art:
-            weight.append(0)
-        elif named:
-            weight.append(len(text))
-        else:
-            weight.append(plain if plain >= PLAIN_SHARE * len(text) else 0)
+    weight = [0 if bad or plain < PLAIN_SHARE * len(text) else plain * (BOOST if art else 1) for text, plain, bad, art in found]
     sums = [sum(weight[i : i + window]) for i in range(len(weight))]
-    threshold = 0 if named else min(surge, max(sums, default=0) / 4)
+    threshold = min(surge, max(sums, default=0) / 4)
     kept: list[str] = []
     start = 0
     while start < len(sums):

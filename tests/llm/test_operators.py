@@ -292,6 +292,16 @@ def test_html(spark):
     assert html_text.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_density_decides_on_pages_with_a_named_article():
+    links = "<div class='box'><p><a href=a>Ten things that you have to read today</a></p><p><a href=b>And ten more of them</a></p></div>"
+    assert html_text.extract(PAGE % f"<main><div>{BODY}</div>{links}</main>") == TEXT
+    body = "".join(f"<p>Paragraph {k} of the real text, which is long enough for a surge of its own.</p>" for k in range(5))
+    got = html_text.extract(PAGE % f"<article><a href=c>A teaser card</a></article><div class='content'>{body}</div>")
+    assert got.count("\n") == 4 and "teaser" not in got
+    got = html_text.extract(PAGE % f"<article><p>Card of a few words</p></article><div class='content'>{body}</div>")
+    assert got.count("Paragraph") == 5
+
+
 # ---- 7
 
 
