@@ -53,6 +53,11 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return out
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """df dealt by `key` over as many partitions as shuffles have: for few bytes with much work each."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def mark() -> int:
     return len(_made)
 

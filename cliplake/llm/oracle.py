@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import forest_join, lines, mixing, secret_scan
+from . import forest_join, mixing, secret_scan
 
 
 def _spans(rule: secret_scan.Rule) -> str:
@@ -42,15 +42,16 @@ def op3() -> str:
 
 
 def op4() -> str:
-    return f"""
+    return """
     WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
     raw AS (SELECT doc_id, unnest(parts) AS line, unnest(range(0, len(parts))) AS n FROM split),
     norm AS (SELECT doc_id, n, line, lower(trim(regexp_replace(line, '^[\\t-\\r]+|[\\t-\\r]+$', '', 'g'))) AS t FROM raw),
     pos AS (SELECT *, row_number() OVER (ORDER BY doc_id, n) AS p FROM norm WHERE t <> ''),
     first AS (SELECT t, min(p) AS p FROM pos GROUP BY t),
-    long AS (SELECT *, left(t, {lines.MIN_FUZZY // 2}) AS a, right(t, {lines.MIN_FUZZY // 2}) AS z FROM first WHERE length(t) >= {lines.MIN_FUZZY}),
-    near AS (SELECT DISTINCT y.t FROM long x JOIN long y ON x.a = y.a AND x.p < y.p AND abs(length(x.t) - length(y.t)) <= 1 WHERE levenshtein(x.t, y.t) <= 1
-             UNION SELECT DISTINCT y.t FROM long x JOIN long y ON x.z = y.z AND x.p < y.p AND abs(length(x.t) - length(y.t)) <= 1 WHERE levenshtein(x.t, y.t) <= 1),
+    half AS (SELECT t, p, m, unnest([concat('a', left(t, m // 2)), concat('z', right(t, m // 2))]) AS k FROM (SELECT t, p, unnest([length(t), length(t) - 1]) AS m FROM first)),
+    met AS (SELECT DISTINCT x.t AS a, y.t AS b FROM half x JOIN half y ON x.m = y.m AND x.k = y.k AND x.p < y.p WHERE least(length(x.t), length(y.t)) = x.m AND abs(length(x.t) - length(y.t)) <= 1),
+    agree AS (SELECT a, b, list_max(list_filter(range(0, least(length(a), length(b)) + 1), lambda i: left(a, i) = left(b, i))) AS i FROM met),
+    near AS (SELECT DISTINCT b AS t FROM agree WHERE CASE WHEN length(a) = length(b) THEN substr(a, i + 2) = substr(b, i + 2) WHEN length(a) > length(b) THEN substr(a, i + 2) = substr(b, i + 1) ELSE substr(a, i + 1) = substr(b, i + 2) END),
     gone AS (SELECT doc_id, n FROM pos JOIN first USING (t) WHERE pos.p > first.p OR t IN (SELECT t FROM near)),
     lost AS (SELECT doc_id, count(*) AS k, string_agg(CAST(n AS VARCHAR), ',' ORDER BY n) AS r FROM gone GROUP BY doc_id),
     kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY n) AS s FROM raw ANTI JOIN gone USING (doc_id, n) GROUP BY doc_id)

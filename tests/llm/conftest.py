@@ -3,7 +3,7 @@ import random
 import pytest
 
 #: Columns whose names the operators use inside.
-CLASH = ("size", "h", "g", "key", "root", "line", "row_hash", "cls", "n", "pos", "lines", "spans", "text_", "target", "rank")
+CLASH = ("size", "h", "g", "key", "root", "line", "row_hash", "cls", "n", "pos", "lines", "spans", "text_", "target", "rank", "removed_lines", "total_lines", "short", "wide", "early", "late", "part", "score", "kept")
 
 
 @pytest.fixture

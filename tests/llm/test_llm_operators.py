@@ -193,7 +193,7 @@ def within_one(a, b):
 
 def test_lines(spark, docs, words):
     r = random.Random(5)
-    base = [" ".join(words(r.randint(1, 12))) for _ in range(40)] + ["a" * 40, "ab" * 30]
+    base = [" ".join(words(r.randint(1, 12))) for _ in range(40)] + ["a" * 40, "ab" * 30, "é", "ab", "Copyright 2019 Acme", "\U0001d4b3" * 17, "seven c", "fifteen chars.."]
 
     def edit(s):
         k = r.randrange(len(s) + 1)
@@ -214,8 +214,7 @@ def test_lines(spark, docs, words):
     first = {}
     for k, (_, _, s) in enumerate(seq):
         first.setdefault(s, k)
-    long = [s for s in first if len(s) >= lines.MIN_FUZZY]
-    near = {s for s in long if any(first[t] < first[s] and within_one(s, t) for t in long)}
+    near = {s for s in first if any(first[t] < first[s] and within_one(s, t) for t in first)}
     want = defaultdict(list)
     for k, (i, n, s) in enumerate(seq):
         if k > first[s] or s in near:
