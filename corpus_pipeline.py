@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cliplake.llm import decontam, forest_join, lines, mixing, quality
 from cliplake.llm.common import cut, table
@@ -16,11 +15,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; a document whose lines all go, goes; n_chars follows the text."""
-    names = docs.columns
-    got = lines.dedup(docs)
-    empty = (F.size("removed_lines") > 0) & (F.trim(F.regexp_replace("text", r"[\t-\r]+", " ")) == "")
-    size = F.when(F.size("removed_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return got.where(~empty).withColumn("n_chars", size).select(*names)
+    return lines.keep(docs)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
