@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,8 +16,17 @@ SPACE = r"[ \x09-\x0D]"
 WORD = r"[^ \x09-\x0D]+"
 
 _own: list[str] = []
-_made: list[str] = []
-_path: dict[int, tuple[DataFrame, str]] = {}
+
+
+class _Made(threading.local):
+    """What cut() has written, by thread: operators that run side by side don't delete each other's tables."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+        self.of: dict[int, tuple[DataFrame, str]] = {}
+
+
+_made = _Made()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,9 +57,9 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     join, which adaptive execution can split if a key is hot."""
     path = f"{shared_dir(df.sparkSession)}/cliplake/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _made.append(path)
+    _made.paths.append(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
-    _path[id(out)] = (out, path)
+    _made.of[id(out)] = (out, path)
     return out
 
 
@@ -59,21 +69,22 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def mark() -> int:
-    return len(_made)
+    return len(_made.paths)
 
 
 def sweep(spark: SparkSession, since: int, *keep: DataFrame) -> None:
-    """Delete what cut() has written since mark(), but for the tables in keep.
+    """Delete what cut() has written since mark() in this thread, but for the tables in keep.
 
-    For the end of an operator, when all that it needs later has been cut."""
-    stay = {_path[id(df)][1] for df in keep}
-    for path in _made[since:]:
+    For the end of an operator, when all that it needs later has been cut. What a
+    result that is computed later still reads stays in the shared folder."""
+    stay = {_made.of[id(df)][1] for df in keep}
+    for path in _made.paths[since:]:
         if path not in stay:
             where = spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-    _made[since:] = [p for p in _made[since:] if p in stay]
-    for key in [k for k, (_, p) in _path.items() if p not in _made]:
-        del _path[key]
+    _made.paths[since:] = [p for p in _made.paths[since:] if p in stay]
+    for key in [k for k, (_, p) in _made.of.items() if p not in _made.paths]:
+        del _made.of[key]
 
 
 def text_of(docs: DataFrame, column: str = "text") -> Column:

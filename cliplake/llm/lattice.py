@@ -5,11 +5,11 @@ into pieces of an existing vocabulary (its path is a parameter). Pieces have
 unigram probabilities: their counts in the vocabulary's own segmentation of the
 training tokens, smoothed by one. The forward recursion in log space sums the
 probabilities of all segmentations of a token; as no piece spans a blank, the
-marginal probability of a text is the product over its tokens and one end.
-Characters that the vocabulary lacks are spelt by byte pieces. Tokens seen in
-training have one more arc, over the whole token: of the N + V chances that N
-training tokens of V kinds leave, c fall to a token seen c times and V to the
-pieces. lattice_score is the score without these arcs.
+marginal probability of a text is the product over its tokens and one end; that
+is `score`. Characters that the vocabulary lacks are spelt by byte pieces. Beside
+it, mixed_score gives tokens seen in training one more arc, over the whole token:
+of the N + V chances that N training tokens of V kinds leave, c fall to a token
+seen c times and V to the pieces.
 
 Scale: tokens are counted by task before they are shuffled. A lattice is computed
 once for each distinct token. The HOT most frequent tokens are broadcast (their
@@ -19,8 +19,6 @@ joined by token, with their sums per document combined before the shuffle.
 
 from __future__ import annotations
 
-
-
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
@@ -28,12 +26,11 @@ from math import exp, log, log10
 
 import numpy as np
 import pyarrow as pa
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, keyed
+from .common import cut, keyed, mark, spread, sweep
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bound of the broadcast table: 24 bytes a token.
@@ -131,7 +128,8 @@ def count_tokens(docs: DataFrame) -> DataFrame:
         yield out()
 
     got = keyed(docs).select(_held_out().alias("held_out"), "text").mapInArrow(run, "token binary, train long, seen long")
-    return got.groupBy("token").agg(F.sum("train").alias("train"), F.sum("seen").alias("seen"))
+    # counted by task, so dealt as they are: the next step computes a lattice for each
+    return spread(got, "token").groupBy("token").agg(F.sum("train").alias("train"), F.sum("seen").alias("seen"))
 
 
 def _held_out():
@@ -178,28 +176,45 @@ def hot_tokens(vocab: DataFrame, most: int = HOT) -> list:
     return vocab.where(F.col("seen") >= least).select("token", "train", "lp").collect() if least is not None else []
 
 
+def _mixed(c: int, lp: float, total: int, share: float) -> float:
+    """log10 of c / total + share * 10 ** lp, without underflow."""
+    parts = [x for x in (log10(c / total) if c else None, log10(share) + lp if share else None) if x is not None]
+    top = max(parts, default=0.0)
+    return top + log10(sum(10.0 ** (x - top) for x in parts)) if parts else 0.0
+
+
+def _mixed_column(c: Column, lp: Column, total: int, share: float) -> Column:
+    """_mixed() of columns; share is above 0."""
+    pieces = lp + log10(share)
+    seen = F.log10(c / float(total))
+    top = F.greatest(seen, pieces)
+    return F.when(c > 0, top + F.log10(F.pow(F.lit(10.0), seen - top) + F.pow(F.lit(10.0), pieces - top))).otherwise(pieces)
+
+
 def score(docs: DataFrame, path: str = VOCABULARY, hot: int = HOT) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, lattice_score: a row per row of docs.
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, mixed_score: a row per row of docs.
 
     A null text counts as empty: one token, the end. A null doc_id has the empty
     text as its own. Without training documents N and V are 0. Repeated rows each
-    get their own, equal row; other columns are not read. Scores are log10."""
+    get their own, equal row; other columns are not read. Scores are log10. The
+    vocabulary's file must be there on every executor."""
+    since = mark()
     fold = keyed(docs).agg(F.count_if(~_held_out())).collect()[0][0]
-    vocab = cut(count_tokens(docs), "counts")
-    sums = vocab.where("train > 0").agg(F.coalesce(F.sum("train"), F.lit(0)), F.count("*")).collect()[0]
+    seen = cut(count_tokens(docs), "counts")
+    sums = seen.where("train > 0").agg(F.coalesce(F.sum("train"), F.lit(0)), F.count("*")).collect()[0]
     n, v = sums[0] + fold, sums[1] + (fold > 0)
-    counts = piece_counts(vocab, path)
-    vocab = cut(score_tokens(vocab, path, counts, fold), "vocabulary")
+    counts = piece_counts(seen, path)
+    vocab = cut(score_tokens(seen, path, counts, fold), "vocabulary")
     floor = log10(n + v + 1)
     total = max(n + v, 1)
-    whole_arc = lambda c, lp: log10(c / total + (v / total if n else 1.0) * 10.0**lp) if c or lp > -250 else lp + log10((v / total if n else 1.0) or 1.0)
+    share = v / total if n else 1.0
     end_base, end_lp = log10(fold + 1) - floor, Vocabulary(path, counts, fold).end / _LN10
-    end_mix = whole_arc(fold, end_lp)
+    end_mix = _mixed(fold, end_lp, total, share)
     rows = hot_tokens(vocab, hot)
     held = docs.sparkSession.sparkContext.broadcast({bytes(r["token"]): (r["train"], r["lp"]) for r in rows})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = {w: (log10(c + 1) - floor, lp, c > 0, whole_arc(c, lp)) for w, (c, lp) in held.value.items()}
+        table = {w: (log10(c + 1) - floor, lp, c > 0, _mixed(c, lp, total, share)) for w, (c, lp) in held.value.items()}
         for b in batches:
             row, token, times, known, base, lp, mix = [], [], [], [], [], [], []
             for k, t in enumerate(b.column(2)):
@@ -234,14 +249,14 @@ def score(docs: DataFrame, path: str = VOCABULARY, hot: int = HOT) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(token, pa.binary()), pa.array(times, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(lp, pa.float64()), pa.array(mix, pa.float64())], names=["doc_id", "row_hash", "token", "times", "known", "base", "lp", "mix"])
 
     parts = cut(keyed(docs).select("doc_id", "row_hash", "text").mapInArrow(run, "doc_id long, row_hash long, token binary, times long, known long, base double, lp double, mix double"), "parts")
+    sweep(docs.sparkSession, since, vocab, parts)
     whole = parts.where("token IS NULL").select("doc_id", "row_hash", F.col("times").alias("n_tokens"), "known", "base", "lp", "mix", F.lit(1).alias("rows"))
     of = vocab.select(F.col("token").alias("t"), "train", F.col("lp").alias("t_lp"))
     rest = parts.where("token IS NOT NULL").join(of, F.col("token") == F.col("t"))
-    share = v / total if n else 1.0
-    arc = F.when((F.col("train") > 0) | (F.col("t_lp") > -250), F.log10(F.col("train") / float(total) + share * F.pow(F.lit(10.0), F.col("t_lp")))).otherwise(F.col("t_lp") + log10(share or 1.0))
+    arc = _mixed_column(F.col("train"), F.col("t_lp"), total, share or 1.0)
     rest = rest.select("doc_id", "row_hash", F.lit(0).cast("long").alias("n_tokens"), F.when(F.col("train") > 0, F.col("times")).otherwise(0).alias("known"), (F.col("times") * (F.log10(F.col("train") + 1.0) - floor)).alias("base"), (F.col("times") * F.col("t_lp")).alias("lp"), (F.col("times") * arc).alias("mix"), F.lit(0).alias("rows"))
     got = whole.unionByName(rest).groupBy("doc_id", "row_hash").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "known", "base", "lp", "mix", "rows")])
     # rows that are equal were summed together
     got = got.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
     each = lambda c: F.expr(f"{c} DIV rows").alias({"known": "n_known"}.get(c, c))
-    return got.select("doc_id", _held_out().alias("held_out"), each("n_tokens"), each("known"), F.lit(n).cast("long").alias("train_tokens"), (F.col("base") / F.col("rows")).alias("base_score"), (F.col("mix") / F.col("rows")).alias("score"), (F.col("lp") / F.col("rows")).alias("lattice_score"))
+    return got.select("doc_id", _held_out().alias("held_out"), each("n_tokens"), each("known"), F.lit(n).cast("long").alias("train_tokens"), (F.col("base") / F.col("rows")).alias("base_score"), (F.col("lp") / F.col("rows")).alias("score"), (F.col("mix") / F.col("rows")).alias("mixed_score"))
