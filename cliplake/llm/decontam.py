@@ -6,13 +6,14 @@ WINDOW template words are hashed and joined with those of the benchmark. For
 each occurrence of an item in a document the values that the slots hold on both
 sides must map consistently, as they do when a question is asked again with other
 numbers or names; windows with the item's own values count whatever else the
-document document holds. Items without a window of enough plain words are looked for whole,
+document holds. Items without a window of enough plain words are looked for whole,
 with their own values. DataFrame functions only.
 
-Scale: a window with a match holds its anchor, a pair of neighbouring plain words;
-one pass over the words looks pairs up among the anchors (broadcast if counted to
-be few, else joined by hash), and only documents with an anchor, a few in a
-hundred, become templates. Text is not shuffled unless those are many.
+Scale: a window with a match holds its anchor, three neighbouring plain words (a
+pair where no three stand together); one pass over the words looks them up among
+the anchors (broadcast if counted to be few, else joined by hash), and only
+documents with an anchor, a few in a hundred, become templates. Text is not
+shuffled unless those are many. Items of equal text are one item until the end.
 """
 
 from __future__ import annotations
@@ -61,8 +62,28 @@ def template(rows: DataFrame) -> DataFrame:
     return rows.withColumn("words", F.transform("raw", word)).drop("raw", "text")
 
 
-def _pair(a: Column, b: Column) -> Column:
-    return F.xxhash64(a, b)
+def _anchor(words: Column, plain) -> Column:
+    """struct(width, anchor): the three neighbours for which plain() holds, with most characters; else two; else one."""
+    n = F.size(words)
+
+    def best(width: int) -> Column:
+        group = lambda i: [F.get(words, i + k) for k in range(width)]
+        size = lambda i: sum((F.length(w) for w in group(i)), F.lit(0))
+        ok = lambda i: F.forall(F.array(*group(i)), plain)
+        at = F.when(n >= width, F.filter(F.sequence(F.lit(0), F.greatest(n - width, F.lit(0))), ok))
+        found = F.array_max(F.transform(at, lambda i: F.struct(size(i).alias("n"), F.xxhash64(*group(i)).alias("anchor"))))
+        return F.when(found.isNotNull(), F.struct(F.lit(width).alias("width"), found["anchor"].alias("anchor")))
+
+    return F.coalesce(best(3), best(2), best(1))
+
+
+def _items(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(item_id, text) of one item for each text, and (item_id, alias) of all items."""
+    every = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("alias"), text_of(benchmark).alias("text"))
+    every = every.select("alias", "text", F.sha2("text", 256).alias("of"))
+    one = every.groupBy("of").agg(F.min("alias").alias("item_id"))
+    items = every.join(one, "of")
+    return items.where("alias = item_id").select("item_id", "text").distinct(), items.select("item_id", "alias").distinct()
 
 
 def codes(words: Column) -> Column:
@@ -71,19 +92,16 @@ def codes(words: Column) -> Column:
     return F.transform(words, lambda w: F.when(w < "\x02", kind(w).cast("long")).otherwise(F.xxhash64(w).bitwiseAND(F.lit((1 << 63) - 1))))
 
 
-def _bench(benchmark: DataFrame, window: int, plain: int) -> DataFrame:
-    """A row per window of an item: k (its hash), anchor, item_id, item_place, item_windows, item_words.
+def _bench(items: DataFrame, window: int, plain: int) -> DataFrame:
+    """A row per window of an item: k (its hash), width and anchor, item_id, item_place, item_windows, item_words.
 
-    The anchor is the pair of plain neighbours with most characters; one exists
-    where more than half of the words are plain."""
-    rows = template(benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), text_of(benchmark).alias("text")))
+    Plain neighbours exist where more than half of the words are plain."""
+    rows = template(items)
     rows = rows.where(F.size("words") >= window).select("item_id", "words", F.explode(F.sequence(F.lit(0), F.size("words") - window)).alias("item_place"))
     rows = rows.withColumn("item_words", F.slice("words", F.col("item_place") + 1, F.lit(window))).drop("words")
     rows = rows.withColumn("code", codes(F.col("item_words"))).where(F.size(F.filter("code", lambda c: c >= 0)) >= plain)
-    size = lambda w: F.when(w < "\x02", -1000).otherwise(F.length(w))
-    pairs = F.transform(F.sequence(F.lit(0), F.lit(window - 2)), lambda i: F.struct((size(F.get("item_words", i)) + size(F.get("item_words", i + 1))).alias("n"), _pair(F.get("item_words", i), F.get("item_words", i + 1)).alias("pair")))
-    rows = rows.withColumn("anchor", F.array_max(pairs)["pair"]).withColumn("item_windows", F.count("*").over(W.partitionBy("item_id")))
-    return rows.select(F.xxhash64("code").alias("k"), "anchor", "item_id", "item_place", "item_windows", "item_words")
+    rows = rows.withColumn("a", _anchor(F.col("item_words"), lambda w: w >= "\x02")).withColumn("item_windows", F.count("*").over(W.partitionBy("item_id")))
+    return rows.select(F.xxhash64("code").alias("k"), "a.width", "a.anchor", "item_id", "item_place", "item_windows", "item_words")
 
 
 def _bare(words: Column) -> Column:
@@ -91,43 +109,42 @@ def _bare(words: Column) -> Column:
     return F.transform(words, lambda w: F.lower(F.regexp_replace(w, "^\x01.|\x03", "")))
 
 
-def _whole(benchmark: DataFrame, window: int, plain: int) -> DataFrame:
-    """A row per item without a usable window: whole (hash of its words), n (their number), anchor, alone, item_id.
-
-    The anchor is the pair of neighbours with most characters, signs in numbers
-    parting them too, or the only word there is (alone)."""
-    rows = template(benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), text_of(benchmark).alias("text"))).where(F.size("words") > 0)
+def _whole(items: DataFrame, window: int, plain: int) -> DataFrame:
+    """A row per item without a usable window: whole (hash of its words), n (their number), width and anchor, item_id. Signs in numbers part the words of an anchor."""
+    rows = template(items).where(F.size("words") > 0)
     few = lambda i: F.size(F.filter(F.slice("codes", i + 1, F.lit(window)), lambda c: c >= 0)) < plain
     places = F.sequence(F.lit(0), F.greatest(F.size("codes") - window, F.lit(0)))
     rows = rows.withColumn("codes", codes(F.col("words"))).where((F.size("codes") < window) | F.forall(places, few))
     rows = rows.select("item_id", _bare(F.col("words")).alias("bare"))
     tokens = F.filter(F.split(F.translate(F.array_join("bare", " "), NUMERIC, " " * len(NUMERIC)), " "), lambda w: w != "")
-    rows = rows.withColumn("tokens", tokens).withColumn("alone", F.size("tokens") == 1)
-    next_ = lambda i: F.coalesce(F.get("tokens", i + 1), F.lit(""))
-    pairs = F.transform(F.sequence(F.lit(0), F.greatest(F.size("tokens") - 2, F.lit(0))), lambda i: F.struct((F.length(F.get("tokens", i)) + F.length(next_(i))).alias("n"), _pair(F.get("tokens", i), next_(i)).alias("pair")))
-    return rows.select(F.xxhash64("bare").alias("whole"), F.size("bare").alias("n"), F.array_max(pairs)["pair"].alias("anchor"), "alone", "item_id")
+    rows = rows.withColumn("a", _anchor(tokens, lambda w: w != ""))
+    return rows.select(F.xxhash64("bare").alias("whole"), F.size("bare").alias("n"), "a.width", "a.anchor", "item_id")
 
 
-def candidates(docs: DataFrame, bench: DataFrame, most: int = ANCHORS, alone: bool = False) -> DataFrame:
-    """doc_id, row_hash of the documents in which an anchor of `bench` occurs; all that hold a window do.
+def candidates(docs: DataFrame, bench: DataFrame, most: int = ANCHORS) -> DataFrame:
+    """doc_id, row_hash of the documents in which an anchor of `bench` (width, anchor) occurs; all that hold a window do.
 
-    If bench has n, so has the result. alone: some anchors are of one word."""
+    If bench has n, so has the result."""
     keys = [c for c in ("n",) if c in bench.columns]
+    widths = sorted(r[0] for r in bench.select("width").distinct().collect()) or [3]  # 1, 2, 3
     anchors = bench.select("anchor", *keys).distinct()
     if anchors.limit(most + 1).count() <= most:
         anchors = F.broadcast(anchors)
     rows = keyed(docs)
     signs = SIGNS + NUMERIC
     raw = rows.select("doc_id", "row_hash", F.split(F.regexp_replace(F.translate(F.lower("text"), signs, " " * len(signs)), "  +", " "), " ").alias("raw"))
-    pairs = raw.select("doc_id", "row_hash", F.explode(F.arrays_zip(F.col("raw").alias("a"), F.slice("raw", F.lit(2), F.size("raw")).alias("b"))).alias("p"))
-    pairs = pairs.select("doc_id", "row_hash", _pair(F.col("p.a"), F.col("p.b")).alias("of"))
-    if alone:
-        pairs = pairs.union(raw.select("doc_id", "row_hash", F.explode("raw").alias("a")).select("doc_id", "row_hash", _pair(F.col("a"), F.lit(""))))
-    met = pairs.join(anchors, F.col("of") == F.col("anchor"), "inner" if keys else "left_semi")
+    shifted = [F.col("raw") if k == 0 else F.slice("raw", F.lit(k + 1), F.size("raw")) for k in range(widths[-1])]
+    near = raw.select("doc_id", "row_hash", F.explode(F.arrays_zip(*[c.alias(f"w{k}") for k, c in enumerate(shifted)])).alias("p"))
+    hashes = [F.xxhash64(*[F.col(f"p.w{k}") for k in range(width)]) for width in widths]
+    if len(hashes) == 1:
+        near = near.select("doc_id", "row_hash", hashes[0].alias("of"))
+    else:
+        near = near.select("doc_id", "row_hash", F.explode(F.array(*hashes)).alias("of"))
+    met = near.join(anchors, F.col("of") == F.col("anchor"), "inner" if keys else "left_semi")
     return met.select("doc_id", "row_hash", *keys).distinct()
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, plain: int = PLAIN, anchors: int = ANCHORS) -> DataFrame:
+def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, plain: int = PLAIN, anchors: int = ANCHORS) -> DataFrame:
     """doc_id, row_hash, item_id, part, windows (distinct places of the item that match), item_windows, same_slots, slots (values of the item in matched windows), mapped (those with one value in the part).
 
     Parts of a document are the whole, the windows with the item's own values, and
@@ -138,26 +155,28 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, plain:
     turned into templates."""
     if 2 * plain <= window:
         raise ValueError("more than half of a window's words must be plain")
-    bench = cut(_bench(benchmark, window, plain), "bench")
-    whole = cut(_whole(benchmark, window, plain), "whole")
-    short, alone = (bool(whole.where(c).limit(1).count()) for c in ("true", "alone"))
+    bench = cut(_bench(items, window, plain), "bench")
+    whole = cut(_whole(items, window, plain), "whole")
+    short = bool(whole.limit(1).count())
     if short:
-        both = bench.select("anchor", F.lit(None).cast("int").alias("n")).union(whole.select("anchor", "n"))
-        some = candidates(docs, both, anchors, alone).groupBy("doc_id", "row_hash").agg(F.collect_set("n").alias("lengths"))
+        both = bench.select("width", "anchor", F.lit(None).cast("int").alias("n")).union(whole.select("width", "anchor", "n"))
+        some = candidates(docs, both, anchors).groupBy("doc_id", "row_hash").agg(F.collect_set("n").alias("lengths"))
     else:
         some = candidates(docs, bench, anchors)
     some = cut(some.withColumnsRenamed({"doc_id": "d", "row_hash": "r"}), "candidates")
     rows = maybe_in(keyed(docs), "row_hash", some, "r")
     rows = rows.join(some, rows["doc_id"].eqNullSafe(some["d"]) & (rows["row_hash"] == some["r"])).drop("d", "r")  # some is distinct; a semi join would be moved below the bitmap
-    rows = template(rows)
-    rows = cut(rows.withColumn("bare", _bare(F.col("words"))) if short else rows, "templates")
-    texts, rows = rows, rows.withColumn("codes", codes(F.col("words")))
-    part = lambda i: F.slice("codes", i + 1, F.lit(window))
-    value = lambda i: F.when(F.array_min(part(i)) < 0, F.slice("words", i + 1, F.lit(window)))
-    every = F.transform(F.sequence(F.lit(0), F.size("codes") - window), lambda i: F.struct(i.alias("place"), F.xxhash64(part(i)).alias("key"), value(i).alias("doc_words")))
-    found = rows.where(F.size("codes") >= window).select("doc_id", "row_hash", F.explode(every).alias("w")).select("doc_id", "row_hash", "w.place", "w.key", "w.doc_words")
-    met = found.join(bench.drop("anchor"), F.col("key") == F.col("k"))
-    pair = F.arrays_zip(F.col("item_words").alias("a"), F.coalesce("doc_words", "item_words").alias("b"))
+    rows = template(rows.dropDuplicates(["doc_id", "row_hash"]))
+    texts = cut(rows.withColumn("bare", _bare(F.col("words"))) if short else rows, "templates")
+    rows = texts.where(F.size("words") >= window).select("doc_id", "row_hash", codes(F.col("words")).alias("codes"))
+    every = F.transform(F.sequence(F.lit(0), F.size("codes") - window), lambda i: F.struct(i.alias("place"), F.xxhash64(F.slice("codes", i + 1, F.lit(window))).alias("key")))
+    found = rows.select("doc_id", "row_hash", F.explode(every).alias("w")).select("doc_id", "row_hash", "w.place", "w.key")
+    hits = found.join(bench.select("k").distinct(), F.col("key") == F.col("k")).groupBy("doc_id", "row_hash").agg(F.collect_list(F.struct("place", "key")).alias("hits"))
+    hits = cut(hits.withColumnsRenamed({"doc_id": "d", "row_hash": "r"}), "hits")  # at most the windows of a document
+    rows = texts.join(hits, texts["doc_id"].eqNullSafe(hits["d"]) & (texts["row_hash"] == hits["r"]))
+    values = F.transform("hits", lambda w: F.struct(w["place"].alias("place"), w["key"].alias("key"), F.slice("words", w["place"] + 1, F.lit(window)).alias("doc_words")))
+    met = rows.select("doc_id", "row_hash", F.explode(values).alias("w")).select("doc_id", "row_hash", "w.*").join(bench.drop("width", "anchor"), F.col("key") == F.col("k"))
+    pair = F.arrays_zip(F.col("item_words").alias("a"), F.col("doc_words").alias("b"))
     value = F.filter(pair, lambda p: p["a"] < "\x02")
     met = met.select("doc_id", "row_hash", "item_id", "item_place", "item_windows", (F.col("place") - F.col("item_place")).alias("shift"), value.alias("slots")).distinct()
     item = ["doc_id", "row_hash", "item_id"]
@@ -168,6 +187,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, plain:
     parts = [name("whole", F.lit(0)), name("shift", F.col("shift")), name("near", F.col("near"))]
     own = F.forall("slots", lambda p: p["a"] == p["b"])
     met = met.withColumn("part", F.explode(F.when(own, F.array(*parts, name("own", F.lit(0)))).otherwise(F.array(*parts))))
+    met = cut(met.drop("shift", "jump", "near"), "met")
     item.append("part")
     sums = met.groupBy(*item, "item_place").agg(F.first("item_windows").alias("item_windows"))
     sums = sums.groupBy(*item).agg(F.count("*").alias("windows"), F.first("item_windows").alias("item_windows"))
@@ -191,12 +211,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, hits: int = HITS, consis
     An item counts if in a part of the document `hits` of its windows (all if it
     has fewer) match and either all its slot values are the item's own or at least the share
     `consistent` of them maps to one value each."""
-    got = matches(docs, benchmark)
+    items, aliases = _items(benchmark)
+    got = matches(docs, cut(items, "items"))
     # windows without slots say nothing of an occurrence whose slots do not map
     fine = (F.col("slots") > 0) | F.col("part.kind").isin("whole", "near")
     fine &= (F.col("same_slots") == F.col("slots")) | (F.col("mapped") >= consistent * F.col("slots"))
     got = got.where((F.col("windows") >= F.least(F.lit(hits), F.col("item_windows"))) & fine)
-    return got.groupBy("doc_id", "row_hash").agg(F.array_sort(F.collect_set("item_id")).alias("items"), F.bool_or(F.col("same_slots") < F.col("slots")).alias("reparameterised"), F.max(F.col("windows") / F.col("item_windows")).alias("best"))
+    got = got.join(aliases, "item_id")
+    return got.groupBy("doc_id", "row_hash").agg(F.array_sort(F.collect_set("alias")).alias("items"), F.bool_or(F.col("same_slots") < F.col("slots")).alias("reparameterised"), F.max(F.col("windows") / F.col("item_windows")).alias("best"))
 
 
 def check(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
