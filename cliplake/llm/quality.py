@@ -1,10 +1,14 @@
 """Quality rules: an isolation forest on rule statistics.
 
 Each document gets the counts that filter rules are made of (words, symbols,
-repeated lines, repeated three-word windows and so on). Random splits isolate
-unusual documents in few steps; the mean path length gives a score. The forest
-is fitted on a bounded sample of labelled rows (FIT_ROWS), the threshold is
-calibrated on all labelled rows. Two hard rules stand beside the forest.
+repeated lines, repeated three-word windows and so on), as rates. The limit of
+each rule is learned: the range in which the labelled good rows lie, but for a
+thousandth at either end, and a quarter of it more. A document's features are how
+far its rates lie beyond these limits; random splits isolate documents that lie
+far out, or out in many ways, in few steps, and the mean path length gives a
+score. Limits and forest are fitted on a bounded sample of labelled rows
+(FIT_ROWS), the threshold is calibrated on all labelled rows. Two hard rules stand
+beside the forest. Most documents lie within all limits and share one score.
 
 Scale: one pass over the text in Arrow batches; the statistics (some 150 bytes a
 document) are written once and joined with the labels; the calibration reads a
@@ -29,6 +33,8 @@ DEPTH = 8
 BINS = 10_000
 #: A lost good row costs as much as so many missed bad ones, in shares of their class.
 GOOD_COST = 10.0
+#: Share of the good rows at either end that a limit leaves out, and what is added to the range on either side, as a share of it.
+TAIL, MARGIN = 0.001, 0.25
 MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_upper", "n_digit", "n_alpha", "longest")
@@ -76,12 +82,25 @@ def statistics(text: str | None) -> tuple[int, ...]:
     return (len(words), len(text) - blanks, int(sum(byte[ord(c)] for c in SYMBOLS)), dup, repeated_words(seq, max(len(ids), 1)), lines, len(ids), upper, digit, alpha, longest)
 
 
-def features(c: np.ndarray) -> np.ndarray:
-    """How far the COUNTS (float columns, one row per document) lie beyond what filter rules let pass."""
-    words, chars, symbols, dup, repeat, lines, _, upper, digit, alpha, longest = c.T
+def rates(c: np.ndarray) -> np.ndarray:
+    """The statistics of the rules from COUNTS (float columns, one row per document), free of a text's length."""
+    words, chars, symbols, dup, repeat, lines, distinct, upper, digit, alpha, longest = c.T
     w, ch, ln = np.maximum(words, 1), np.maximum(chars, 1), np.maximum(lines, 1)
-    over = lambda x, at: np.maximum(x - at, 0)
-    return np.stack([symbols / w, over(0.9, alpha / ch), over(np.abs(chars / w - 5.5), 3.0), over(repeat / w, 0.2), over(dup / ln, 0.3), over(digit / ch, 0.15), over(upper / ch, 0.3), over(np.log1p(longest), 4.0)], 1)
+    return np.stack([symbols / w, alpha / ch, chars / w, repeat / w, dup / ln, digit / ch, upper / ch, np.log1p(longest), np.log1p(words) - 0.9 * np.log1p(distinct)], 1)
+
+
+def limits(good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest rates that the rules let pass, from the COUNTS of good rows; none without such rows."""
+    if not len(good):
+        return np.full(1, -np.inf), np.full(1, np.inf)
+    low, high = np.quantile(rates(good), [TAIL, 1 - TAIL], axis=0)
+    return low - MARGIN * (high - low), high + MARGIN * (high - low)
+
+
+def features(c: np.ndarray, within: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """How far the rates lie beyond the limits."""
+    x = rates(c)
+    return np.maximum(np.maximum(x - within[1], within[0] - x), 0)
 
 
 def base_failed(c: np.ndarray) -> np.ndarray:
@@ -89,9 +108,12 @@ def base_failed(c: np.ndarray) -> np.ndarray:
 
 
 class Forest:
-    """Isolation trees of at most 2^DEPTH leaves, in arrays: column, cut and depth-adjusted path length of a leaf."""
+    """Isolation trees of at most 2^DEPTH leaves over features, in arrays: column, cut and depth-adjusted path length of a leaf."""
 
-    def __init__(self, x: np.ndarray, seed: int = 7):
+    def __init__(self, c: np.ndarray, good: np.ndarray, seed: int = 7):
+        """c: COUNTS of labelled rows; good: which of them are."""
+        self.limits = limits(c[good & ~base_failed(c)])
+        x = features(c, self.limits)
         rng = np.random.default_rng(seed)
         nodes = 2 ** (DEPTH + 1)
         self.column = np.full((TREES, nodes), -1)
@@ -117,8 +139,9 @@ class Forest:
         self._grow(t, 2 * node, depth + 1, x[left], rng)
         self._grow(t, 2 * node + 1, depth + 1, x[~left], rng)
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        """In (0, 1]; high where few splits isolate the row."""
+    def score(self, c: np.ndarray) -> np.ndarray:
+        """Of COUNTS, in (0, 1]; high where few splits isolate the row."""
+        x = features(c, self.limits)
         total = np.zeros(len(x))
         rows = np.arange(len(x))
         for t in range(TREES):
@@ -151,15 +174,15 @@ def count(docs: DataFrame) -> DataFrame:
 def fit(counts: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, good_cost: float = GOOD_COST) -> tuple[Forest, float]:
     """The forest and its threshold.
 
-    The forest is grown on the fit_rows labelled rows with the least hash. The threshold has the
+    The limits and the forest come from the fit_rows labelled rows with the least hash. The threshold has the
     least cost on all labelled rows that pass the hard rules: good_cost * (share
     of good rows lost) + (share of bad rows kept); of equal ones the highest.
     Without labels nothing is rejected by the forest."""
     lab = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("of")).agg(F.min("quality").alias("quality"))
     got = cut(counts.join(lab, counts["doc_id"] == lab["of"]).drop("of"), "labelled")
     by_hash = F.xxhash64("doc_id")
-    sample = got.orderBy(by_hash, *COUNTS).limit(fit_rows).select(*COUNTS).toPandas().to_numpy(float).reshape(-1, len(COUNTS))
-    forest = Forest(features(sample))
+    sample = got.orderBy(by_hash, *COUNTS).limit(fit_rows).select(*COUNTS, "quality").toPandas().to_numpy(float).reshape(-1, len(COUNTS) + 1)
+    forest = Forest(sample[:, :-1], sample[:, -1] > 0)
     if not len(sample):
         return forest, 2.0
     bins = score(got, forest).where("not base_failed").groupBy("quality", F.least(F.lit(BINS - 1), F.floor(F.col("score") * BINS)).alias("bin")).count().collect()
@@ -180,7 +203,7 @@ def score(counts: DataFrame, forest: Forest) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             c = _table(b)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(base_failed(c)), pa.array(held.value.score(features(c)))], names=[*names, "base_failed", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(base_failed(c)), pa.array(held.value.score(c))], names=[*names, "base_failed", "score"])
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in counts.schema)
     return counts.mapInArrow(run, f"{types}, base_failed boolean, score double")
@@ -211,6 +234,6 @@ def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for b in batches:
             c = np.array([statistics(None if (v := t.as_py()) is None else str(v)) for t in b.column(at)], float).reshape(-1, len(COUNTS))
             model, top = held.value
-            yield b.filter(pa.array(~base_failed(c) & (model.score(features(c)) < top)))
+            yield b.filter(pa.array(~base_failed(c) & (model.score(c) < top)))
 
     return docs.mapInArrow(run, docs.schema)
