@@ -1,8 +1,10 @@
 """Personal data by a semi-Markov conditional random field.
 
-Texts are chunks between blanks. A segment is a run of at most LONGEST chunks in
-a region, a stretch of chunks that could belong to an entity (they have a digit,
-an @ or an at in brackets). Features of the whole segment (shape of its digit
+Texts are chunks between blanks; an at or a dot in brackets is one chunk even with
+blanks inside. A segment is a run of at most LONGEST chunks in a region, a stretch
+of chunks that could belong to an entity: they have a digit, an @ or an at in
+brackets, or are signs between two such, or the words around an at or a dot in
+brackets. Features of the whole segment (shape of its digit
 groups, check sum, separators, length, the word before it) score it for each
 type, and dynamic programming over a region chooses boundaries and types
 together. Weights are fitted by maximum likelihood on generated sentences with
@@ -76,10 +78,14 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 # ---- the field
 
-_CHUNK = re.compile(r"\S+")
+_CHUNK = re.compile(r"[\[(]\s?(?:at|dot)\s?[\])]\S*|\S+", re.IGNORECASE)
 _SEED = re.compile(r"[0-9]|@|[\[(]\s?at\s?[\])]", re.IGNORECASE)
 _DIGITS = re.compile(r"[0-9]+")
-_AT = re.compile(r"[\[(]at[\])]", re.IGNORECASE)
+_AT = re.compile(r"[\[(]\s?at\s?[\])]", re.IGNORECASE)
+_MARK_LAST = re.compile(r"[\[(]\s?(?:at|dot)\s?[\])]\Z", re.IGNORECASE)
+_DOT_FIRST = re.compile(r"[\[(]\s?dot\s?[\])]", re.IGNORECASE)
+_JOINT = re.compile(r"[-–./()]{1,2}\Z")
+_SPACE = re.compile(r"\s*")
 _TRIM = ".,;:!?\"'«»“”"
 #: Words that announce an entity.
 CUES = {
@@ -106,8 +112,8 @@ def features(chunks: list[str], before: str) -> list[str]:
     if text.startswith("+") or text.startswith("("):
         out.append("starts" + text[0])
     if "@" in text or _AT.search(text):
-        tail = re.split(r"@|[\[(]at[\])]", text, flags=re.IGNORECASE)[-1]
-        out.append("mail" if re.search(r"\w(?:\.| ?[\[(]dot[\])] ?)\w", tail, re.IGNORECASE) and text[0] not in "@[(" else "at")
+        tail = re.split(r"@|[\[(]\s?at\s?[\])]", text, flags=re.IGNORECASE)[-1]
+        out.append("mail" if re.search(r"\w(?:\.| ?[\[(] ?dot ?[\])] ?)\w", tail, re.IGNORECASE) and text[0] not in "@[(" else "at")
     if 16 <= n <= 19:
         out.append("sum_ok" if luhn(digits) else "sum_bad")
     if len(groups) == 4 and not letters and text.count(".") == 3:
@@ -195,12 +201,12 @@ def _sentences(seed: int, count: int) -> Iterator[tuple[str, list[str], set[tupl
     name = lambda: "".join(r.choice("abcdefghijklmnoprstuvw") for _ in range(r.randint(2, 8)))
     four = lambda d, c: c.join(d[i : i + 4] for i in range(0, 16, 4))
     good = {
-        "email": [lambda: f"{name()}.{num(2)}@{name()}.com", lambda: f"{name()}[at]{name()}.org", lambda: f"{name()}@{name()}[dot]net", lambda: f"{name()}(at){name()}.co.uk", lambda: f"{name()}{num(1)}@mail.{name()}.de"],
+        "email": [lambda: f"{name()}.{num(2)}@{name()}.com", lambda: f"{name()}[at]{name()}.org", lambda: f"{name()}@{name()}[dot]net", lambda: f"{name()}(at){name()}.co.uk", lambda: f"{name()}{num(1)}@mail.{name()}.de", lambda: f"{name()} [at] {name()} [dot] org", lambda: f"{name()} (at) {name()}.com", lambda: f"{name()}.{name()} [at] {name()}.{name()}.net", lambda: f"{name()} [ at ] {name()} [ dot ] com"],
         "ip": [lambda: ".".join(str(r.randint(0, 255)) for _ in range(4))],
         "card": [card, lambda: four(card(), " "), lambda: four(card(), "-")],
-        "phone": [lambda: f"+{num(2)} {num(3)} {num(7)}", lambda: f"({num(3)}) {num(3)}-{num(4)}", lambda: f"{num(3)}-{num(3)}-{num(4)}", lambda: f"+1 ({num(3)}) {num(3)}-{num(4)}", lambda: f"{num(3)}.{num(3)}.{num(4)}", lambda: f"+{num(11)}"],
+        "phone": [lambda: f"+{num(2)} {num(3)} {num(7)}", lambda: f"({num(3)}) {num(3)}-{num(4)}", lambda: f"{num(3)}-{num(3)}-{num(4)}", lambda: f"+1 ({num(3)}) {num(3)}-{num(4)}", lambda: f"{num(3)}.{num(3)}.{num(4)}", lambda: f"+{num(11)}", lambda: f"({num(3)}) {num(4)} - {num(4)}", lambda: f"{num(3)} - {num(3)} - {num(4)}"],
     }
-    bad = [lambda: num(r.randint(1, 6)), lambda: f"{num(4)}-{num(2)}-{num(2)}", lambda: f"{num(2)}/{num(2)}/{num(4)}", lambda: f"${num(3)}.{num(2)}", lambda: f"v{num(1)}.{num(1)}.{num(2)}", lambda: num(16)[:15], lambda: num(r.randint(7, 12)), lambda: f"{num(1)},{num(3)},{num(3)}", lambda: f"@{name()}", lambda: f"{num(2)}:{num(2)}", lambda: name() + num(3), lambda: "300.400.1." + num(3), lambda: num(24), lambda: f"{num(4)} {num(4)}", lambda: f"{num(3)} {num(2)}", lambda: f"{num(2)}.{num(3)}", lambda: f"{num(8)}-{num(4)}-{num(4)}", lambda: f"{num(5)} {num(3)} {num(2)}"]
+    bad = [lambda: num(r.randint(1, 6)), lambda: f"{num(4)}-{num(2)}-{num(2)}", lambda: f"{num(2)}/{num(2)}/{num(4)}", lambda: f"${num(3)}.{num(2)}", lambda: f"v{num(1)}.{num(1)}.{num(2)}", lambda: num(16)[:15], lambda: num(r.randint(7, 12)), lambda: f"{num(1)},{num(3)},{num(3)}", lambda: f"@{name()}", lambda: f"{num(2)}:{num(2)}", lambda: name() + num(3), lambda: "300.400.1." + num(3), lambda: num(24), lambda: f"{num(4)} {num(4)}", lambda: f"{num(3)} {num(2)}", lambda: f"{num(2)}.{num(3)}", lambda: f"{num(8)}-{num(4)}-{num(4)}", lambda: f"{num(5)} {num(3)} {num(2)}", lambda: f"{num(2)} - {num(2)}", lambda: f"{name()} [at]", lambda: f"[at] {name()}"]
     cues = {k: [w for w, v in CUES.items() if v == k] for k in KINDS}
     for _ in range(count):
         chunks: list[str] = []
@@ -209,11 +215,11 @@ def _sentences(seed: int, count: int) -> Iterator[tuple[str, list[str], set[tupl
         for k in range(r.randint(1, 3)):
             kind = r.choice([*KINDS, "other", "other", "other"])
             if kind == "other":
-                chunks += (r.choice(bad)() + r.choice(["", "", ",", "."])).split()
+                chunks += _CHUNK.findall(r.choice(bad)() + r.choice(["", "", ",", "."]))
             else:
                 if not k and r.random() < 0.3:
                     before = r.choice(cues[kind])
-                new = r.choice(good[kind])().split()
+                new = _CHUNK.findall(r.choice(good[kind])())
                 truth.add((len(chunks), len(chunks) + len(new), kind))
                 new[-1] += r.choice(["", "", ",", "."])
                 chunks += new
@@ -238,7 +244,21 @@ def train(seed: int = 11, count: int = 700, rounds: int = 4) -> Field:
 
 
 def regions(text: str) -> Iterator[tuple[str, list[re.Match]]]:
-    """(word before, chunks) of each stretch of chunks with a digit or an at."""
+    """(word before, chunks) of each stretch of chunks that could belong to an entity."""
+
+    def chunk(at: int) -> re.Match | None:
+        return _CHUNK.match(text, _SPACE.match(text, at).end())
+
+    def before(at: int, least: int) -> int:
+        """Where the chunk in front of a place begins; the place itself if there is none after `least`."""
+        end = at
+        while end > least and text[end - 1].isspace():
+            end -= 1
+        start = end
+        while start > least and not text[start - 1].isspace():
+            start -= 1
+        return start if start < end else at
+
     end = 0
     for m in _SEED.finditer(text):
         if m.start() < end:
@@ -246,23 +266,30 @@ def regions(text: str) -> Iterator[tuple[str, list[re.Match]]]:
         start = m.start()
         while start > end and not text[start - 1].isspace():
             start -= 1
-        held = []
-        for c in _CHUNK.finditer(text, start):
-            if not _SEED.search(c.group()):
+        if start == m.start() and m.group()[0] in "[(":
+            start = before(start, end)  # the name in front of an at
+        held: list[re.Match] = []
+        c = _CHUNK.match(text, start)
+        while c:
+            seed = _SEED.search(c.group())
+            after = held and _MARK_LAST.search(held[-1].group())
+            if seed or after or not held or (_DOT_FIRST.match(c.group()) and _AT.search("".join(x.group() for x in held[-3:]))):
+                held.append(c)
+            elif _JOINT.match(c.group()) and (d := chunk(c.end())) and _DIGITS.search(d.group()) and _DIGITS.search(held[-1].group()):
+                held += [c, d]
+            else:
                 break
-            held.append(c)
-        if not held:
-            continue
+            c = chunk(held[-1].end())
         end = held[-1].end()
-        left = text[max(0, start - 40) : start].split()
-        yield (left[-1] if left else ""), held
+        first = before(start, 0)
+        yield text[first:start].strip(), held
 
 
-def find(text: str, field: Field) -> list[tuple[str, int, int]]:
-    """All spans, by kind as listed, then start: those of the patterns and those that the field adds."""
+def find(text: str, field: Field) -> list[tuple[str, int, int, bool]]:
+    """(kind, start, end, base) of all spans, by kind as listed, then start: those of the patterns and those that the field adds."""
     base = base_spans(text)
     taken = sorted((s, e) for _, s, e in base)
-    out = list(base)
+    out = [(*x, True) for x in base]
     k = 0
     for before, held in regions(text):
         lo, hi = held[0].start(), held[-1].end()
@@ -278,7 +305,7 @@ def find(text: str, field: Field) -> list[tuple[str, int, int]]:
             start = held[i].start() + len(part) - len(part.lstrip(_TRIM))
             end = held[n - 1].end() - (len(part) - len(part.rstrip(_TRIM)))
             if start < end and not any(s < end and start < e for s, e in inside):
-                out.append((lab, start, end))
+                out.append((lab, start, end, False))
     return sorted(out, key=lambda x: (KINDS.index(x[0]), x[1]))
 
 
@@ -294,17 +321,15 @@ def scan(docs: DataFrame, field: Field | None = None) -> DataFrame:
         for b in batches:
             spans = []
             for t in b.column(1):
-                t = t.as_py()
-                base = set(base_spans(t))
-                spans.append([{"kind": k, "start": s, "end": e, "base": (k, s, e) in base} for k, s, e in find(t, held.value)])
+                spans.append([{"kind": k, "start": s, "end": e, "base": base} for k, s, e, base in find(t.as_py(), held.value)])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, kind)], names=["doc_id", "spans"])
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text")).mapInArrow(run, "doc_id long, spans array<struct<kind:string,start:long,end:long,base:boolean>>")
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """The columns of the contract."""
+    """The columns of the contract, and n_spans: how many spans of all kinds there are."""
     said = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     base = F.filter("spans", lambda s: s["base"])
     count = lambda k: F.size(F.filter(base, lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
-    return found.select("doc_id", *[count(k) for k in KINDS], F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *[count(k) for k in KINDS], F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
