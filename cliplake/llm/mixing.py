@@ -7,7 +7,10 @@ shard the blocks are taken from the documents in a seeded order.
 
 Scale: the shuffled rows hold an id, a source and a number. A shard is a prefix
 of the seeded order, as long as needed for some thousand documents per shard,
-so that a source with a third of all rows is dealt over many tasks.
+so that a source with a third of all rows is dealt over many tasks. Sources may be
+as many as domains: they are ranked in ranges, and the level of the targets, the
+divisor of the blocks and the last rank that gets one more are searched for with
+sums over the sources, of which the driver sees a few numbers a round.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, small, text_of
+from .common import WORD, cut, mark, small, sweep, text_of
 
 WEIGHTS = (5, 2, 1)
 REPEAT = 3
@@ -25,47 +28,85 @@ SHARD_DOCS = 4096
 SEED = "mix-1"
 
 
-def targets(sources: DataFrame, repeat: int = REPEAT, max_block: int = MAX_BLOCK) -> DataFrame:
-    """source, weight and source_size -> also target, blocks (quota) and block (words in one).
+#: Points at which a search sums up in one round, and rounds after which doubles can't be told apart.
+_POINTS, _ROUNDS = 63, 12
 
-    target is min(repeat * source_size, level * weight) with the level at which
-    the targets sum to the total size. The sources that stop are those with the
-    least repeat * source_size / weight. One row per source is sorted here, no
-    documents."""
-    first = W.orderBy("cap_ratio", "rank").rowsBetween(W.unboundedPreceding, -1)
-    rest = W.orderBy("cap_ratio", "rank").rowsBetween(0, W.unboundedFollowing)
-    everything = W.partitionBy()
-    s = sources.withColumn("cap_ratio", repeat * F.col("source_size") / F.col("weight")).withColumn("total", F.sum("source_size").over(everything))
-    s = s.withColumn("at", (F.col("total") - repeat * F.coalesce(F.sum("source_size").over(first), F.lit(0))) / F.sum("weight").over(rest).cast("double"))
-    s = s.withColumn("level", F.min(F.when(F.col("at") <= F.col("cap_ratio"), F.struct("cap_ratio", "rank", "at"))).over(everything)["at"])
-    s = s.withColumn("target", F.least(F.lit(float(repeat)) * F.col("source_size"), F.coalesce(F.col("level"), F.lit(0.0)) * F.col("weight")))
-    least = F.min(F.when(F.col("target") > 0, F.col("target"))).over(everything)
-    s = s.withColumn("block", F.greatest(F.lit(1), F.least(F.lit(max_block), F.floor(F.coalesce(least, F.lit(0.0)) / 200))).cast("long"))
-    return _highest_quotients(s.select("source", "rank", "source_size", "docs", "target", "block", F.floor(F.col("total") / F.col("block")).alias("seats")))
-
-
-def _highest_quotients(s: DataFrame) -> DataFrame:
-    """Deal `seats` to the rows by the highest target / (2 k + 1); ties go to the lower rank.
 
-    A divisor below which too many seats are given is bisected for; what is
-    still left then goes to the highest next quotients."""
-    held = s.groupBy().agg(F.sort_array(F.collect_list(F.struct("rank", "target"))).alias("all"), F.first("seats").alias("n"), F.sum("target").alias("sum"))
+def ranked(sources: DataFrame, by: str) -> DataFrame:
+    """sources with rank from 1, by code point, null last: in ranges, each of which counts on from those before."""
+    order = F.col(by).asc_nulls_last()
+    parts = cut(sources.repartitionByRange(order).withColumn("part", F.spark_partition_id()), "sources")
+    sizes = parts.groupBy("part").agg(F.count("*").alias("n"))  # one row per range: at most as many as partitions
+    sizes = sizes.select(F.col("part").alias("p"), F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("less"))
+    place = F.row_number().over(W.partitionBy("part").orderBy(order))
+    return parts.withColumn("place", place).join(small(sizes), F.col("part") == F.col("p")).withColumn("rank", (F.col("place") + F.col("less")).cast("int")).drop("part", "place", "p", "less")
 
-    def given(divisor: Column) -> Column:
-        return F.aggregate("all", F.lit(0).cast("double"), lambda a, x: a + F.floor(x["target"] / divisor + 0.5))
 
-    def halve(a: Column, _: Column) -> Column:
-        mid = (a["lo"] + a["hi"]) / 2
-        return F.when(given(mid) > F.col("n"), F.struct(mid.alias("lo"), a["hi"].alias("hi"))).otherwise(F.struct(a["lo"].alias("lo"), mid.alias("hi")))
+def targets(sources: DataFrame, repeat: int = REPEAT, max_block: int = MAX_BLOCK) -> DataFrame:
+    """source, rank, weight and source_size -> also target, blocks (quota) and block (words in one).
+
+    target is min(repeat * source_size, level * weight) with the level at which
+    the targets sum to the total size: it is raised, as sources stop at their
+    bound, until no more do."""
+    s = cut(sources.withColumn("cap_ratio", repeat * F.col("source_size") / F.col("weight")), "ranked")
+    total = s.agg(F.sum("source_size")).collect()[0][0] or 0
+    level, stopped = 0.0, -1
+    while True:
+        below = F.col("cap_ratio") < level
+        n, size, weight = s.agg(F.count_if(below), F.coalesce(F.sum(F.when(below, F.col("source_size"))), F.lit(0)), F.coalesce(F.sum(F.when(~below, F.col("weight"))), F.lit(0))).collect()[0]
+        if n == stopped or not weight:
+            break
+        level, stopped = (total - repeat * size) / float(weight), n
+    s = s.withColumn("target", F.least(F.lit(float(repeat)) * F.col("source_size"), F.lit(level) * F.col("weight")))
+    least = s.agg(F.min(F.when(F.col("target") > 0, F.col("target")))).collect()[0][0] or 0.0
+    block = max(1, min(max_block, int(least // 200)))
+    return _highest_quotients(s.select("source", "rank", "source_size", "docs", "target", F.lit(block).cast("long").alias("block")), total // block)
+
+
+def _search(s: DataFrame, low: float, high: float, summed, fits) -> float:
+    """The least of the points between low and high, as near as doubles go, for which fits(sum of summed(point)) holds; it holds for high."""
+    for _ in range(_ROUNDS):
+        points = [p for k in range(1, _POINTS + 1) if low < (p := low + (high - low) * k / (_POINTS + 1)) < high]
+        if not points:
+            break
+        sums = s.agg(*[F.sum(summed(F.lit(p))).alias(f"s{k}") for k, p in enumerate(points)]).collect()[0]
+        good = [p for p, x in zip(points, sums) if fits(x or 0)]
+        high = min(good, default=high)
+        low = max([p for p in points if p < high], default=low)
+    return high
+
+
+def _highest_quotients(s: DataFrame, seats: int) -> DataFrame:
+    """Deal `seats` to the rows by the highest target / (2 k + 1); ties go to the lower rank.
 
-    start = F.struct((F.col("sum") / (F.col("n") * 4 + 4)).alias("lo"), (F.col("sum") * 4 + 1).alias("hi"))
-    held = held.select(F.aggregate(F.sequence(F.lit(1), F.lit(90)), start, halve)["hi"].alias("divisor"))
-    s = s.withColumn("divisor", held.scalar())
-    s = s.withColumn("sure", F.floor(F.col("target") / F.col("divisor") + 0.5))
-    order = W.orderBy(F.desc(F.col("target") / (2 * F.col("sure") + 1)), "rank")
-    left = F.col("seats") - F.sum("sure").over(W.partitionBy())
-    s = s.withColumn("next", F.row_number().over(order)).withColumn("left", left)
-    return s.select("source", "rank", "source_size", "docs", "target", "block", (F.col("sure") + F.when(F.col("next") <= F.col("left"), 1).otherwise(0)).alias("blocks"))
+    A divisor is searched for, the least with which not too many seats are given;
+    what is still left then goes to the highest next quotients, which are equal or
+    nearly so, and of equal ones to the lowest ranks."""
+    s = cut(s, "targets")
+    total = float(s.agg(F.sum("target")).collect()[0][0] or 0.0)
+    given = lambda d: F.floor(F.col("target") / d + 0.5)
+    divisor = _search(s, total / (seats * 4 + 4), total * 4 + 1, given, lambda x: x <= seats)
+    s = s.withColumn("sure", given(F.lit(divisor))).withColumn("next", F.col("target") / (2 * F.col("sure") + 1))
+    left = seats - int(s.agg(F.sum("sure")).collect()[0][0] or 0)
+    one = F.lit(0)
+    if left > 0:
+        # the quotient down to which rows surely get one, and the rank among those that have the next one
+        bound = [0.0, left]  # rows above it, and how many get one at it
+        top = s.agg(F.max("next")).collect()[0][0] or 0.0
+        while True:
+            n = s.agg(F.count_if(F.col("next") >= top)).collect()[0][0]
+            if n >= left or not n:
+                bound = [top, left - (s.agg(F.count_if(F.col("next") > top)).collect()[0][0])]
+                break
+            lower = s.where(F.col("next") < top).agg(F.max("next")).collect()[0][0]
+            if lower is None:
+                bound = [top, n]
+                break
+            top = lower
+        ties = s.where(F.col("next") == bound[0])
+        last = _search(ties, 0.0, float(2**31), lambda r: (F.col("rank") <= r).cast("int"), lambda x: x >= bound[1])
+        one = F.when((F.col("next") > bound[0]) | ((F.col("next") == bound[0]) & (F.col("rank") <= F.lit(last))), 1).otherwise(0)
+    return s.select("source", "rank", "source_size", "docs", "target", "block", (F.col("sure") + one).alias("blocks"))
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, repeat: int = REPEAT, max_block: int = MAX_BLOCK, shard_docs: int = SHARD_DOCS, seed: str = SEED) -> DataFrame:
@@ -76,16 +117,18 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, repeat: int = REPEAT, max_blo
     the last. Rows that share a doc_id are ordered by size and share nothing
     else. An empty table gives no rows; if no text has a word, all targets and
     all taken are 0."""
+    since = mark()
     sizes = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["source"].cast("string").alias("source"), F.regexp_count(text_of(docs), F.lit(WORD)).cast("long").alias("size"))
     sizes = cut(sizes.withColumn("order", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))), "sizes")
     by_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
-    by_source = by_source.withColumn("rank", F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())))
+    by_source = ranked(by_source, "source")
     cycle = F.array(*[F.lit(w) for w in weights])
     by_source = by_source.withColumn("weight", F.element_at(cycle, ((F.col("rank") - 1) % len(weights) + 1).cast("int")))
     quota = targets(by_source, repeat, max_block)
     digits = sum((F.when(F.col("docs") > shard_docs * 16**k, 1).otherwise(0) for k in range(12)), F.lit(0))  # of a hash: 16 times as many shards for each
     quota = cut(quota.withColumn("digits", digits).withColumnRenamed("source", "of"), "quota")
 
+    sweep(docs.sparkSession, since, sizes, quota)
     rows = sizes.join(small(quota), F.col("source").eqNullSafe(F.col("of")), "left").drop("of", "docs")
     rows = rows.withColumn("shard", F.expr("left(`order`, digits)"))
     shards = rows.groupBy("rank", "shard").agg(F.sum("size").alias("shard_size"), F.first("source_size").alias("whole"), F.first("blocks").alias("blocks"), F.first("block").alias("block"))
