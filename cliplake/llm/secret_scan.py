@@ -8,7 +8,8 @@ back to every path with that content. DataFrame functions only: match positions
 come from the lengths of what a split on the pattern leaves.
 
 Scale: text is shuffled at most once, as one row per distinct blob (combined
-before the shuffle). Only findings join back, against (path, blob) rows; both
+before the shuffle). Of the ledger only the rows of a batch's blobs go beyond the
+join with their ids. Only findings join back, against (path, blob) rows; both
 sides of that join are plain exchanges, so adaptive execution splits a blob that
 a third of all paths share.
 """
@@ -94,7 +95,8 @@ def update_ledger(versions: DataFrame, ledger: str, rules: tuple = RULES, text:
     if old is None:
         todo = blobs.groupBy("blob").agg(F.first("body").alias("body")).withColumn("todo", tags)
     else:
-        seen = old.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("scanned"))).alias("scanned"))
+        mine = cut(blobs.select(F.col("blob").alias("b")).distinct(), "batch")  # what the increment is about: of the ledger only its rows go on
+        seen = old.join(mine, F.col("blob") == F.col("b"), "left_semi").groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("scanned"))).alias("scanned"))
         done = cut(seen.where(F.size(F.array_except(tags, F.col("scanned"))) == 0).select("blob"), "done")
         fresh = blobs.join(done, "blob", "left_anti").groupBy("blob").agg(F.first("body").alias("body"))
         todo = fresh.join(seen, "blob", "left").withColumn("todo", F.array_except(tags, F.coalesce("scanned", F.array().cast("array<string>")))).drop("scanned")
@@ -102,9 +104,11 @@ def update_ledger(versions: DataFrame, ledger: str, rules: tuple = RULES, text:
     todo.select("blob", F.col("todo").alias("scanned"), findings.alias("findings")).write.mode("append").parquet(ledger)
     now = spark.read.schema(LEDGER).parquet(ledger)
     wanted = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules])
+    if old is not None:
+        now = now.join(mine, F.col("blob") == F.col("b"), "left_semi")
     hits = now.where(F.size("findings") > 0).withColumn("f", F.explode("findings"))
     hits = hits.where(F.array_contains(wanted, F.struct("f.kind", "f.version")))
-    return hits.groupBy("blob").agg(F.collect_list("f").alias("findings"))
+    return hits.groupBy("blob").agg(F.collect_set("f").alias("findings"))  # two scans at once may both have found it
 
 
 def scan(versions: DataFrame, ledger: str, rules: tuple = RULES, path: str = "doc_id", text: str = "text") -> DataFrame:
