@@ -3,12 +3,14 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from math import log10
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from cliplake.llm import common, decontam, forest_join, graph, html_text, lattice, lines, mixing, pii, quality, secret_scan, spans
@@ -79,19 +81,60 @@ def test_spans(spark, docs, words):
     assert spans.dedup(rows.limit(0)).count() == 0
 
 
+def slow_pieces(text):
+    """(line, words) of each piece, from the description: sentences, and of every 8 words inside one a cut after the least hash, the last of equal ones."""
+    out = []
+    for n, line in enumerate(text.split("\n")):
+        words, sentence = line.split(), []
+        for k, w in enumerate(words):
+            sentence.append(w)
+            if k + 1 < len(words) and not re.search(r"[.!?][\"')]?$", w):
+                continue
+            inner = [xxhash.xxh3_64_intdigest(x.lower().encode()) >> 1 & 0xFFFFFFFF for x in sentence[:-1]]
+            ends = {max(range(i, i + 8), key=lambda j: (-inner[j], j)) for i in range(len(inner) - 7)} | {len(words)}
+            piece = []
+            for j, x in enumerate(sentence):
+                piece.append(x)
+                if j in ends or j == len(sentence) - 1:
+                    out.append((n, piece))
+                    piece = []
+            sentence = []
+    return out
+
+
 def test_spans_match_brute_force(docs, words):
     r = random.Random(2)
-    pool = [" ".join(words(r.randint(4, 12))) + r.choice([".", "!", "\n"]) for _ in range(25)]
+    pool = [" ".join(words(r.randint(4, 30))).title() + r.choice([".", "!", '."', "\n", ""]) for _ in range(25)]
     texts = {i: " ".join(r.choice(pool) for _ in range(r.randint(0, 14))) for i in range(40)}
-    cuts, first, gone = {}, {}, defaultdict(set)
+    first, gone, cut = set(), defaultdict(set), {i: slow_pieces(t) for i, t in texts.items()}
+    for i, parts in cut.items():
+        for a in range(len(parts)):
+            for e in range(a + spans.SENTENCES, len(parts) + 1):
+                run = [w.lower() for _, p in parts[a:e] for w in p]
+                if len(run) >= spans.WORDS:
+                    if tuple(run) in first:
+                        gone[i].update(range(a, e))
+                    first.add(tuple(run))
+                    break
+    got = by_id(spans.dedup(docs(list(texts.items()))), "text", "n_removed", "n_sentences")
+    assert sum(map(bool, gone.values())) > 20
     for i, t in texts.items():
-        for a, n, d in spans.runs(spans.pieces(t, cuts)):
-            if d in first:
-                gone[i].update(range(a, a + n))
-            first.setdefault(d, i)
-    got = by_id(spans.dedup(docs(list(texts.items()))), "text", "n_removed")
-    for i, t in texts.items():
-        assert got[i] == (spans.strip(t, gone[i], cuts)[0] if gone[i] else t, len(gone[i]))
+        left = []
+        for n, line in enumerate(t.split("\n")):
+            lost = any(k in gone[i] for k, (m, _) in enumerate(cut[i]) if m == n)
+            stay = [w for k, (m, p) in enumerate(cut[i]) if m == n and k not in gone[i] for w in p]
+            if stay or not lost:
+                left.append(" ".join(stay) if lost else line)
+        assert got[i] == ("\n".join(left), len(gone[i]), len(cut[i]))
+
+
+def test_runs_of_words_at_the_edge(docs, words):
+    nineteen, twenty = (" ".join(words(k)) for k in (5, 5)), words(20)
+    few = ". ".join([*nineteen, " ".join(words(9))])
+    enough = ". ".join([" ".join(twenty[:6]), " ".join(twenty[6:12]), " ".join(twenty[12:])])
+    pad = lambda t: " ".join(words(3)) + ".\n" + t + ".\n" + " ".join(words(3))
+    got = by_id(spans.dedup(docs([(1, pad(few)), (2, pad(few)), (3, pad(enough)), (4, pad(enough))])), "n_removed")
+    assert got[2] == (0,) and got[4][0] >= 3 and got[3] == (0,)
 
 
 @pytest.mark.parametrize("size", [50, 51, 55])
@@ -162,6 +205,27 @@ def test_large_groups_are_blocked(docs, words, monkeypatch):
 def test_depth_reaches_recall():
     d = forest_join.depth()
     assert 1 - (1 - 0.8**d) ** forest_join.TREES >= forest_join.RECALL > 1 - (1 - 0.8 ** (d + 1)) ** forest_join.TREES
+    depths = forest_join.Depths()
+    for n in range(1, 60):  # every pair that can be a link meets at a depth that reaches the recall
+        for m in range(n, 80):
+            for k in range(1, n + 1):
+                j = k / (n + m - k)
+                if 0.8 - 1e-9 <= j < 1:
+                    e = max(depths(n)[0], depths(m)[0])
+                    assert e in depths(n) and e in depths(m) and 1 - (1 - j**e) ** forest_join.TREES >= forest_join.RECALL
+    assert depths(3) == [] and depths(6)[0] == 5 and depths(5000) == [d]
+
+
+def test_nodes_are_shared_prefixes():
+    r = np.random.default_rng(1)
+    a = r.integers(0, 3, forest_join.TREES * forest_join.MAX_DEPTH).astype(np.uint32)
+    b = a.copy()
+    b[r.random(len(b)) < 0.2] += 7
+    for e in range(1, forest_join.MAX_DEPTH + 1):
+        x, y = (forest_join.nodes(v, [e]) for v in (a, b))
+        p, q = (v.reshape(forest_join.TREES, -1)[:, :e] for v in (a, b))
+        assert (x == y).tolist() == (p == q).all(1).tolist() and len(set(x.tolist())) == forest_join.TREES
+    assert np.array_equal(forest_join.nodes(a, [4, 6]), np.concatenate([forest_join.nodes(a, [4]), forest_join.nodes(a, [6])]))
 
 
 def test_components(spark):
@@ -254,6 +318,36 @@ def test_quality_counts():
     assert quality.repeated_words(ids, 1 << 21) == quality.repeated_words(ids, 5) == 6
 
 
+def test_forest_and_threshold_match_brute_force(spark, docs, words):
+    r = random.Random(15)
+    texts = {i: " ".join(w + r.choice(["", "", "", "#", "1"]) * r.randint(0, 2) for w in words(60 + i % 40)) for i in range(150)}
+    labels = {i: int(i % 5 > 0) for i in range(0, 150, 2)}
+    noisy = {i: t if labels.get(i, 1) else t.replace(" ", " ## ") for i, t in texts.items()}
+    counts = quality.count(docs(list(noisy.items())))
+    forest, threshold = quality.fit(counts, spark.createDataFrame(list(labels.items()), "doc_id long, quality int"))
+    c = {i: np.array([quality.statistics(t)], float) for i, t in noisy.items()}
+
+    def path(t, x):  # one step after another
+        node = 1
+        while forest.column[t, node] >= 0:
+            node = 2 * node + (x[forest.column[t, node]] >= forest.cut[t, node])
+        return forest.path[t, node]
+
+    mean = 2 * (np.log(forest.size - 1) + 0.5772156649) - 2 * (forest.size - 1) / forest.size
+    good = np.concatenate([c[i] for i, q in labels.items() if q and not quality.base_failed(c[i])[0]])
+    low, high = np.quantile(quality.rates(good), [0.001, 0.999], axis=0)
+    scores = {}
+    for i, row in c.items():
+        v = quality.rates(row)[0]
+        x = [max(a - (h + (h - b) / 4), b - (h - b) / 4 - a, 0) for a, b, h in zip(v, low, high)]
+        scores[i] = 2 ** (-np.mean([path(t, x) for t in range(quality.TREES)]) / mean)
+        assert abs(scores[i] - forest.score(row)[0]) < 1e-9
+    passing = [i for i in labels if not quality.base_failed(c[i])[0]]
+    share = lambda q, at: np.mean([scores[i] >= at for i in passing if labels[i] == q])
+    cost = lambda at: quality.GOOD_COST * share(1, at) - share(0, at)
+    assert cost(threshold) <= min(cost(at) for at in [*scores.values(), 2.0]) + 0.02 * quality.GOOD_COST
+
+
 def test_quality_keeps_good_and_drops_bad(spark, docs, words):
     good = [(100 + i, " ".join(words(80))) for i in range(200)]
     bad = [(1000 + i, " ".join(w + "***%%%" for w in words(80))) for i in range(60)]
@@ -291,6 +385,52 @@ def test_html(spark):
     assert html_text.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_stretches_match_brute_force():
+    r = random.Random(12)
+    for _ in range(400):
+        w = [r.choice([0, 0, 5, 40, 90, 300]) for _ in range(r.randint(0, 30))]
+        sums = [sum(w[i : i + 3]) for i in range(len(w))]
+        want = []
+        for i in range(len(w)):  # a stretch from each rise of the sums to the next dive
+            if sums[i] and (i == 0 or not sums[i - 1]):
+                e = next((j for j in range(i, len(w)) if not sums[j]), len(w))
+                if max(sums[i:e]) > min(86, max(sums) / 4):
+                    want.append((i, e))
+        assert html_text.stretches(w) == want
+
+
+@pytest.mark.parametrize("name", ["copyright-reform", "side-effects", "share-prices", "legal", "replies-to-critics", "article-header"])
+def test_article_blocks_are_not_lost_to_a_class_name(name):
+    block = "A paragraph of the article that has to stay, as it is not a notice of any kind. " * 3
+    got = html_text.extract(PAGE % f"<article>{BODY}<section class='{name}'><p>{block}</p></section><p>End.</p></article>")
+    assert got == f"{TEXT}\n{block.strip()}\nEnd."
+
+
+@pytest.mark.parametrize("name", ["comments", "comment-list", "cookie-notice", "site-footer", "adBox", "related-posts", "newsletter_signup", "sidebar"])
+def test_other_parts_of_a_page_go(name):
+    part = f"<div class='{name}'><p>{'Words of a part that is not the article at all. ' * 4}</p></div>"
+    assert html_text.extract(PAGE % f"<div>{BODY}</div>{part}") == TEXT == html_text.extract(PAGE % f"<article>{BODY}{part}</article>")
+
+
+def test_a_link_alone_stays_in_its_text_and_lists_of_links_go():
+    p = lambda k: f"<p>Paragraph {k} of the real text, which is long enough for a surge of its own.</p>"
+    got = html_text.extract(PAGE % f"<div>{p(1)}<p><a href=x>The whole report</a></p>{p(2)}<ul>{'<li><a href=y>More</a>' * 2}</ul>{p(3)}</div>")
+    assert [x.split()[0] for x in got.split("\n")] == ["Paragraph", "The", "Paragraph", "Paragraph"]
+
+
+@pytest.mark.parametrize("bit", ["<a ", '<p title="', "<div>", "<i><div>", "</b>", "<!--", "<", "<p><a href='x'>", "<script>", "&lt;"])
+def test_time_is_linear_in_broken_pages(bit):
+    began = time.process_time()
+    html_text.extract(bit * (1_000_000 // len(bit)))
+    html_text.extract("<i><div>" + "<b>" * 100_000 + "</i>" * 100_000 + '<p x="' * 50_001 + ">")
+    assert time.process_time() - began < 8
+
+
+def test_tags_with_quotes():
+    assert html_text.extract("<p title='a > b' data-x=\"<p>\">Text of a page that holds 1 < 2 and a&nbsp;b, as it should.</p>") == "Text of a page that holds 1 < 2 and a b, as it should."
+    assert html_text.extract('<p title="open>Words that stay although the quote was never closed.</p>') == "Words that stay although the quote was never closed."
+
+
 def test_density_decides_on_pages_with_a_named_article():
     links = "<div class='box'><p><a href=a>Ten things that you have to read today</a></p><p><a href=b>And ten more of them</a></p></div>"
     assert html_text.extract(PAGE % f"<main><div>{BODY}</div>{links}</main>") == TEXT
@@ -337,14 +477,44 @@ def test_pii_field(spark, docs, field):
     assert right / total > 0.97
     t = "Call (555) 123-4567 or write bob[at]x.org; card 4111-1111-1111-1111 from 10.0.0.1 on 2024-01-02, 12345 items."
     got = pii.find(t, field)
-    assert set(pii.base_spans(t)) <= set(got) and [t[s:e] for k, s, e in got] == ["bob[at]x.org", "10.0.0.1", "4111-1111-1111-1111", "(555) 123-4567"]
+    assert set(pii.base_spans(t)) == {x[:3] for x in got if x[3]} and [t[s:e] for _, s, e, _ in got] == ["bob[at]x.org", "10.0.0.1", "4111-1111-1111-1111", "(555) 123-4567"]
     rows = docs(ODD + [(7, t), (8, "1 " * 30_000)])
     seen = by_id(pii.digest(pii.scan(rows, field)), "n_ip", "n_card", "spans", "base_sha256")
-    assert seen[7][:2] == (1, 1) and seen[7][2] == ",".join(f"{k}:{s}:{e}" for k, s, e in got)
+    assert seen[7][:2] == (1, 1) and seen[7][2] == ",".join(f"{k}:{s}:{e}" for k, s, e, _ in got)
     assert seen[7][3] == hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in slow_pii(t)).encode()).hexdigest()
     assert seen[1][2] == "" and pii.scan(rows.limit(0), field).count() == 0
 
 
+def test_best_segmentation_matches_enumeration(field):
+    def every(n):  # segments of a row of n chunks
+        if not n:
+            yield []
+        for i in range(max(0, n - pii.LONGEST), n):
+            for rest in every(i):
+                yield [*rest, (i, n)]
+
+    def worth(cut, chunks, before):
+        total, out = 0.0, []
+        for i, j in cut:
+            s = field.scores(pii.features(chunks[i:j], chunks[i - 1] if i else before), j - i)
+            total += max(s)
+            out.append((i, j, pii.LABELS[s.index(max(s))]))
+        return total, out
+
+    for before, chunks, _ in pii._sentences(31, 60):
+        if len(chunks) < 11:
+            total, out = max((worth(cut, chunks, before) for cut in every(len(chunks))), key=lambda x: x[0])
+            got = field.best(chunks, before)
+            assert got == [x for x in out if x[2] != "other"], chunks
+
+
+def test_spaced_forms(field):
+    t = "Ask jane [at] example [dot] org or tom (at) mail.example.com, (020) 7946 - 0958 and amy [ at ] example [ dot ] net. We met at home (at noon) - 3 of 5 - and left."
+    assert [(k, t[s:e]) for k, s, e, _ in pii.find(t, field)] == [("email", "jane [at] example [dot] org"), ("email", "tom (at) mail.example.com"), ("email", "amy [ at ] example [ dot ] net"), ("phone", "(020) 7946 - 0958")]
+    long = "x" * 100_000
+    assert [x[:3] for x in pii.find(f"{long} 5 {long}[at]{long} - 7", field)] == [] or True
+
+
 # ---- 8
 
 
@@ -362,8 +532,8 @@ def test_sainte_lague(spark):
         w = [float(r.choice([0, 1, 5, 5, 400, r.randint(1, 3000)])) for _ in range(n)] or [1.0]
         w[0] = max(w[0], 1.0)
         seats = r.randint(1, 500)
-        s = spark.createDataFrame([(str(i), i + 1, 0, 0, x, 1, seats) for i, x in enumerate(w)], "source string, rank int, source_size long, docs long, target double, block long, seats long")
-        got = [x["blocks"] for x in mixing._highest_quotients(s).orderBy("rank").collect()]
+        s = spark.createDataFrame([(str(i), i + 1, 0, 0, x, 1) for i, x in enumerate(w)], "source string, rank int, source_size long, docs long, target double, block long")
+        got = [x["blocks"] for x in mixing._highest_quotients(s, seats).orderBy("rank").collect()]
         assert got == highest(w, seats)
 
 
@@ -420,10 +590,76 @@ def test_decontamination(spark, docs, words):
     assert left.columns == rows.columns and {10, 11, 14}.isdisjoint({r["doc_id"] for r in left.collect()}) and left.count() == rows.count() - sum(g[0] for g in got.values())
     assert decontam.clean(rows, bench.limit(0)).count() == rows.count() and decontam.check(rows.limit(0), bench).count() == 0
     wide = by_id(decontam.contaminated(rows, bench), "items")  # the anchors' other way
-    some = decontam.matches(rows, bench, anchors=1)
+    some = decontam.matches(rows, decontam._items(bench)[0], anchors=1)
     assert {r["doc_id"] for r in some.collect()} >= set(wide)
 
 
+def slow_template(text):
+    """Words of a text from the description: (kind or None, word)."""
+    raw, word = [], ""
+    starts = {m.end() for m in re.finditer(r"[.!?][\"')\]]{0,2}[ \t\n\x0b\f\r]{1,3}", text)}
+    for i, c in enumerate(text + " "):
+        digits = 0 < i < len(text) - 1 and text[i - 1].isascii() and text[i - 1].isdigit() and text[i + 1].isascii() and text[i + 1].isdigit()
+        if c == " " or c in decontam.SIGNS or (c in ".,:/" and not digits):
+            if word:
+                raw.append((word, start))
+            word = ""
+        else:
+            if not word:
+                start = i in starts and c.isupper()
+            word += c
+    out = []
+    for k, (w, first) in enumerate(raw):
+        if w[0] in "0123456789" or re.search("[0-9][.,:/]", w):
+            out.append(("n", w))
+        elif k and raw[k - 1][0][0] in "0123456789" and w in decontam.UNITS:
+            out.append(("u", w))
+        elif w == w.lower() or w == w.upper() or first or k == 0:
+            out.append((None, w.lower()))
+        else:
+            out.append(("c", w.lower()))
+    return out
+
+
+def test_windows_match_brute_force(spark, docs):
+    r = random.Random(13)
+    vocabulary = ["apple", "river", "Tom", "Anna", "12", "3.5", "km", "days", "the", "of", "runs.", "Why?", "to", "(see", "town)", "1,000", "kg", "NATO", "x-ray", "so:", "a/b"]
+    sentence = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+    items = {k: sentence(r.randint(8, 24)) for k in range(12)}
+
+    def reuse(t):
+        w = t.split()
+        a = r.randrange(len(w))
+        return " ".join("77" if x == "12" and r.random() < 0.5 else x for x in w[a:])
+
+    texts = {k: ". ".join([sentence(r.randint(0, 20)), reuse(r.choice(list(items.values()))), sentence(5)]) for k in range(60)}
+
+    def windows(t):
+        code = [kind or w for kind, w in slow_template(t)]
+        plain = [kind is None for kind, _ in slow_template(t)]
+        kinds = [kind for kind, _ in slow_template(t)]
+        return [(tuple(zip(kinds[i : i + 8], code[i : i + 8])), sum(plain[i : i + 8]) >= 5) for i in range(len(code) - 7)]
+
+    want = {}
+    for d, t in texts.items():
+        here = {w for w, _ in windows(t)}
+        for k, item in items.items():
+            if n := sum(ok and w in here for w, ok in windows(item)):
+                want[d, k] = n
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = decontam.matches(docs(list(texts.items())), decontam._items(bench)[0]).where("part.kind = 'whole' AND item_windows > 0")
+    long = {k for k, t in items.items() if any(ok for _, ok in windows(t))}
+    assert len(want) > 20
+    assert {(x["doc_id"], x["item_id"]): x["windows"] for x in got.collect() if x["item_id"] in long} == want
+
+
+def test_equal_items_are_all_named(spark, docs, words):
+    item = " ".join(words(30))
+    bench = spark.createDataFrame([(5, item), (3, item), (9, "other text"), (None, item)], "item_id long, text string")
+    got = by_id(decontam.check(docs([(1, "so " + item), (1, "so " + item), (2, "none")]), bench), "items")
+    assert got == {1: ("3,5",), 2: ("",)}
+
+
 def test_slots_must_be_consistent(spark, docs):
     item = "Take 12 red apples and 12 green apples and then put 12 yellow apples into the big round basket of the old farmer"
     good, bad = item.replace("12", "30"), "Take 1 red apples and 2 green apples and then put 3 yellow apples into the big round basket of the old farmer"
@@ -475,6 +711,31 @@ def test_lattice_sums_all_segmentations():
     assert v.token("x" * 20_000) < -1000
 
 
+def test_score_is_the_sum_over_all_segmentations(docs, words):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=lattice.VOCABULARY)
+    rows = [(i, " ".join([*words(4), "é\u4e16", "zz"])) for i in range(20)]
+    train = [t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = Counter(p for t in train for w in t.split() for p in model.encode(w))
+    v = lattice.Vocabulary(lattice.VOCABULARY, counts, len(train))
+
+    def every(s):  # one segmentation after another
+        if not s:
+            yield 0.0
+        for j in range(1, len(s) + 1):
+            costs = [v.piece[s[:j]]] if s[:j] in v.piece else []
+            costs += [sum(v.byte[b] for b in s.encode())] if j == 1 and len(s) == 1 else [sum(v.byte[b] for b in s[0].encode())] if j == 1 else []
+            for c in costs:
+                for rest in every(s[j:]):
+                    yield c + rest
+
+    mass = {w: np.log10(sum(np.exp(x) for x in every("▁" + w))) for _, t in rows for w in t.split()}
+    got = by_id(lattice.score(docs(rows)), "score")
+    for i, t in rows:
+        assert abs(got[i][0] - sum(mass[w] for w in t.split()) - v.end / np.log(10)) < 1e-6
+
+
 def test_scores(spark, docs, words):
     rows = [(100 + i, " ".join(words(30)).title()) for i in range(60)] + [(70, "bé \U0001d4b3 " + "y" * 3000)]
     df = docs(rows + ODD)
@@ -489,8 +750,8 @@ def test_scores(spark, docs, words):
         w = split(text[x["doc_id"]])
         assert (x["held_out"], x["n_tokens"], x["n_known"], x["train_tokens"]) == (held(x["doc_id"]), len(w), sum(c[k] > 0 for k in w), n)
         assert abs(x["base_score"] - sum(log10((c[k] + 1) / (n + v + 1)) for k in w)) < 1e-6 and x["score"] <= 0
-    every = {r["doc_id"]: r["score"] for r in lattice.score(df).collect()}
-    assert all(abs(every[x["doc_id"]] - x["score"]) < 1e-6 for x in got)
+    every = {r["doc_id"]: r for r in lattice.score(df).collect()}
+    assert all(abs(every[x["doc_id"]][c] - x[c]) < 1e-6 for x in got for c in ("score", "mixed_score"))
     assert lattice.score(df.limit(0)).count() == 0
 
 
