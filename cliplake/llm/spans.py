@@ -1,19 +1,22 @@
 """Substring dedup over sliding spans of sentences.
 
-A text is cut into sentences, at . ! ? and line breaks, and long sentences once
-more by winnowing: of every GAP words in a row that hold no end of a sentence, the
-piece ends at the one with the least hash. Whether a word ends a piece is decided
-by fewer than GAP words on either side, so the same words are cut alike wherever
-they stand, and no piece has more than GAP words. In a passage of 50 words the
-first and last GAP - 1 may be cut otherwise than in another text; between them
-always lies a whole run. Every run of SENTENCES or more sentences with WORDS or more
-words (the shortest such from each sentence on) is hashed and joined globally;
-sentences that a repeated run covers go, except where it occurs first.
-
-Scale: a run is a row of hashes and ids. First occurrences are minima that are
-combined before the shuffle; the join against repeated runs has plain exchanges on
-both sides, so that a run in a third of all documents is split over tasks. Text
-moves once, to meet the runs of its document.
+A sentence ends at . ! ? and at line breaks. Sentences of more than GAP words are
+cut once more by winnowing: of every GAP words in a row that hold no end of a
+sentence, the piece ends at the one with the least hash. Shorter sentences stay
+whole, and the cuts of a sentence depend on its own words only, so that repeated
+sentences are found and removed as a whole; cuts inside matter where the same
+words stand in unlike sentences, as in lists or quotations. No piece has more
+than GAP words. In a passage of 50 words the first and last GAP - 1 may be cut
+otherwise than in another text; between them always lies a whole run. Every run
+of SENTENCES or more pieces with WORDS or more words (the shortest such from each
+piece on) is hashed and joined globally; pieces that a repeated run covers go,
+except where it occurs first. Passages without a run, of under 20 words, stay.
+
+Scale: a run is a row of hashes and ids, made in one pass over the text and
+written once. First occurrences are minima that are combined before the shuffle;
+the join against repeated runs has plain exchanges on both sides, so that a run in
+a third of all documents is split over tasks. Text moves once, to meet the runs of
+its document, and only texts that lose something are cut again.
 """
 
 from __future__ import annotations
@@ -119,23 +122,27 @@ def runs(parts: list[tuple[int, str]], sentences: int = SENTENCES, least: int =
 
 
 def run_table(docs: DataFrame, sentences: int = SENTENCES, least: int = WORDS) -> DataFrame:
-    """h, g (hashes of a run), doc_id, row_hash, at, n: the first occurrence of each run in each document."""
+    """h, g (hashes of a run), doc_id, row_hash, at, n: the first occurrence of each run in each document.
+
+    Later ones in the same document have no h; a row with at -1 has no h either
+    and holds the number of pieces of a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts: dict[str, int] = {}
         for b in batches:
             found, row = [], []
             for r, t in enumerate(b.column(2)):
-                got = _runs(*_cut(t.as_py(), cuts)[1:], sentences, least)
-                if len(got[0]):
-                    one = np.unique(got[2], return_index=True)[1]
-                    found.append([x[one] for x in got])
-                    row.append(np.full(len(one), r))
+                _, keys, ends = _cut(t.as_py(), cuts)
+                at, n, h, g = _runs(keys, ends, sentences, least)
+                first = np.zeros(len(at), bool)
+                first[np.unique(h, return_index=True)[1]] = True
+                found.append((np.append(at, -1), np.append(n, len(ends)), np.append(h, 0), np.append(g, 0), np.append(~first, True)))
+                row.append(np.full(len(at) + 1, r))
             if not found:
                 continue
-            at, n, h, g = (np.concatenate(x) for x in zip(*found))
+            at, n, h, g, none = (np.concatenate(x) for x in zip(*found))
             rows = pa.array(np.concatenate(row))
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(g), b.column(0).take(rows), b.column(1).take(rows), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))], names=["h", "g", "doc_id", "row_hash", "at", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(h, mask=none), pa.array(g.astype(np.int32), mask=none), b.column(0).take(rows), b.column(1).take(rows), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))], names=["h", "g", "doc_id", "row_hash", "at", "n"])
 
     return keyed(docs).select("doc_id", "row_hash", "text").mapInArrow(run, "h long, g int, doc_id long, row_hash long, at int, n int")
 
@@ -168,35 +175,29 @@ def dedup(docs: DataFrame, sentences: int = SENTENCES, least: int = WORDS) -> Da
     what they have in common. Null texts count as empty. Lines that lose nothing
     are unchanged; in others blanks between what is left become one. Texts with
     fewer sentences or words than a run lose nothing. Other columns are not read."""
-    since, table = mark(), run_table(docs, sentences, least)
-    last = F.coalesce("doc_id", F.lit((1 << 63) - 1))
+    since = mark()
+    every = cut(run_table(docs, sentences, least), "runs")
+    table, last = every.where("h IS NOT NULL"), F.coalesce("doc_id", F.lit((1 << 63) - 1))
     again = table.groupBy("h", "g").agg(F.min(last).alias("first"), F.max(last).alias("last")).where("first < last")
     again = cut(again.select(F.col("h").alias("oh"), F.col("g").alias("og"), "first"), "repeated")
     hits = table.join(again, (F.col("h") == F.col("oh")) & (F.col("g") == F.col("og"))).where(last > F.col("first"))
-    gone = hits.groupBy("doc_id", "row_hash").agg(F.collect_set(F.struct("at", "n")).alias("runs"))
+    own = every.where("h IS NULL").select("doc_id", "row_hash", "at", "n")
+    gone = hits.select("doc_id", "row_hash", "at", "n").unionByName(own).groupBy("doc_id", "row_hash")
+    gone = gone.agg(F.max(F.when(F.col("at") < 0, F.col("n"))).alias("pieces"), F.collect_set(F.when(F.col("at") >= 0, F.struct("at", "n"))).alias("runs"))
     gone = cut(gone.withColumnsRenamed({"doc_id": "d", "row_hash": "r"}), "gone")
     sweep(docs.sparkSession, since, gone)
     rows = keyed(docs)
-    rows = rows.join(gone, rows["doc_id"].eqNullSafe(gone["d"]) & (rows["row_hash"] == gone["r"]), "left").select("doc_id", "text", "runs")
+    rows = rows.join(gone, rows["doc_id"].eqNullSafe(gone["d"]) & (rows["row_hash"] == gone["r"]), "left").select("doc_id", "text", "pieces", "runs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts: dict[str, int] = {}
         for b in batches:
-            text, n, removed = [], [], []
-            for t, r in zip(b.column(1), b.column(2)):
-                t, (_, keys, ends) = t.as_py(), _cut(t.as_py(), cuts)
-                bad = {k for x in r.as_py() or () for k in range(x["at"], x["at"] + x["n"])}
-                at, size, h, _ = _runs(keys, ends, sentences, least)
-                once = np.unique(h, return_index=True)[1]
-                if len(once) < len(h):
-                    again = np.ones(len(h), bool)
-                    again[once] = False
-                    for k in np.flatnonzero(again).tolist():
-                        bad.update(range(int(at[k]), int(at[k] + size[k])))
-                text.append(strip(t, bad, cuts)[0] if bad else t)
-                n.append(len(ends))
+            text, removed = [], []
+            for t, r in zip(b.column(1), b.column(3)):
+                bad = {k for x in r.as_py() for k in range(x["at"], x["at"] + x["n"])}
+                text.append(strip(t.as_py(), bad, cuts)[0] if bad else t.as_py())
                 removed.append(len(bad))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.string()), pa.array(n, pa.int64()), pa.array(removed, pa.int64())], names=["doc_id", "text", "n_sentences", "n_removed"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.string()), b.column(2), pa.array(removed, pa.int64())], names=["doc_id", "text", "n_sentences", "n_removed"])
 
-    out = rows.mapInArrow(run, "doc_id long, text string, n_sentences long, n_removed long")
+    out = rows.withColumn("pieces", F.col("pieces").cast("long")).mapInArrow(run, "doc_id long, text string, n_sentences long, n_removed long")
     return out.withColumn("n_chars", F.length("text").cast("long"))
