@@ -16,7 +16,8 @@ SUBJECT_RULES = (
 )
 PROMOTIONAL = ("link", "shop", "buy", "%", "off", "code", "bio")
 CTA = r"(?i)\b(cta|call[s]? to action|comment[- ]?bait|engagement prompt|ask[s]?(ing)? viewers|comment your|drop a comment|follow for|link in bio)\b"
-STAGE_FAILURE = {"ingest": "ingestion_failed", "perception": "perception_failed", "decompile": "decompilation_failed", "validate": "validation_failed"}
+STAGE_FAILURE = {"ingest": "ingestion_failed", "performance_snapshot": "ingestion_failed", "perception": "perception_failed", "decompile": "decompilation_failed", "validate": "validation_failed", "project_canonical": "validation_failed"}
+STATUSES = ("success", "rejected_by_cohort", "ingestion_failed", "perception_failed", "decompilation_failed", "validation_failed")
 
 
 def _any_of(text: Column, words: Sequence[str]) -> Column:
@@ -66,8 +67,9 @@ def last_segment(url: Column) -> Column:
 
 
 def video_id(ref: Column, hosts: Sequence[str]) -> Column:
-    """An id of 6 to 32 digits as it is; else the last path segment of a URL on one of the hosts; else null."""
-    return F.when(ref.rlike("^[0-9]{6,32}$"), ref).when(allowed_url(ref, hosts), last_segment(ref))
+    """An id of 6 to 32 digits as it is; else, of a URL on one of the hosts, the digits after a leading /video/ or the last path segment; else null."""
+    named = F.nullif(F.regexp_extract(F.try_parse_url(ref, F.lit("PATH")), "^/video/([0-9]+)", 1), F.lit(""))
+    return F.when(ref.rlike("^[0-9]{6,32}$"), ref).when(allowed_url(ref, hosts), F.coalesce(named, last_segment(ref)))
 
 
 def canonical_url(ident: Column, pattern: str) -> Column:

@@ -210,6 +210,28 @@ def merged_synthesis(v: Column, reference: str = "synthesis/response.raw.txt") -
     return observed, inferred, generation
 
 
+def source_block(meta: Column, facts: Column, platform: str, url_pattern: str, manifest: Column | None = None) -> Column:
+    """The source of a document from collector metadata (VARIANT; a raw payload, one below `raw`, or the normalised fields) and media facts (struct). url_pattern, with %s for the id, serves where no page is known."""
+    raw = F.when(_kind(_get(meta, "raw")).startswith("OBJECT"), _get(meta, "raw")).otherwise(meta)
+    either = lambda *paths: F.coalesce(*[F.nullif(F.try_variant_get(v, f"$.{p}", "string"), F.lit("")) for p in paths for v in (raw, meta)])
+    ident = either("id", "video_id")
+    caption = either("description", "caption")
+    stamp = _get(raw, "timestamp")
+    epoch = F.when(_kind(stamp).rlike("^(BIGINT|DOUBLE|DECIMAL|FLOAT)"), S.epoch_iso(F.floor(F.try_variant_get(raw, "$.timestamp", "double")).cast("bigint")))
+    return F.struct(
+        F.lit(platform).alias("platform"),
+        ident.alias("video_id"),
+        F.coalesce(either("webpage_url", "source_url"), F.format_string(url_pattern, ident)).alias("source_url"),
+        S.handle(either("uploader", "creator_handle")).alias("creator_handle"),
+        caption.alias("caption"),
+        F.coalesce(S.caption_hashtags(caption), F.array().cast("array<string>")).alias("hashtags"),
+        facts["duration_seconds"].alias("duration_seconds"),
+        F.coalesce(epoch, either("published_at")).alias("published_at"),
+        facts["sha256"].alias("artifact_sha256"),
+        (F.lit(None).cast("string") if manifest is None else manifest).alias("manifest_reference"),
+    )
+
+
 def creative_document(rows: DataFrame) -> DataFrame:
     """Adds `merge_errors` and `document` (null if there are errors) to rows with shots, analysis, synthesis, source (struct) and decompilation (struct)."""
     a, v, shots = F.col("analysis"), F.col("synthesis"), F.col("shots")

@@ -22,33 +22,65 @@ def run_metrics(rows: DataFrame, requested: int | Column) -> DataFrame:
     """One row over status, total_latency_seconds, total_usage_cost_usd, schema_valid, failure_category."""
     good, rejected = F.col("status") == "success", F.col("status") == "rejected_by_cohort"
     cost = F.when(good, F.coalesce("total_usage_cost_usd", F.lit(0.0)))
-    latency = F.when(good, F.coalesce("total_latency_seconds", F.lit(0.0)))
     n = F.count_if(good)
     requested = F.lit(requested) if isinstance(requested, int) else requested
-    return rows.agg(
+    total = rows.agg(
         requested.cast("bigint").alias("requested"),
         F.count_if(rejected).alias("cohort_rejections"),
         F.count_if(~rejected & (F.col("status") != "ingestion_failed")).alias("ingested"),
         n.alias("fully_processed"),
         A.share(n, F.count_if(~rejected)).alias("success_rate"),
         A.share(F.count_if(good & F.coalesce("schema_valid", F.lit(False))), n).alias("schema_validation_rate"),
-        A.nearest_rank(latency, 50).alias("p50_latency_seconds"),
-        A.nearest_rank(latency, 95).alias("p95_latency_seconds"),
         F.coalesce(F.avg(cost), F.lit(0.0)).alias("mean_cost_usd"),
-        F.coalesce(F.median(cost), F.lit(0.0)).alias("median_cost_usd"),
         F.coalesce(F.sum(cost), F.lit(0.0)).alias("total_cost_usd"),
         F.count_if(F.col("failure_category") == "model_provider").alias("model_provider_failures"),
         F.count_if(F.col("status") == "ingestion_failed").alias("collection_failures"),
     )
+    done = rows.where("status = 'success'").select(F.lit(1).alias("_k"), F.coalesce("total_latency_seconds", F.lit(0.0)).alias("_latency"), F.coalesce("total_usage_cost_usd", F.lit(0.0)).alias("_cost"))
+    latency = at_ranks(done, "_k", "_latency", {"p50_latency_seconds": nearest(50), "p95_latency_seconds": nearest(95)})
+    middle = at_ranks(done, "_k", "_cost", {"_lower": lambda n: F.floor((n - 1) / 2), "_upper": lambda n: F.floor(n / 2)})
+    middle = middle.select("_k", ((F.col("_lower") + F.col("_upper")) / 2).alias("median_cost_usd"))
+    out = total.withColumn("_k", F.lit(1)).join(latency, "_k", "left").join(middle, "_k", "left")
+    filled = ("p50_latency_seconds", "p95_latency_seconds", "median_cost_usd")
+    return out.select(*[c for c in total.columns], *[F.coalesce(c, F.lit(0.0)).alias(c) for c in filled])
+
+
+def nearest(pct: float):
+    """The nearest rank (from 0) of a percentile among n values, halves to even."""
+    return lambda n: F.bround((n - 1) * (pct / 100)).cast("bigint")
+
+
+#: Parts of the range of a group's values in which the first pass counts.
+_PARTS = 1024
+
+
+def at_ranks(rows: DataFrame, by: str, value: str, ranks: dict) -> DataFrame:
+    """by, and for each name the value at ranks[name](n), from 0, of the n sorted values of a group that are not null.
+
+    Groups may be of any size: values are counted by equal parts of the group's
+    range, then only the part that holds a rank is looked into. Each pass moves
+    counts, never the values, and a task sorts at most _PARTS counts of a group or
+    the distinct values of one part."""
+    known = rows.where(F.col(value).isNotNull()).select(by, F.col(value).cast("double").alias("_v"))
+    bounds = known.groupBy(by).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count("*").alias("_n"))
+    share = (F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low"))
+    part = F.when(F.col("_high") > F.col("_low"), F.least(F.lit(_PARTS - 1), F.floor(share * _PARTS))).otherwise(0).cast("int")
+    parted = known.join(bounds, by).withColumn("_part", part)
+    upto = F.sum("_c").over(W.partitionBy(by).orderBy("_part").rowsBetween(W.unboundedPreceding, 0))
+    hist = parted.groupBy(by, "_part").agg(F.count("*").alias("_c"), F.first("_n").alias("_n")).withColumn("_upto", upto)
+    wanted = F.array(*[F.struct(F.lit(k).alias("name"), f(F.col("_n")).cast("bigint").alias("rank")) for k, f in ranks.items()])
+    hist = hist.withColumn("_w", F.filter(wanted, lambda w: (w["rank"] < F.col("_upto")) & (w["rank"] >= F.col("_upto") - F.col("_c")))).where(F.size("_w") > 0)
+    picks = hist.select(by, "_part", (F.col("_upto") - F.col("_c")).alias("_before"), "_w")
+    inside = parted.join(picks, [by, "_part"]).groupBy(by, "_part", "_v").agg(F.count("*").alias("_c"), F.first("_before").alias("_before"), F.first("_w").alias("_w"))
+    upto = F.col("_before") + F.sum("_c").over(W.partitionBy(by, "_part").orderBy("_v").rowsBetween(W.unboundedPreceding, 0))
+    found = inside.withColumn("_upto", upto).select(by, "_v", "_c", "_upto", F.explode("_w").alias("_w"))
+    found = found.where((F.col("_w.rank") < F.col("_upto")) & (F.col("_w.rank") >= F.col("_upto") - F.col("_c")))
+    return found.groupBy(by).agg(*[F.max(F.when(F.col("_w.name") == k, F.col("_v"))).alias(k) for k in ranks])
 
 
 def nearest_rank_rows(rows: DataFrame, by: str, value: str, pct: float) -> DataFrame:
-    """Nearest-rank percentile of groups of any size: counts per value are combined before the shuffle, then summed in order."""
-    counts = rows.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count("*").alias("n"))
-    w = W.partitionBy(by).orderBy(value)
-    upto = counts.withColumn("upto", F.sum("n").over(w)).withColumn("total", F.sum("n").over(W.partitionBy(by)))
-    rank = F.bround((F.col("total") - 1) * (pct / 100)).cast("bigint")
-    return upto.where(F.col("upto") > rank).groupBy(by).agg(F.min(value).alias("value"))
+    """by and value: the nearest-rank percentile of groups of any size."""
+    return at_ranks(rows, by, value, {"value": nearest(pct)})
 
 
 def error_counts(rows: DataFrame) -> DataFrame:
@@ -70,6 +102,15 @@ def review_summary(reviews: DataFrame) -> DataFrame:
     return reviews.agg(F.count("*").alias("reviewed_count"), F.round(F.avg(mean), 3).alias("average_overall"))
 
 
+def manual_review(reviews: DataFrame) -> DataFrame:
+    """One row with manual_review: reviewed_count, average_overall, video_ids, errors_by_category and per_review, for the report of a batch, whose reviews are few."""
+    counts = review_error_counts(reviews).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "n")))).alias("errors_by_category"))
+    each = reviews.agg(F.array_sort(F.collect_list(F.struct("video_id", F.array_sort(F.map_entries("scores")).alias("scores"), "errors"))).alias("r"))
+    rows = review_summary(reviews).withColumn("_k", F.lit(1)).join(counts.withColumn("_k", F.lit(1)), "_k").join(each.withColumn("_k", F.lit(1)), "_k")
+    per = F.transform("r", lambda r: F.struct(r["video_id"].alias("video_id"), F.map_from_entries(r["scores"]).alias("scores"), r["errors"].alias("errors")))
+    return rows.select(F.struct("reviewed_count", "average_overall", F.transform("r", lambda r: r["video_id"]).alias("video_ids"), "errors_by_category", per.alias("per_review")).alias("manual_review"))
+
+
 def required_reviews(successes: Column) -> Column:
     return F.greatest(F.lit(MIN_REVIEWS), F.ceil(successes * REVIEW_SHARE))
 
@@ -85,9 +126,9 @@ def gate(metrics: DataFrame, review: DataFrame, review_errors: DataFrame) -> Dat
     checks = F.array(
         F.when(n < MIN_SUCCESS, F.concat(F.lit("only "), n.cast("string"), F.lit(f" fully-processed videos (< {MIN_SUCCESS})"))),
         F.when(F.col("success_rate") < MIN_SUCCESS_RATE, F.concat(F.lit("success rate "), percent(F.col("success_rate"), 2), F.lit(f" < {MIN_SUCCESS_RATE:.0%}"))),
-        F.when(F.col("schema_validation_rate") < 1.0, F.lit("validation below 100% among success records")),
+        F.when(F.col("schema_validation_rate") < 1.0, F.lit("CreativeIR/CanonicalIR validation below 100% among success records")),
         F.when(F.coalesce(F.col("average_overall") < MIN_REVIEW, F.lit(True)), F.concat(F.lit("manual review average "), F.coalesce(F.col("average_overall").cast("string"), F.lit("None")), F.lit(f" < {MIN_REVIEW}"))),
-        F.when(reviewed < required_reviews(n), F.concat(F.lit("manual review coverage "), reviewed.cast("string"), F.lit(" < required "), required_reviews(n).cast("string"))),
+        F.when(reviewed < required_reviews(n), F.concat(F.lit("manual review coverage "), reviewed.cast("string"), F.lit(" < required "), required_reviews(n).cast("string"), F.lit(" (max(5, ceil(20% of successes)))"))),
     )
     rows = rows.withColumn("blockers", F.concat(F.filter(checks, lambda m: m.isNotNull()), said))
     return rows.select("blockers", F.when(F.size("blockers") == 0, "ready-for-modeling-dataset").otherwise("decompiler-needs-more-work").alias("decision"))

@@ -10,7 +10,7 @@ from cliplake.functions import arrays as A
 
 
 def shots_with_frames(shots: DataFrame, frames: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Left join; of several frames of a shot the last by `order` wins."""
+    """Left join; of several frames of a shot the last by `order` wins, which must tell any two apart."""
     fields = [c for c in frames.columns if c not in keys]
     last = frames.groupBy(*keys).agg(F.max_by(F.struct(*fields), F.struct(order)).alias("_frame"))
     return shots.join(last, keys, "left").select(*shots.columns, *[F.col(f"_frame.{c}").alias(c) for c in fields if c not in shots.columns])
@@ -33,7 +33,7 @@ def duplicates(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def refuse_duplicates(rows: DataFrame, key: str) -> DataFrame:
-    bad = [r[0] for r in duplicates(rows, [key]).orderBy(key).select(key).limit(20).collect()]
+    bad = [r[0] for r in duplicates(rows, [key]).orderBy(key).select(key).collect()]  # a list of sources, which are few
     if bad:
         raise ValueError(f"duplicates of {key}: {', '.join(map(str, bad))}")
     return rows
@@ -84,6 +84,15 @@ def sequential_ids(rows: DataFrame, by: str, order: list, prefix: str = "shot")
     return rows.withColumn("shot_id", F.format_string(prefix + "_%03d", F.row_number().over(W.partitionBy(by).orderBy(*order))))
 
 
+def whole_shots(videos: DataFrame, shots: DataFrame, by: str, duration: str, fps: str) -> DataFrame:
+    """shots, and for each video without any one that spans all of it: `by`, shot_id, start_seconds, end_seconds, start_frame, end_frame."""
+    none = videos.join(shots.select(by), by, "left_anti")
+    length = F.coalesce(F.round(duration, 6), F.lit(0.0))
+    frames = F.coalesce(F.bround(F.col(duration) * F.coalesce(fps, F.lit(30.0))).cast("bigint"), F.lit(0))
+    one = none.select(by, F.lit("shot_001").alias("shot_id"), F.lit(0.0).alias("start_seconds"), length.alias("end_seconds"), F.lit(0).cast("bigint").alias("start_frame"), frames.alias("end_frame"))
+    return shots.select(*one.columns).unionByName(one)
+
+
 def fix_bounds(shots: DataFrame, by: str, order: list, duration: str, fps: str) -> DataFrame:
     """The first shot starts at 0; the last ends at the duration if it is off by more than half a frame."""
     w = W.partitionBy(by).orderBy(*order)
@@ -99,7 +108,7 @@ def cut_points(shots: DataFrame, by: str, order: list) -> DataFrame:
 
 
 def latest(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The last row of each key: an aggregate, combined before the shuffle, not a sort of each key's rows."""
+    """The last row of each key by `order`, which must tell any two rows of a key apart: an aggregate, combined before the shuffle, not a sort of each key's rows."""
     return rows.groupBy(key).agg(F.max_by(F.struct(*[c for c in rows.columns if c != key]), F.struct(*order)).alias("_r")).select(key, "_r.*")
 
 

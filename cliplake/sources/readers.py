@@ -1,10 +1,7 @@
-"""Readers: source lists, manifests, reviews, binary media. Schemas are fixed, never inferred."""
+"""Readers: source lists, manifests, reviews, perception results, documents, binary media. Schemas are fixed, never inferred."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,30 +59,49 @@ def whole_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True)
 
 
-def call_out(rows: DataFrame, function: Callable[[dict], dict], schema: str, attempts: int = 3, transient: tuple[type[Exception], ...] = (TimeoutError, ConnectionError)) -> DataFrame:
-    """Collectors, probers and models: `function` gets a row as a dict and returns a dict of `schema`.
-
-    A failure is a row with ok, error_category, error_message and attempts, never
-    an exception of the job; only transient errors are tried again. Rows of a
-    lost executor are called again, so `function` should be idempotent."""
-    names = [f.strip().split()[0] for f in schema.split(",")]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for row in b.to_dict("records"):
-                tried, got, error = 0, {}, None
-                while tried < attempts:
-                    tried += 1
-                    try:
-                        got, error = function(row), None
-                        break
-                    except transient as e:
-                        error = e
-                    except Exception as e:  # a row's failure is data
-                        error = e
-                        break
-                out.append({n: got.get(n, row.get(n)) for n in names} | {"ok": error is None, "error_category": type(error).__name__ if error else None, "error_message": str(error) if error else None, "attempts": tried})
-            yield pd.DataFrame(out, columns=[*names, "ok", "error_category", "error_message", "attempts"])
-
-    return rows.mapInPandas(run, f"{schema}, ok boolean, error_category string, error_message string, attempts int")
+def frame_bytes(spark: SparkSession, path: str) -> DataFrame:
+    """path, content of the images of representative frames; fails if there are none."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.jpg").load(path).select("path", "content")
+    if files.isEmpty():
+        raise FileNotFoundError(f"no frames below {path}")
+    return files
+
+
+def json_documents(spark: SparkSession, path: str) -> DataFrame:
+    """path, document (VARIANT; null if it isn't JSON) of JSON files, one document each: evaluations, manifests, run results."""
+    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("document"))
+    return rows
+
+
+#: What perception leaves for a video, as JSON below a folder of its name.
+FACTS = "duration_seconds double, width int, height int, fps double, video_codec string, sha256 string"
+SHOTS = "shots array<struct<shot_id:string,start_seconds:double,end_seconds:double,start_frame:bigint,end_frame:bigint>>"
+FRAMES = "shot_id string, path string, timestamp_seconds double, frame_index bigint"
+
+
+def perception_inputs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(facts, shots, frames) of all videos below root/<video_id>/: media_facts.json and shots.json must be there, frames.json may not.
+
+    Each with video_id; shots have one row a shot with its position."""
+    by = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("video_id")
+    read = lambda schema, name: spark.read.schema(schema).option("multiLine", True).json(f"{root}/*/{name}")
+    facts = read(FACTS, "media_facts.json").select(by, *[x.split()[0] for x in FACTS.split(", ")])
+    shots = read(SHOTS, "shots.json").select(by, F.posexplode("shots").alias("position", "shot")).select("video_id", "position", "shot.*")
+    try:
+        frames = read(FRAMES, "frames.json").select(by, *[x.split()[0] for x in FRAMES.split(", ")])
+    except Exception as e:  # no video has any
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        frames = spark.createDataFrame([], f"video_id string, {FRAMES}")
+    return facts, shots, frames
+
+
+def latest_run(spark: SparkSession, root: str, name: str = "usage.json") -> str | None:
+    """The greatest run id with a file `name` below root/<run_id>/, as ids begin with their time."""
+    try:
+        files = spark.read.text(f"{root}/*/{name}", wholetext=True)
+    except Exception as e:  # no run yet
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
+    return files.select(F.max(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))).collect()[0][0]

@@ -5,7 +5,8 @@ from pathlib import Path
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
-os.environ["PYTHONPATH"] = f"{Path(__file__).resolve().parents[1]}:{os.environ.get('PYTHONPATH', '')}"
+# workers import the library and functions of the tests
+os.environ["PYTHONPATH"] = f"{Path(__file__).resolve().parents[1]}:{Path(__file__).resolve().parent}:{os.environ.get('PYTHONPATH', '')}"
 SF = "/root/testdata/sf0.001"
 
 

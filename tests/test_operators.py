@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cliplake.functions import arrays as A
 from cliplake.functions import scalars as S
 from cliplake.operators import cohort, metrics, normalize, project, relational, validate
-from cliplake.sources import readers, writers
+from cliplake.sources import calls, readers, writers
 from cliplake.streaming import snapshots
 
 
@@ -73,6 +73,14 @@ def test_nearest_rank_agrees_with_its_definition(spark):
         assert dict(metrics.nearest_rank_rows(rows, "k", "x", pct).collect()) == want
 
 
+def test_ranks_of_large_and_odd_groups(spark):
+    r = random.Random(8)
+    groups = {1: [r.lognormvariate(0, 3) for _ in range(3000)], 2: [5.0] * 40, 3: [r.choice([0.0, 1e9, -1e9]) for _ in range(101)], 4: [7.5]}
+    rows = spark.createDataFrame([(k, x) for k, v in groups.items() for x in v] + [(4, None), (5, None)], "k int, x double")
+    got = {x["k"]: (x["a"], x["b"], x["c"]) for x in metrics.at_ranks(rows, "k", "x", {"a": lambda n: F.lit(0), "b": lambda n: F.floor((n - 1) / 2), "c": metrics.nearest(95)}).collect()}
+    assert got == {k: (min(v), sorted(v)[(len(v) - 1) // 2], sorted(v)[round(0.95 * (len(v) - 1))]) for k, v in groups.items()}
+
+
 def greedy(det, ann, tol):
     free, out = sorted(ann), []
     for d in sorted(det):
@@ -117,7 +125,7 @@ def test_reviews_and_gate(spark):
     m = metrics.run_metrics(runs, 25)
     assert m.collect()[0]["p50_latency_seconds"] == 13.0
     g = metrics.gate(m, metrics.review_summary(reviews), metrics.review_error_counts(reviews)).collect()[0]
-    assert g["blockers"] == ["manual review coverage 2 < required 5", "systematic severe errors in category 'dialogue' (2/2 reviews report it, > half)"]
+    assert g["blockers"] == ["manual review coverage 2 < required 5 (max(5, ceil(20% of successes)))", "systematic severe errors in category 'dialogue' (2/2 reviews report it, > half)"]
     none = metrics.run_metrics(runs.limit(0), 0).collect()[0]
     assert none["success_rate"] == 0.0 and none["p95_latency_seconds"] == 0.0
 
@@ -218,7 +226,7 @@ def test_call_out_keeps_failures_as_rows(spark):
             raise TimeoutError("slow")
         return {"size": row["id"] * 10}
 
-    got = readers.call_out(spark.range(1, 4), fetch, "id long, size long").orderBy("attempts", "error_category").collect()
+    got = calls.call_out(spark.range(1, 4), fetch, "id long, size long", calls.Retry(sleep=lambda t: None)).orderBy("attempts", "error_category").collect()
     assert [(r["ok"], r["error_category"], r["attempts"]) for r in got] == [(True, None, 1), (False, "KeyError", 1), (False, "TimeoutError", 3)]
 
 
