@@ -191,6 +191,7 @@ def test_forest_join(spark, docs, words):
 
 def test_large_groups_are_blocked(docs, words, monkeypatch):
     monkeypatch.setattr(forest_join, "BLOCK_SETS", 4)
+    monkeypatch.setattr(forest_join, "FEW_SETS", 3)
     base = words(50)
     rows = []
     for j in range(30):
