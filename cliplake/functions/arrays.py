@@ -44,7 +44,8 @@ def greedy_matches(detected: Column, annotated: Column, tolerance: float) -> Col
 
 
 def all_unique(values: Column) -> Column:
-    return F.size(F.array_distinct(F.transform(values, lambda x: F.to_json(x)))) == F.size(values)
+    """Whether no two items have the same JSON."""
+    return F.size(F.array_distinct(F.transform(values, lambda x: F.to_json(F.struct(x))))) == F.size(values)
 
 
 def subset(required: Column, keys: Column) -> Column:

@@ -57,7 +57,7 @@ def url_host(url: Column) -> Column:
 
 
 def allowed_url(url: Column, hosts: Sequence[str]) -> Column:
-    return F.coalesce(F.try_parse_url(url, F.lit("PROTOCOL")).isin("http", "https") & url_host(url).isin(*hosts), F.lit(False))
+    return F.coalesce(F.lower(F.try_parse_url(url, F.lit("PROTOCOL"))).isin("http", "https") & url_host(url).isin(*hosts), F.lit(False))
 
 
 def last_segment(url: Column) -> Column:

@@ -64,6 +64,11 @@ def hashtags(payload: Column, caption: Column) -> Column:
     return F.when(is_list, F.filter(tags, lambda t: t.isNotNull() & (t != ""))).otherwise(F.coalesce(S.caption_hashtags(caption), F.array().cast("array<string>")))
 
 
+def to_json(record: Column, nulls: bool = True) -> Column:
+    """JSON of a struct, with its nulls or without."""
+    return F.to_json(record, {"ignoreNullFields": str(not nulls).lower()})
+
+
 def normalize(rows: DataFrame, payload: str = "payload", hint: str | None = None) -> DataFrame:
     """Adds the normalised fields to rows with a VARIANT payload. `hint` is a column with a handle for payloads that have none."""
     p = F.col(payload)

@@ -122,9 +122,11 @@ def until_failure(rows: DataFrame, by: str, order: str, ok: str) -> DataFrame:
     return rows.withColumn("_stop", first).where(F.col("_stop").isNull() | (F.col(order) <= F.col("_stop"))).drop("_stop")
 
 
-def gaps(rows: DataFrame, by: str, order: str) -> DataFrame:
-    """Seconds since the row before, for throttling checks."""
-    return rows.withColumn("gap_seconds", F.unix_timestamp(F.col(order).cast("timestamp")) - F.unix_timestamp(F.lag(F.col(order).cast("timestamp")).over(W.partitionBy(by).orderBy(order))))
+def gaps(rows: DataFrame, by: str, order: str, tie: str | None = None) -> DataFrame:
+    """Adds gap_seconds since the row before, for throttling checks. tie: a column that orders rows of one time."""
+    seconds = lambda c: F.unix_timestamp(c.cast("timestamp"))
+    w = W.partitionBy(by).orderBy(order, *([tie] if tie else []))
+    return rows.withColumn("gap_seconds", seconds(F.col(order)) - seconds(F.lag(order).over(w)))
 
 
 def first_success(attempts: DataFrame, key: str, priority: str, ok: Column) -> DataFrame:

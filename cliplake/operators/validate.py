@@ -1,6 +1,7 @@
 """JSON-schema rules compiled to columns, and cross-field rules.
 
-A schema becomes one array<string> column of messages; there is no Python per row."""
+A schema becomes one array<string> column of messages; there is no Python per row,
+and each value of a document is taken out of it once."""
 
 from __future__ import annotations
 
@@ -13,10 +14,6 @@ _TYPES = {"object": "OBJECT", "array": "ARRAY", "string": "STRING", "integer": "
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
-def _kind(v: Column, path: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
-
-
 def _is(kind: Column, name: str) -> Column:
     if name == "number":
         return kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
@@ -29,21 +26,42 @@ def _json(value) -> str:
     return "null" if value is None else str(value).lower() if isinstance(value, bool) else str(value)
 
 
-def _rules(v: Column, schema: dict, path: str, root: dict) -> list[Column]:
-    """Messages (or null) for the value at path; a missing value is checked by its parent's `required` only."""
+_TEXTS = "array<string>"
+
+
+def _none() -> Column:
+    return F.array().cast(_TEXTS)
+
+
+def _let(value: Column, body) -> Column:
+    """body(value), with value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _known(messages: Column) -> Column:
+    return F.filter(messages, lambda m: m.isNotNull())
+
+
+def _node(v: Column, body) -> Column:
+    """body(value, kind) of a VARIANT, each computed once; kind is null where the value is missing."""
+    return _let(F.struct(v.alias("v"), F.schema_of_variant(v).alias("k")), lambda s: body(s["v"], s["k"]))
+
+
+def _messages(v: Column, kind: Column, schema: dict, path: str, root: dict) -> Column:
+    """array of messages (some null) for the value v at path; a missing value is checked by its parent's `required` only."""
     if "$ref" in schema:
         target = root
         for part in schema["$ref"].lstrip("#/").split("/"):
             target = target[part]
-        return _rules(v, target, path, root)
-    kind = _kind(v, path)
-    text = F.try_variant_get(v, path, "string")
-    number = F.try_variant_get(v, path, "double")
+        return _messages(v, kind, target, path, root)
+    text = F.try_variant_get(v, "$", "string")
+    number = F.try_variant_get(v, "$", "double")
     there = kind.isNotNull()
-    out: list[Column] = []
+    own: list[Column] = []
+    more: list[Column] = []  # arrays of messages
 
     def fail(when: Column, message: str) -> None:
-        out.append(F.when(F.coalesce(when, F.lit(False)), F.lit(f"{path}: {message}")))
+        own.append(F.when(F.coalesce(when, F.lit(False)), F.lit(f"{path}: {message}")))
 
     types = schema.get("type")
     types = [types] if isinstance(types, str) else types or []
@@ -60,7 +78,6 @@ def _rules(v: Column, schema: dict, path: str, root: dict) -> list[Column]:
             ok = ok | (kind == "VOID")
         fail(there & ~ok, f"not one of {', '.join(_json(x) for x in values)}")
     is_text, is_number, is_list = kind == "STRING", _is(kind, "number"), kind.startswith("ARRAY")
-    items = F.try_variant_get(v, path, "array<variant>")
     if "minLength" in schema:
         fail(is_text & (F.length(text) < schema["minLength"]), f"shorter than {schema['minLength']}")
     if "pattern" in schema:
@@ -75,52 +92,58 @@ def _rules(v: Column, schema: dict, path: str, root: dict) -> list[Column]:
         fail(is_number & (number > schema["maximum"]), f"more than {schema['maximum']}")
     if "exclusiveMinimum" in schema:
         fail(is_number & (number <= schema["exclusiveMinimum"]), f"not more than {schema['exclusiveMinimum']}")
-    if "minItems" in schema:
-        fail(is_list & (F.size(items) < schema["minItems"]), f"fewer than {schema['minItems']} items")
-    if "maxItems" in schema:
-        fail(is_list & (F.size(items) > schema["maxItems"]), f"more than {schema['maxItems']} items")
-    if schema.get("uniqueItems"):
-        fail(is_list & (F.size(F.array_distinct(F.transform(items, lambda x: F.to_json(x)))) < F.size(items)), "items are not unique")
-    if "items" in schema:
-        def item(x: Column) -> Column:
-            found = F.filter(F.array(*_rules(x, schema["items"], "$", root)), lambda m: m.isNotNull())
-            return F.get(found, F.lit(0))
-
-        if _rules(F.lit(None).cast("variant"), schema["items"], "$", root):
-            bad = F.filter(F.transform(items, lambda x, i: F.struct(i.alias("i"), item(x).alias("m"))), lambda e: e["m"].isNotNull())
-            out.append(F.when(is_list & (F.size(bad) > 0), F.concat(F.lit(f"{path}["), F.get(bad, F.lit(0))["i"].cast("string"), F.lit("]"), F.substr(F.get(bad, F.lit(0))["m"], F.lit(2)))))
+    if any(k in schema for k in ("minItems", "maxItems", "uniqueItems", "items")):
+        more.append(F.when(is_list, _let(F.try_variant_get(v, "$", "array<variant>"), lambda items: _list_messages(items, schema, path, root))).otherwise(_none()))
     is_object = kind.startswith("OBJECT")
-    keys = F.map_keys(F.try_variant_get(v, path, "map<string,variant>"))
-    for name in schema.get("required", []):
-        fail(is_object & ~F.array_contains(keys, name), f"lacks {name}")
     props = schema.get("properties", {})
-    if schema.get("additionalProperties") is False:
-        known = F.array(*[F.lit(k) for k in props]).cast("array<string>")
-        extra = F.array_sort(F.array_except(keys, known))
-        out.append(F.when(is_object & (F.size(extra) > 0), F.concat(F.lit(f"{path}: does not allow "), F.array_join(extra, ", "))))
+    if schema.get("required") or schema.get("additionalProperties") is False:
+
+        def by_key(keys: Column) -> Column:
+            out = [F.when(~F.array_contains(keys, name), F.lit(f"{path}: lacks {name}")) for name in schema.get("required", [])]
+            if schema.get("additionalProperties") is False:
+                extra = F.array_except(keys, F.array(*[F.lit(k) for k in props]).cast(_TEXTS))
+                out.append(F.when(F.size(extra) > 0, F.concat(F.lit(f"{path}: does not allow "), F.array_join(F.array_sort(extra), ", "))))
+            return F.array(*out).cast(_TEXTS)
+
+        more.append(F.when(is_object, _let(F.map_keys(F.try_variant_get(v, "$", "map<string,variant>")), by_key)).otherwise(_none()))
     for name, sub in props.items():
         step = f".{name}" if _NAME.match(name) else f'["{name}"]'
-        out += [F.when(is_object, m) for m in _rules(v, sub, path + step, root)]
+        child = _node(F.try_variant_get(v, "$" + step, "variant"), lambda x, k, sub=sub, step=step: _messages(x, k, sub, path + step, root))
+        more.append(F.when(is_object, child).otherwise(_none()))
     for sub in schema.get("allOf", []):
         if "if" in sub:
-            holds = F.size(F.filter(F.array(*_rules(v, sub["if"], path, root) or [F.lit(None).cast("string")]), lambda m: m.isNotNull())) == 0
-            out += [F.when(holds & there, m) for m in _rules(v, sub.get("then", {}), path, root)]
-            out += [F.when(~holds & there, m) for m in _rules(v, sub.get("else", {}), path, root)]
+            holds = F.size(_known(_messages(v, kind, sub["if"], path, root))) == 0
+            then, other = (_messages(v, kind, sub.get(k, {}), path, root) for k in ("then", "else"))
+            more.append(F.when(there, F.when(holds, then).otherwise(other)).otherwise(_none()))
         else:
-            out += _rules(v, sub, path, root)
+            more.append(_messages(v, kind, sub, path, root))
     if "anyOf" in schema:
         clean = F.lit(False)
         for sub in schema["anyOf"]:
-            rules = _rules(v, sub, path, root)
-            clean = clean | (F.size(F.filter(F.array(*rules), lambda m: m.isNotNull())) == 0 if rules else F.lit(True))
+            clean = clean | (F.size(_known(_messages(v, kind, sub, path, root))) == 0)
         fail(there & ~clean, "fits none of the alternatives")
-    return out
+    return F.concat(F.array(*own).cast(_TEXTS) if own else _none(), *more)
+
+
+def _list_messages(items: Column, schema: dict, path: str, root: dict) -> Column:
+    out = []
+    if "minItems" in schema:
+        out.append(F.when(F.size(items) < schema["minItems"], F.lit(f"{path}: fewer than {schema['minItems']} items")))
+    if "maxItems" in schema:
+        out.append(F.when(F.size(items) > schema["maxItems"], F.lit(f"{path}: more than {schema['maxItems']} items")))
+    if schema.get("uniqueItems"):
+        out.append(F.when(F.size(F.array_distinct(F.transform(items, lambda x: F.to_json(x)))) < F.size(items), F.lit(f"{path}: items are not unique")))
+    if "items" in schema:
+        first = lambda x, i: F.struct(i.alias("i"), F.get(_known(_node(x, lambda v, k: _messages(v, k, schema["items"], "$", root))), F.lit(0)).alias("m"))
+        bad = F.filter(F.transform(items, first), lambda e: e["m"].isNotNull())
+        one = F.get(bad, F.lit(0))
+        out.append(F.when(F.size(bad) > 0, _let(one, lambda e: F.concat(F.lit(f"{path}["), e["i"].cast("string"), F.lit("]"), F.substr(e["m"], F.lit(2))))))
+    return F.array(*out).cast(_TEXTS)
 
 
 def errors(document: Column, schema: dict) -> Column:
     """Sorted messages of a VARIANT document; empty if it is valid. A null document is one error."""
-    rules = _rules(document, schema, "$", schema)
-    found = F.array_sort(F.filter(F.array(*rules).cast("array<string>") if rules else F.array().cast("array<string>"), lambda m: m.isNotNull()))
+    found = F.array_sort(_known(_node(document, lambda v, k: _messages(v, k, schema, "$", schema))))
     return F.when(document.isNull(), F.array(F.lit("$: not a JSON document"))).otherwise(found)
 
 

@@ -248,3 +248,44 @@ def test_settings(tmp_path):
             config.load(f"{tmp_path}/bad.json", {})
     with pytest.raises(FileNotFoundError):
         config.load(f"{tmp_path}/none.json", {})
+
+
+def test_default_stages(spark, tmp_path):
+    from cliplake.operators import cohort
+    from cliplake.plans import adapters, pilot
+
+    ids = ["shot_001", "shot_002"]
+
+    def fetch(url):
+        ident = url.rsplit("/", 1)[1]
+        if ident == "1000004":
+            raise calls.Failure("gone", "video_unavailable")
+        stats = {"play_count": 5, "digg_count": 1, "comment_count": 0, "share_count": None if ident == "1000003" else 2}
+        return {"video_id": ident, "payload": json.dumps({"desc": "Bread #baking", "author": {"unique_id": "me", "uid": 9}, "stats": stats, "create_time": 1700000000}), "content": MP4 + ident.encode()}
+
+    def detector(path):
+        return [{"start_seconds": 0.0, "end_seconds": 1.0, "start_frame": 0, "end_frame": 30}, {"start_seconds": 1.0, "end_seconds": 2.0, "start_frame": 30, "end_frame": 60}]
+
+    def model(parts, settings):
+        usage = {"input_tokens": 10, "output_tokens": 20, "total_tokens": 30}
+        if parts[-1]["text"].startswith("Describe the whole"):
+            return whole_answer(ids[:1] if "1000002" in parts[0]["path"] else ids), usage
+        return shot_answer([i for i in ids if f'"{i}"' in parts[-1]["text"]]), usage
+
+    tools = adapters.Tools([("c", fetch)], lambda path: probe_json(2.0), detector, lambda path, at: f"{path}@{at}", model, ("v.example",), "https://v.example/video/%s", f"{tmp_path}/videos/%s.mp4", config=config.RunConfig(min_gap_seconds=0.0, input_per_mtok_usd=1.0, output_per_mtok_usd=1.0), retry=QUIET)
+    (tmp_path / "s.csv").write_text("url,hashtags,views\n" + "".join(f"https://v.example/video/{1000000 + k},x,{k}\n" for k in range(1, 5)))
+    out = f"{tmp_path}/out"
+    stages = adapters.default_stages(tools, out, lambda: "2024-01-02T00:00:00+00:00")
+    report = pilot.run(spark, f"{tmp_path}/s.csv", cohort.Policy("c", "1", required_hashtags=("x",)), stages, out, retry=QUIET).collect()[0]
+    assert report["error_counts_by_category"] == {"contract_violation": 1, "model_or_validation": 1, "video_unavailable": 1}
+    assert (report["requested"], report["fully_processed"], report["schema_validation_rate"]) == (4, 1, 1.0) and abs(report["total_cost_usd"] - 3 * 0.00003) < 1e-9
+    index = {r["video_id"]: r for r in spark.read.parquet(f"{out}/index").collect()}
+    x = index["1000001"]
+    assert (x["status"], x["creator_id"], x["views"], x["observed_at"], x["published_at"]) == ("success", "9", 5, "2024-01-02T00:00:00+00:00", "2023-11-14T22:13:20+00:00")
+    assert x["canonical_ir_path"].startswith("runs/") and {k: r["status"] for k, r in index.items()} == {"1000001": "success", "1000002": "decompilation_failed", "1000003": "ingestion_failed"}
+    assert spark.read.json(f"{out}/ingestion_failures/*").collect()[0]["failure_category"] == "video_unavailable"  # no record without a video id
+    record = pilot.latest_records(spark, out).where("video_id = '1000002'").collect()[0]
+    assert record["failure"]["stage"] == "decompile" and "shots without instructions: shot_002" in record["failure"]["message"]
+    with pytest.raises(calls.Failure, match="not on the path"):
+        adapters.find_tool("no-such-program")
+    assert adapters.find_tool("java")[1]
