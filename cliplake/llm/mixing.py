@@ -63,13 +63,15 @@ def targets(sources: DataFrame, repeat: int = REPEAT, max_block: int = MAX_BLOCK
     return _highest_quotients(s.select("source", "rank", "source_size", "docs", "target", F.lit(block).cast("long").alias("block")), total // block)
 
 
-def _search(s: DataFrame, low: float, high: float, summed, fits) -> float:
-    """The least of the points between low and high, as near as doubles go, for which fits(sum of summed(point)) holds; it holds for high."""
+def _search(s: DataFrame, low: float, high: float, summed, fits, goal: int | None = None) -> float:
+    """The least of the points between low and high, as near as doubles go, for which fits(sum of summed(point)) holds; it holds for high. A point whose sum is the goal ends the search."""
     for _ in range(_ROUNDS):
         points = [p for k in range(1, _POINTS + 1) if low < (p := low + (high - low) * k / (_POINTS + 1)) < high]
         if not points:
             break
         sums = s.agg(*[F.sum(summed(F.lit(p))).alias(f"s{k}") for k, p in enumerate(points)]).collect()[0]
+        if goal is not None and (met := [p for p, x in zip(points, sums) if (x or 0) == goal]):
+            return met[0]
         good = [p for p, x in zip(points, sums) if fits(x or 0)]
         high = min(good, default=high)
         low = max([p for p in points if p < high], default=low)
@@ -85,7 +87,7 @@ def _highest_quotients(s: DataFrame, seats: int) -> DataFrame:
     s = cut(s, "targets")
     total = float(s.agg(F.sum("target")).collect()[0][0] or 0.0)
     given = lambda d: F.floor(F.col("target") / d + 0.5)
-    divisor = _search(s, total / (seats * 4 + 4), total * 4 + 1, given, lambda x: x <= seats)
+    divisor = _search(s, total / (seats * 4 + 4), total * 4 + 1, given, lambda x: x <= seats, seats)
     s = s.withColumn("sure", given(F.lit(divisor))).withColumn("next", F.col("target") / (2 * F.col("sure") + 1))
     left = seats - int(s.agg(F.sum("sure")).collect()[0][0] or 0)
     one = F.lit(0)
@@ -104,7 +106,7 @@ def _highest_quotients(s: DataFrame, seats: int) -> DataFrame:
                 break
             top = lower
         ties = s.where(F.col("next") == bound[0])
-        last = _search(ties, 0.0, float(2**31), lambda r: (F.col("rank") <= r).cast("int"), lambda x: x >= bound[1])
+        last = _search(ties, 0.0, float(2**31), lambda r: (F.col("rank") <= r).cast("int"), lambda x: x >= bound[1], bound[1])
         one = F.when((F.col("next") > bound[0]) | ((F.col("next") == bound[0]) & (F.col("rank") <= F.lit(last))), 1).otherwise(0)
     return s.select("source", "rank", "source_size", "docs", "target", "block", (F.col("sure") + one).alias("blocks"))
 
