@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import forest_join, mixing, secret_scan
+from . import decontam, forest_join, mixing, secret_scan
 
 
 def _spans(rule: secret_scan.Rule) -> str:
@@ -84,5 +84,44 @@ def op8() -> str:
     SELECT doc_id, size, ss AS source_size, target, CAST(turns * size + greatest(0, least(size, take - turns * n - before)) AS BIGINT) AS taken FROM turn"""
 
 
+def op9() -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    signs = f"translate(regexp_replace(coalesce(text, ''), '([.!?][\"'')\\]]{{0,2}}[ \\t\\n\\v\\f\\r]{{1,3}})(\\p{{Lu}})', concat('\\1', chr(3), '\\2'), 'g'), {quoted(decontam.SIGNS)}, {quoted(' ' * len(decontam.SIGNS))})"
+    for k, sign in enumerate(decontam.NUMERIC * 2):  # twice, as a digit may stand between two signs
+        signs = f"regexp_replace({signs}, '([0-9])[{sign}]([0-9])', concat('\\1', chr({4 + k % 4}), '\\2'), 'g')"
+    held = "concat(chr(4), chr(5), chr(6), chr(7))"
+    signs = f"translate(translate({signs}, '{decontam.NUMERIC}', '    '), {held}, '{decontam.NUMERIC}')"
+    n, units = decontam.WINDOW, ", ".join(map(quoted, decontam.UNITS))
+
+    def words(source: str, key: str) -> str:
+        return f"""
+        SELECT {key}, list_transform(raw, lambda w, i: CASE WHEN (w >= '0' AND w < ':') OR regexp_matches(w, '[0-9][.,:/]') THEN concat(chr(1), 'n', w)
+          WHEN coalesce(raw[i - 1], '') >= '0' AND coalesce(raw[i - 1], '') < ':' AND w IN ({units}) THEN concat(chr(1), 'u', w)
+          WHEN ltrim(lower(w), chr(3)) = w OR upper(w) = w OR starts_with(w, chr(3)) OR i = 1 THEN ltrim(lower(w), chr(3)) ELSE concat(chr(1), 'c', ltrim(lower(w), chr(3))) END) AS words
+        FROM (SELECT {key}, list_filter(string_split({signs}, ' '), lambda w: w <> '' AND w <> chr(3)) AS raw FROM {source})"""
+
+    code = "CASE WHEN w < chr(2) THEN left(w, 2) ELSE w END"
+    windows = lambda source, key: f"SELECT {key}, i - 1 AS place, words[i:i + {n - 1}] AS held, array_to_string(list_transform(words[i:i + {n - 1}], lambda w: {code}), chr(2)) AS k FROM (SELECT {key}, words, unnest(range(1, len(words) - {n - 2})) AS i FROM {source})"
+    bare = "list_transform(words, lambda w: lower(CASE WHEN w < chr(2) THEN substr(w, 3) ELSE w END))"
+    return f"""
+    WITH items AS (SELECT text, min(item_id) AS item_id, list(item_id) AS ids FROM (SELECT item_id, coalesce(text, '') AS text FROM benchmark WHERE item_id IS NOT NULL) GROUP BY text),
+    bw AS ({words("items", "item_id")}), dw AS ({words("documents", "doc_id")}),
+    bench AS (SELECT *, count(*) OVER (PARTITION BY item_id) AS item_windows FROM ({windows("bw", "item_id")}) WHERE len(list_filter(held, lambda w: w >= chr(2))) >= {decontam.PLAIN}),
+    met AS (SELECT DISTINCT d.doc_id, b.item_id, b.place AS item_place, item_windows, d.place - b.place AS shift, list_filter(list_transform(range(1, {n + 1}), lambda i: {{'a': b.held[i], 'b': d.held[i]}}), lambda p: p.a < chr(2)) AS slots FROM ({windows("dw", "doc_id")}) d JOIN bench b ON d.k = b.k),
+    jumps AS (SELECT *, CAST(shift - lag(shift) OVER (PARTITION BY doc_id, item_id ORDER BY shift) >= {n} AS INT) AS jump FROM met),
+    near AS (SELECT *, coalesce(sum(jump) OVER (PARTITION BY doc_id, item_id ORDER BY shift), 0) AS near FROM jumps),
+    parts AS (SELECT doc_id, item_id, item_place, item_windows, slots, unnest(list_concat(['whole', concat('shift', shift), concat('near', near)], CASE WHEN len(list_filter(slots, lambda p: p.a <> p.b)) = 0 THEN ['own'] ELSE [] END)) AS part FROM near),
+    sums AS (SELECT doc_id, item_id, part, count(DISTINCT item_place) AS windows, any_value(item_windows) AS item_windows FROM parts GROUP BY ALL),
+    each AS (SELECT doc_id, item_id, part, s.a AS a, min(s.b) AS least, max(s.b) AS most FROM (SELECT doc_id, item_id, part, unnest(slots) AS s FROM parts) GROUP BY ALL),
+    held AS (SELECT doc_id, item_id, part, count(*) AS slots, count(*) FILTER (least = most) AS mapped, count(*) FILTER (least = a AND most = a) AS same FROM each GROUP BY ALL),
+    found AS (SELECT s.doc_id, s.item_id, part, windows, item_windows, coalesce(slots, 0) AS slots, coalesce(mapped, 0) AS mapped, coalesce(same, 0) AS same FROM sums s LEFT JOIN held USING (doc_id, item_id, part)),
+    good AS (SELECT doc_id, item_id, same < slots AS other, windows / item_windows AS share FROM found WHERE windows >= least({decontam.HITS}, item_windows) AND (slots > 0 OR part = 'whole' OR starts_with(part, 'near')) AND (same = slots OR mapped >= {decontam.CONSISTENT} * slots)),
+    short AS (SELECT item_id, {bare} AS bare FROM bw WHERE len(words) > 0 AND item_id NOT IN (SELECT item_id FROM bench)),
+    whole AS (SELECT d.doc_id, s.item_id FROM (SELECT doc_id, {bare} AS bare FROM dw) d JOIN short s ON len(list_filter(range(1, len(d.bare) - len(s.bare) + 2), lambda i: d.bare[i:i + len(s.bare) - 1] = s.bare)) > 0),
+    hits AS (SELECT * FROM good UNION ALL SELECT doc_id, item_id, false, 1.0 FROM whole),
+    bad AS (SELECT doc_id, list_sort(list_distinct(flatten(list(ids)))) AS ids, bool_or(other) AS other, max(share) AS best FROM hits JOIN items USING (item_id) GROUP BY doc_id)
+    SELECT d.doc_id, ids IS NOT NULL AS contaminated, coalesce(array_to_string(ids, ','), '') AS items, coalesce(len(ids), 0) AS n_items, coalesce(other, false) AS reparameterised, coalesce(best, 0.0)::DOUBLE AS best FROM documents d LEFT JOIN bad USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": op1(), "op3_ngram_jaccard_join": op3(), "op4_line_dedup": op4(), "op8_mixing": op8()}
+    return {"op1_secret_scan": op1(), "op3_ngram_jaccard_join": op3(), "op4_line_dedup": op4(), "op8_mixing": op8(), "op9_decontamination": op9()}

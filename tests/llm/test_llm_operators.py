@@ -217,6 +217,22 @@ def test_depth_reaches_recall():
     assert depths(3) == [] and depths(6)[0] == 5 and depths(5000) == [d]
 
 
+def test_recall_of_pairs_at_the_threshold():
+    r, depths = np.random.default_rng(6), forest_join.Depths()
+    met = total = 0
+    for _ in range(2000):  # pairs of similarity 0.80 to 0.83, the hardest
+        n = int(r.integers(20, 300))
+        shared = r.integers(0, 1 << 62, n, dtype=np.uint64)
+        own = int(r.integers(0, 1 + int(n * (1 / 0.8 - 1))))
+        a, b = (np.concatenate([shared, r.integers(0, 1 << 62, k, dtype=np.uint64)]) for k in (own, max(0, int(n * 0.25) - own)))
+        if len(shared) / (len(a) + len(b) - n) < 0.8:
+            continue
+        total += 1
+        x, y = (set(forest_join.nodes(forest_join.signature(np.unique(v), forest_join.TREES * forest_join.MAX_DEPTH), depths(len(v))).tolist()) for v in (a, b))
+        met += bool(x & y)
+    assert total > 1500 and met / total >= 0.999
+
+
 def test_nodes_are_shared_prefixes():
     r = np.random.default_rng(1)
     a = r.integers(0, 3, forest_join.TREES * forest_join.MAX_DEPTH).astype(np.uint32)
