@@ -220,16 +220,17 @@ def score(docs: DataFrame, path: str = VOCABULARY, hot: int = HOT) -> DataFrame:
             for k, t in enumerate(b.column(2)):
                 words = tokens(t.as_py())
                 here_known, here_base, here_lp, here_mix = int(fold > 0), end_base, end_lp, end_mix
-                rare: list[bytes] = []
-                for w in words:
+                rare: list[tuple[bytes, int]] = []
+                for w, c in Counter(words).items():
                     x = table.get(w)
                     if x is None:
-                        rare.append(w)
+                        rare.append((w, c))
                     else:
-                        here_base += x[0]
-                        here_lp += x[1]
-                        here_known += x[2]
-                        here_mix += x[3]
+                        here_base += c * x[0]
+                        here_lp += c * x[1]
+                        here_mix += c * x[3]
+                        if x[2]:
+                            here_known += c
                 row.append(k)
                 token.append(None)
                 times.append(len(words) + 1)
@@ -237,7 +238,7 @@ def score(docs: DataFrame, path: str = VOCABULARY, hot: int = HOT) -> DataFrame:
                 base.append(here_base)
                 lp.append(here_lp)
                 mix.append(here_mix)
-                for w, c in Counter(rare).items():
+                for w, c in rare:
                     row.append(k)
                     token.append(w)
                     times.append(c)

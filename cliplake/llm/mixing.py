@@ -116,8 +116,8 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, repeat: int = REPEAT, max_blo
 
     The quota of a source is blocks * block words, at most repeat times its
     size. Null texts have size 0 and give nothing. Null sources are one source,
-    the last. Rows that share a doc_id are ordered by size and share nothing
-    else. An empty table gives no rows; if no text has a word, all targets and
+    the last. Rows that share a doc_id, or have none, are ordered by size and share
+    nothing else. An empty table gives no rows; if no text has a word, all targets and
     all taken are 0."""
     since = mark()
     sizes = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["source"].cast("string").alias("source"), F.regexp_count(text_of(docs), F.lit(WORD)).cast("long").alias("size"))
@@ -144,10 +144,14 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, repeat: int = REPEAT, max_blo
     shards = shards.withColumn("cum", cum).withColumn("shard_blocks", share("cum") - share("(cum - shard_size)"))
     shards = shards.withColumn("shard_words", F.least(F.col("shard_blocks") * F.col("block"), repeat * F.col("shard_size")).cast("long"))
     shards = cut(shards.select(F.col("rank").alias("r"), F.col("shard").alias("s"), "shard_size", "shard_words"), "shards")
-    rows = rows.join(shards, (F.col("rank") == F.col("r")) & (F.col("shard") == F.col("s")), "left")
-    before = F.coalesce(F.sum("size").over(W.partitionBy("rank", "shard").orderBy("order", "size", "doc_id").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    rows = rows.withColumn("before", before)
+    # rows that agree in all that orders them are one until the end: without ids, the window holds the sizes that occur, not the rows
+    same = rows.groupBy("rank", "shard", "order", "size", "doc_id", "source", "source_size", "target").agg(F.count("*").alias("copies"))
+    same = same.join(shards, (F.col("rank") == F.col("r")) & (F.col("shard") == F.col("s")), "left")
+    ahead = W.partitionBy("rank", "shard").orderBy("order", "size", "doc_id").rowsBetween(W.unboundedPreceding, -1)
+    same = same.withColumn("ahead", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(ahead), F.lit(0)))
+    each = same.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    before = F.col("ahead") + F.col("copy") * F.col("size")
     turns = F.when(F.col("shard_size") > 0, F.floor(F.col("shard_words") / F.col("shard_size"))).otherwise(0)
     over = F.col("shard_words") - turns * F.col("shard_size")
-    taken = turns * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), over - F.col("before")))
-    return rows.select("doc_id", "size", "source", "source_size", "target", taken.cast("long").alias("taken"))
+    taken = turns * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), over - before))
+    return each.select("doc_id", "size", "source", "source_size", "target", taken.cast("long").alias("taken"))

@@ -558,6 +558,7 @@ def test_mix(docs, words):
     r = random.Random(10)
     rows = [(i, " ".join(words(r.randint(0, 60))), r.choice(["a", "a", "b", "B", None, "z"])) for i in range(400)]
     rows += [(900, "one tiny source", "tiny"), (901, None, "empty"), (5, "twice", "a"), (5, "twice", "a")]
+    rows += [(None, " ".join(words(k % 4)), "b") for k in range(40)]
     df = docs(rows)
     got = mixing.mix(df, shard_docs=16).collect()
     assert len(got) == len(rows) and got is not None
