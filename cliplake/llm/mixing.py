@@ -69,7 +69,10 @@ def _search(s: DataFrame, low: float, high: float, summed, fits, goal: int | Non
         points = [p for k in range(1, _POINTS + 1) if low < (p := low + (high - low) * k / (_POINTS + 1)) < high]
         if not points:
             break
-        sums = s.agg(*[F.sum(summed(F.lit(p))).alias(f"s{k}") for k, p in enumerate(points)]).collect()[0]
+        # the points are one literal array, so that the code of a round is compiled once
+        at = s.select("*", F.posexplode(F.lit(points)).alias("at", "point"))
+        found = {r["at"]: r["s"] for r in at.groupBy("at").agg(F.sum(summed(F.col("point"))).alias("s")).collect()}
+        sums = [found.get(k, 0) for k in range(len(points))]
         if goal is not None and (met := [p for p, x in zip(points, sums) if (x or 0) == goal]):
             return met[0]
         good = [p for p, x in zip(points, sums) if fits(x or 0)]
@@ -85,9 +88,12 @@ def _highest_quotients(s: DataFrame, seats: int) -> DataFrame:
     what is still left then goes to the highest next quotients, which are equal or
     nearly so, and of equal ones to the lowest ranks."""
     s = cut(s, "targets")
-    total = float(s.agg(F.sum("target")).collect()[0][0] or 0.0)
+    total, n = s.agg(F.sum("target"), F.count_if(F.col("target") > 0)).collect()[0]
+    total = float(total or 0.0)
     given = lambda d: F.floor(F.col("target") / d + 0.5)
-    divisor = _search(s, total / (seats * 4 + 4), total * 4 + 1, given, lambda x: x <= seats, seats)
+    # rounding adds or takes at most half a seat a row
+    high = total / (seats - n / 2) * (1 + 1e-9) if seats > n / 2 else total * 4 + 1
+    divisor = _search(s, total / (seats + n / 2 + 1) * (1 - 1e-9), high, given, lambda x: x <= seats, seats)
     s = s.withColumn("sure", given(F.lit(divisor))).withColumn("next", F.col("target") / (2 * F.col("sure") + 1))
     left = seats - int(s.agg(F.sum("sure")).collect()[0][0] or 0)
     one = F.lit(0)
