@@ -38,6 +38,7 @@ def collect(entries: DataFrame, collectors: list[tuple[str, Callable[[str], dict
 
 
 def _old(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table at path; none before the first run."""
     try:
         return spark.read.schema(schema).parquet(path)
     except Exception as e:  # the first run makes the folder
@@ -78,7 +79,7 @@ def run(entries: DataFrame, collectors: list[tuple[str, Callable[[str], dict]]],
     fields = good.select("video_id", "source_url", "collected_at", "collector_name", "collector_version", *FIELDS)
     writers.write_once(fields.withColumn("sha256", F.sha2(F.to_json(F.struct(*FIELDS)), 256)), f"{root}/metadata", "video_id")
     seen = good.where("reused").select("video_id", F.lit(stamp).alias("observation_timestamp"), F.concat("video_id", F.lit("/manifest")).alias("observation_of_manifest"), "payload", F.to_json(F.struct(*FIELDS), {"ignoreNullFields": "false"}).alias("observed_metadata"))
-    seen.write.mode("append").parquet(f"{root}/observations")
+    writers.writing(f"{root}/observations", lambda: seen.write.mode("append").parquet(f"{root}/observations"))
     failed = F.filter("collector_attempts", lambda a: ~a["ok"])
     manifest = good.select(
         F.col("url").alias("source_url"),
@@ -96,7 +97,7 @@ def run(entries: DataFrame, collectors: list[tuple[str, Callable[[str], dict]]],
         F.transform(failed, lambda a: F.struct(a["collector"].alias("collector"), a["error_category"].alias("error_category"), a["error_message"].alias("message"))).alias("fallback_or_error_notes"),
         F.lit(VERSION).alias("package_version"),
     )
-    manifest.write.mode("append").parquet(f"{root}/manifests")
+    writers.writing(f"{root}/manifests", lambda: manifest.write.mode("append").parquet(f"{root}/manifests"))
     return rows.select("url", "video_id", "ok", "error_category", "error_message", "sha256", "n_bytes", "reused", "collector_attempts", "observation", *FIELDS)
 
 

@@ -146,7 +146,7 @@ def run(
         rows = got if rows is None else rows.unionByName(got)
     held = manifests(rows).withColumns({"cohort_id": F.lit(policy.cohort_id), "cohort_version": F.lit(policy.version), "pipeline_version": F.lit(VERSION), "run_id": F.lit(run_id), "recorded_at": F.lit(stamp)})
     named = [f.name for f in spark.createDataFrame([], RECORD).schema]
-    held.where("video_id IS NOT NULL").select(*named).write.mode("append").parquet(f"{out}/records")
+    writers.writing(f"{out}/records", lambda: held.where("video_id IS NOT NULL").select(*named).write.mode("append").parquet(f"{out}/records"))
     lost = held.where("video_id IS NULL")
     writers.append_log(lost.select("url", "video_id", "status", "failure_category", F.col("failure.message").alias("message"), F.lit(stamp).alias("failed_at")), f"{out}/ingestion_failures/{run_id}")
 

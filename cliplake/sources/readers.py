@@ -40,6 +40,12 @@ def entries(raw: DataFrame) -> DataFrame:
     return refuse_duplicates(out, "url")
 
 
+def flat(rows: DataFrame, names: list[str]) -> DataFrame:
+    """entries() with the named extra columns beside the others, for export; a name that is a column already is left out."""
+    more = [n for n in names if n not in rows.columns]
+    return rows.select(*[c for c in rows.columns if c != "extra"], *[F.try_element_at("extra", F.lit(n)).alias(n) for n in more])
+
+
 def reviews(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REVIEW).json(path)
 

@@ -1,6 +1,8 @@
 """Operators on small rows with known results."""
 
+import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -218,6 +220,20 @@ def test_sources_and_sinks(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/media").count() == 3
 
 
+def test_documents_are_written_sorted_and_failures_named(spark, tmp_path):
+    rows = spark.sql("SELECT '1' AS video_id, named_struct('b', 1, 'a', named_struct('z', CAST(NULL AS INT), 'y', map('k2', 1, 'k1', 2)), 'c', array(named_struct('q', 1, 'p', 2))) AS d")
+    writers.write_documents(rows, f"{tmp_path}/docs", "d")
+    text = "\n".join(r[0] for r in spark.read.text(f"{tmp_path}/docs/video_id=1").collect())
+    assert json.loads(text) == {"a": {"y": {"k1": 2, "k2": 1}, "z": None}, "b": 1, "c": [{"p": 2, "q": 1}]}
+    assert re.sub(r"\s", "", text) == '{"a":{"y":{"k1":2,"k2":1},"z":null},"b":1,"c":[{"p":2,"q":1}]}' and "\n" in text
+    (tmp_path / "file").write_text("x")
+    with pytest.raises(calls.Failure) as e:
+        writers.write_documents(rows, f"{tmp_path}/file/docs", "d")
+    assert e.value.category == "file_write_failure"
+    flat = readers.flat(readers.entries(spark.createDataFrame([("u", "good")], "url string, mood string")), ["mood", "url", "none"])
+    assert flat.collect()[0]["mood"] == "good" and "extra" not in flat.columns and flat.collect()[0]["none"] is None
+
+
 def test_call_out_keeps_failures_as_rows(spark):
     def fetch(row):
         if row["id"] == 2:
