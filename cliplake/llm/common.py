@@ -113,7 +113,7 @@ def maybe_in(rows: DataFrame, key: str, few: DataFrame, of: str) -> DataFrame:
 
     few becomes bitmaps in at most 2^11 buckets, which is all that is broadcast,
     whatever the size of few. Before an exact semi join, so that most text stays
-    where it is."""
+    where it is. If few is empty, no row is left; null hashes are in nothing."""
     bucket = lambda h: F.shiftrightunsigned(h, 64 - _BUCKET_BITS).cast("int")
     place = lambda h: h.bitwiseAND(F.lit(32767)).cast("int")
     maps = few.groupBy(bucket(F.col(of)).alias("_bucket")).agg(F.bitmap_construct_agg(place(F.col(of)).cast("bigint")).alias("_bits"))
