@@ -47,7 +47,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _OUT = frozenset("nav header footer aside form menu dialog button head label".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 #: Names of such parts, alone or as the last word of a name.
-_PARTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo banner nav navbar navigation menu breadcrumb breadcrumbs masthead footer sidebar widget cookies consent gdpr notice popup modal newsletter subscribe signup login comments disqus replies respond pagination pager toolbar".split())
+_PARTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo banner nav navbar navigation menu breadcrumb breadcrumbs masthead footer sidebar widget cookies consent gdpr notice popup modal newsletter subscribe signup login comments disqus replies respond pagination pager toolbar adbox adslot adunit adsbygoogle leaderboard topnav mainnav subnav commentlist cookiebar cookiebanner cookienotice sharebar sharebuttons relatedposts".split())
 #: Names that say so when they stand alone, or first before words that only hold things.
 _FIRST = _PARTS | frozenset("cookie comment reply share sharing social related recommended recommendations search header site top aside".split())
 _HOLDERS = frozenset("area bar block body bottom box button buttons card cards container content form group icons inner item items left links list main message module outer overlay panel posts right row section slot stories text top unit wrap wrapper header".split())

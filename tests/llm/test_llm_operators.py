@@ -793,6 +793,66 @@ def test_pipeline(spark, sf, tmp_path):
         assert stage(spark, empty, sf).count() == 0
 
 
+def test_pipeline_matches_brute_force(spark, docs, words, tmp_path):
+    import corpus_pipeline as p
+
+    r = random.Random(16)
+    item = " ".join(words(40))
+    rows = {i: "\n".join(" ".join(words(r.randint(25, 40))) for _ in range(3)) for i in range(60)}
+    rows |= {100 + i: " ".join(w + "###" for w in words(90)) for i in range(12)}  # junk
+    for i in range(8):  # near copies, in one line so that line dedup leaves them
+        w = rows[i].split()
+        w[7 * i + 3] = "changed"
+        rows[200 + i] = " ".join(w)
+    rows |= {300 + i: " ".join([*words(40), item, *words(30)]) for i in range(5)}
+    shared = " ".join(words(12))
+    rows |= {400 + i: shared + "\n" + " ".join(words(70)) + "\n" + (shared + "x") for i in range(5)}
+    rows |= {500: None, 501: "", 502: "too short"}
+    source = {i: r.choice(["a", "b", "c"]) for i in rows}
+    quality_of = {i: int(i < 100) for i in [*range(0, 60, 2), *range(100, 112, 2)]}
+    d = str(tmp_path)
+    docs([(i, t, source[i]) for i, t in rows.items()], clash=False).write.parquet(f"{d}/documents.parquet")
+    labels = spark.createDataFrame([(i, q, 0) for i, q in quality_of.items()], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+
+    # quality: limits of the good rows, as there is nothing between them and junk
+    counts = {i: np.array([quality.statistics(t)], float) for i, t in rows.items()}
+    good = np.concatenate([counts[i] for i, q in quality_of.items() if q])
+    low, high = quality.limits(good)
+    inside = lambda i: ((quality.rates(counts[i])[0] <= high) & (quality.rates(counts[i])[0] >= low)).all()
+    kept = {i: t for i, t in rows.items() if not quality.base_failed(counts[i])[0] and (inside(i) or not 100 <= i < 200)}
+    assert all(not inside(i) for i in range(100, 112))
+    # lines: earlier ones within an edit
+    seen, texts = [], {}
+    for i in sorted(kept):
+        left = []
+        for line in kept[i].split("\n"):
+            if not any(within_one(line.lower(), x) for x in seen):
+                left.append(line)
+            seen.append(line.lower())
+        if left:
+            texts[i] = "\n".join(left)
+    # near copies: the least id of each class
+    grams = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t in texts.items() for w in [t.lower().split()]}
+    near = lambda a, b: len(grams[a] & grams[b]) >= 0.8 * len(grams[a] | grams[b])
+    texts = {i: t for i, t in texts.items() if not any(j < i and near(i, j) for j in grams)}
+    # benchmark: the item, word for word
+    texts = {i: t for i, t in texts.items() if item not in t}
+    assert {200, 300, 100, 500}.isdisjoint(texts) and 400 in texts and len(texts) > 50
+    got = p.run(spark, d).collect()
+    assert {(x["doc_id"], x["size"]) for x in got} == {(i, len(t.split())) for i, t in texts.items()} and len(got) == len(texts)
+    size, taken = Counter(), Counter()
+    for x in got:
+        size[x["source"]] += x["size"]
+        taken[x["source"]] += x["taken"]
+        assert x["taken"] <= 3 * x["size"]
+    total = sum(size.values())
+    for k, s in enumerate(sorted(size)):  # no source reaches three times its size here
+        want = total * (5, 2, 1)[k] / 8
+        assert want < 3 * size[s] and abs(taken[s] - want) <= max(2, 0.02 * want)
+
+
 def test_sweep_keeps_what_is_asked(spark):
     since = common.mark()
     a, b = common.cut(spark.range(3).select(F.col("id"))), common.cut(spark.range(4).select(F.col("id")))
