@@ -384,3 +384,41 @@ def report_row(spark, sf):
     got = pilot.build_report(runs, runs.count(), reviews)
     errors = F.transform(F.array_sort(F.map_entries("error_counts_by_category")), lambda e: F.concat_ws("=", e["key"], e["value"]))
     return got.select("requested", F.col("manual_review.reviewed_count").alias("reviewed"), F.col("manual_review.average_overall").alias("average_overall"), _joined(errors).alias("errors"))
+
+
+# ---- ingestion and reviews
+
+
+@query("""SELECT doc_id, NOT (doc_id % 3 = 0 OR strlen(text) < 4) AND doc_id % 4 <> 2 AS ok, CASE WHEN doc_id % 3 = 0 OR strlen(text) < 4 THEN 'download_failure' WHEN doc_id % 4 = 2 THEN 'artifact_mismatch' END AS error_category, doc_id % 2 = 0 AS reused FROM documents WHERE text IS NOT NULL""")
+def media_checks(spark, sf):
+    """Texts as media, two thirds of them behind the mark of an MP4; every other one is there already, half of those with other bytes."""
+    from cliplake.operators import ingest
+
+    rows = _t(spark, sf, "documents").where("text IS NOT NULL")
+    body = F.encode("text", "UTF-8")
+    content = F.when(F.col("doc_id") % 3 == 0, body).otherwise(F.concat(F.unhex(F.lit("0000001866747970")), body))
+    rows = rows.select("doc_id", _text(F.col("doc_id")).alias("video_id"), content.alias("content"), F.lit(True).alias("ok"), F.lit(None).cast("string").alias("error_category"), F.lit(None).cast("string").alias("error_message"))
+    media = rows.where("doc_id % 2 = 0").select("video_id", F.when(F.col("doc_id") % 4 == 0, F.sha2("content", 256)).otherwise("other").alias("sha256"))
+    return ingest.checked(rows, media).select("doc_id", "ok", "error_category", "reused")
+
+
+@query("""SELECT doc_id, CAST(doc_id AS VARCHAR) AS video_id, CASE WHEN doc_id % 3 = 1 THEN concat('https://v.example/p/', doc_id) ELSE concat('https://v.example/', doc_id) END AS source_url, CASE WHEN doc_id % 3 < 2 THEN source END AS handle,
+ CASE WHEN doc_id % 3 < 2 THEN lang ELSE '' END AS hashtags, CASE doc_id % 3 WHEN 0 THEN '2023-11-14T22:13:20+00:00' WHEN 1 THEN '2024-01-01T00:00:00+00:00' END AS published_at, n_chars::DOUBLE AS duration_seconds FROM documents""")
+def source_blocks(spark, sf):
+    raw = _case("doc_id", """concat('{"raw":{"id":"', doc_id, '","uploader":"@', source, '","description":"x #', lang, '","timestamp":1700000000}}')""", """concat('{"video_id":"', doc_id, '","source_url":"https://v.example/p/', doc_id, '","creator_handle":"', source, '","caption":"#', lang, ' y","published_at":"2024-01-01T00:00:00+00:00"}')""", """concat('{"id":', doc_id, ',"timestamp":"soon"}')""")
+    facts = F.struct(F.col("n_chars").cast("double").alias("duration_seconds"), F.lit(None).cast("string").alias("sha256"))
+    rows = _t(spark, sf, "documents").select("doc_id", merge.source_block(F.parse_json(raw), facts, "p", "https://v.example/%s").alias("b"))
+    return rows.select("doc_id", "b.video_id", "b.source_url", F.col("b.creator_handle").alias("handle"), _joined(F.col("b.hashtags")).alias("hashtags"), "b.published_at", "b.duration_seconds")
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS video_id, CASE WHEN c_custkey % 2 = 0 THEN 'audio=2,hook=4' ELSE '' END AS scores, c_custkey % 2 = 1 AS pending, CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS claims, CASE WHEN c_custkey % 2 = 0 THEN 3.0 END AS average FROM customer""")
+def manual_scores(spark, sf):
+    rows = _t(spark, sf, "customer").select(_text(F.col("c_custkey")).alias("video_id"), F.col("c_custkey").alias("c"))
+    none = F.array().cast(evaluation.CLAIM)
+    evaluated = rows.select("video_id", F.create_map().cast(f"map<string,{evaluation.SCORE}>").alias("categories"), none.alias("unsupported_claims"), none.alias("missed_important_facts"), F.lit(True).alias("scores_pending_manual_review"))
+    score = lambda n: F.struct(F.lit(n).alias("score"), F.lit("n").alias("notes"), F.lit("e").alias("evidence"))
+    reviews = rows.where("c % 2 = 0").select("video_id", F.create_map(F.lit("hook"), score(4), F.lit("audio"), score(2)).alias("categories"), F.array(F.create_map(F.lit("claim"), F.lit("x"))).alias("unsupported_claims"), F.lit(None).cast(evaluation.CLAIM).alias("missed_important_facts"))
+    got = evaluation.record_manual_scores(evaluated, reviews)
+    scored = evaluation.scores(F.col("categories"))
+    said = F.transform(F.array_sort(F.map_entries(scored)), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return got.select("video_id", _joined(said).alias("scores"), F.col("scores_pending_manual_review").alias("pending"), evaluation.listed(F.col("unsupported_claims")).cast("bigint").alias("claims"), evaluation.average(scored).alias("average"))
