@@ -47,12 +47,14 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _OUT = frozenset("nav header footer aside form menu dialog button head label".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 #: Names of such parts, alone or as the last word of a name.
-_PARTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo banner nav navbar navigation menu breadcrumb breadcrumbs masthead footer sidebar widget cookies consent gdpr notice popup modal newsletter subscribe signup login comments disqus replies respond pagination pager toolbar adbox adslot adunit adsbygoogle leaderboard topnav mainnav subnav commentlist cookiebar cookiebanner cookienotice sharebar sharebuttons relatedposts".split())
+_PARTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo banner nav navbar navigation menu breadcrumb breadcrumbs masthead footer sidebar cookies consent gdpr notice popup modal newsletter subscribe signup login comments disqus replies respond pagination pager toolbar adbox adslot adunit adsbygoogle leaderboard topnav mainnav subnav commentlist cookiebar cookiebanner cookienotice sharebar sharebuttons relatedposts".split())
 #: Names that say so when they stand alone, or first before words that only hold things.
-_FIRST = _PARTS | frozenset("cookie comment reply share sharing social related recommended recommendations search header site top aside".split())
+_FIRST = _PARTS | frozenset("cookie comment reply share sharing social related recommended recommendations search header aside widget topbar".split())
 _HOLDERS = frozenset("area bar block body bottom box button buttons card cards container content form group icons inner item items left links list main message module outer overlay panel posts right row section slot stories text top unit wrap wrapper header".split())
 #: Names that say so outside a named article only.
-_LOOSE = frozenset("header side aside related recommended share sharing social search alert legal copyright top".split())
+_LOOSE = frozenset("header side aside related recommended share sharing social search alert legal copyright top widget".split())
+#: Words in front of a part that say whether a layout has it.
+_LAYOUT = frozenset("with without has no not is".split())
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))", re.IGNORECASE)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$|/)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
@@ -69,7 +71,11 @@ def _named(name: str, article: bool) -> bool:
         return False
     if len(words) == 1:
         return words[0] in _PARTS or words[0] in ("comment", "reply", "cookie") or (not article and words[0] in _LOOSE)
-    return words[-1] in _PARTS or (words[0] in _FIRST and all(w in _HOLDERS or w in _PARTS for w in words[1:]) and not (article and words[0] in _LOOSE and words[-1] == "content"))
+    if words[0] in _LAYOUT:
+        return False
+    if words[-1] in _PARTS or words == ["site", "header"]:
+        return True
+    return words[0] in _FIRST and all(w in _HOLDERS or w in _PARTS for w in words[1:]) and not (article and words[0] in _LOOSE and words[-1] == "content")
 
 
 def _out_of_place(name: str, attrs: str, article: bool) -> bool:

@@ -423,6 +423,11 @@ def test_article_blocks_are_not_lost_to_a_class_name(name):
     assert got == f"{TEXT}\n{block.strip()}\nEnd."
 
 
+@pytest.mark.parametrize("name", ["site-content", "has-sidebar content", "elementor-widget", "no-ads", "main top-story"])
+def test_wrappers_are_not_lost_to_a_class_name(name):
+    assert html_text.extract(PAGE % f"<div class='{name}'>{BODY}</div>") == TEXT
+
+
 @pytest.mark.parametrize("name", ["comments", "comment-list", "cookie-notice", "site-footer", "adBox", "related-posts", "newsletter_signup", "sidebar"])
 def test_other_parts_of_a_page_go(name):
     part = f"<div class='{name}'><p>{'Words of a part that is not the article at all. ' * 4}</p></div>"
