@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cliplake.functions import scalars as S
-from cliplake.operators import cohort, metrics, relational
+from cliplake.operators import cohort, contracts, metrics, relational
 from cliplake.sources import calls, readers, writers
 
 VERSION = "pilot-1.0.0"
@@ -219,5 +219,18 @@ def load_cohort(path: str) -> cohort.Policy:
     return cohort.Policy.from_dict(json.loads(Path(path).read_text()))
 
 
+def load_validated_config(spark: SparkSession, path: str, platform: str = contracts.PLATFORM, approved: bool = False) -> cohort.Policy:
+    """The policy of a full cohort config that fits its contract; all violations, sorted, are in the error if it doesn't. With approved, it must be that too."""
+    if not Path(path).is_file():
+        raise FileNotFoundError(f"cohort config not found: {path}")
+    text = Path(path).read_text()
+    row = spark.createDataFrame([(text,)], "raw string").select(contracts.violations(F.try_parse_json("raw"), "pilot_cohort", platform).alias("v"))
+    found = sorted(f"{v['path']}: {v['message']}" for v in row.collect()[0]["v"])
+    if found:
+        raise ValueError("; ".join(found))
+    policy = cohort.Policy.from_dict(json.loads(text))
+    return policy.require_approved() if approved else policy
+
+
 if __name__ == "__main__":
     main()

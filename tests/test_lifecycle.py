@@ -202,6 +202,28 @@ def test_contracts(spark):
         contracts.load_schema("x")
 
 
+def test_cohort_configs(spark, tmp_path):
+    from cliplake.plans import pilot
+
+    always = ("store_published_at_when_available", "store_observed_at_for_every_snapshot", "store_creator_identity_when_available", "store_follower_count_when_available", "store_raw_metrics_unnormalized")
+    full = {k: "x" for k in ("cohort_id", "version", "niche_name", "niche_description", "geographic_constraints", "publication_window_policy")}
+    full |= {k: ["x"] for k in ("languages", "creator_inclusion_rules", "format_inclusion_rules", "exclusion_rules", "minimum_metadata_for_inclusion")}
+    full |= {"approval_status": "pending_owner_approval", "platform": "short_video", "duration_seconds": {"min": 0, "max": 60}, "commercial_content_policy": {"mode": "allowed"}, "duplicate_policy": {"same_video_id": "one_source_record", "direct_reposts": "treated_independent", "near_duplicate_detection": "none"}}
+    full |= {"performance_observation_policy": {**dict.fromkeys(always, True), "raw_metrics": ["views"]}, "pilot_sampling_policy": {"target_size_range": [1, 5], "method": "m", "stratification": "s", "viral_only_sampling_allowed": False}}
+    path = tmp_path / "cohort.json"
+    path.write_text(json.dumps(full))
+    assert pilot.load_validated_config(spark, str(path)).cohort_id == "x"
+    with pytest.raises(ValueError, match="not approved"):
+        pilot.load_validated_config(spark, str(path), approved=True)
+    bad = changed(changed(full, "pilot_sampling_policy.viral_only_sampling_allowed", True), "languages", [])
+    path.write_text(json.dumps({**bad, "mood": 1}))
+    with pytest.raises(ValueError, match=r"^\$.languages: fewer than 1 items; \$.pilot_sampling_policy.viral_only_sampling_allowed: not one of false; \$: does not allow mood$"):
+        pilot.load_validated_config(spark, str(path))
+    for load in (pilot.load_cohort, lambda p: pilot.load_validated_config(spark, p)):
+        with pytest.raises(FileNotFoundError):
+            load(f"{tmp_path}/none.json")
+
+
 def rubric(video, score, **more):
     return {"run_metadata": {"video_id": video}, "categories": {c: {"score": score(k), "notes": "n", "evidence": "e"} for k, c in enumerate(evaluation.RUBRIC)}, "unsupported_claims": [], "schema_validation_success": True, "latency_seconds": 5.0, "cost_usd": 0.1, **more}
 
