@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, forest_join, html_text, lattice, lines, mixing, pii, quality, secret_scan, spans, whitening
+from . import decontam, forest_join, html_text, langid, lattice, lines, mixing, pii, quality, secret_scan, spans, whitening
 from .common import table
 
 
@@ -57,5 +57,9 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.digest(whitening.whiten(table(spark, sf_dir, "embeddings")))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in sorted(globals().items()) if k.startswith("op") and callable(v)}
