@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, forest_join, mixing, secret_scan
+from . import decontam, forest_join, mixing, ranking, secret_scan
 
 
 def _spans(rule: secret_scan.Rule) -> str:
@@ -123,5 +123,19 @@ def op9() -> str:
     SELECT d.doc_id, ids IS NOT NULL AS contaminated, coalesce(array_to_string(ids, ','), '') AS items, coalesce(len(ids), 0) AS n_items, coalesce(other, false) AS reparameterised, coalesce(best, 0.0)::DOUBLE AS best FROM documents d LEFT JOIN bad USING (doc_id)"""
 
 
+def op11() -> str:
+    r = ranking
+    term = lambda x: f"regexp_extract_all(translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    return f"""
+    WITH asked AS (SELECT DISTINCT item_id, unnest({term("text")}) AS t FROM benchmark WHERE item_id IS NOT NULL),
+    docs AS (SELECT row_number() OVER () AS uid, doc_id, {term("text")} AS terms FROM documents WHERE len({term("text")}) > 0),
+    stats AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM docs),
+    tf AS (SELECT uid, doc_id, len(terms) AS n, t, count(*) AS tf FROM (SELECT uid, doc_id, terms, unnest(terms) AS t FROM docs) WHERE t IN (SELECT t FROM asked) GROUP BY ALL),
+    df AS (SELECT t, CAST(floor({r.WEIGHT} * ln((2.0 * n_docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, stats GROUP BY t, n_docs),
+    adds AS (SELECT uid, doc_id, t, w * (({r.FINE} * tf) // (1000 * tf + {r.SATURATION} * ({100 - r.LENGTH_SHARE} + ({r.LENGTH_SHARE} * n * n_docs) // n_terms))) AS c FROM tf JOIN df USING (t), stats),
+    scored AS (SELECT item_id, uid, doc_id, CAST(sum(c) AS BIGINT) AS score FROM asked JOIN adds USING (t) GROUP BY ALL HAVING sum(c) > 0)
+    SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST, uid) AS rank FROM scored) WHERE rank <= {r.TOP}"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": op1(), "op3_ngram_jaccard_join": op3(), "op4_line_dedup": op4(), "op8_mixing": op8(), "op9_decontamination": op9()}
+    return {"op1_secret_scan": op1(), "op3_ngram_jaccard_join": op3(), "op4_line_dedup": op4(), "op8_mixing": op8(), "op9_decontamination": op9(), "op11_ranked_search": op11()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, forest_join, html_text, langid, lattice, lines, mixing, pii, quality, secret_scan, spans, whitening
+from . import decontam, forest_join, html_text, langid, lattice, lines, mixing, pii, quality, ranking, secret_scan, spans, whitening
 from .common import table
 
 
@@ -53,6 +53,10 @@ def op10_lattice_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.digest(whitening.whiten(table(spark, sf_dir, "embeddings")))
 
