@@ -2,7 +2,7 @@
 
 Tables below a root: media (video_id, sha256, n_bytes, content), metadata_raw,
 metadata, observations and manifests. Nothing there is ever rewritten; the media
-of a video must always hash alike."""
+of a video must always hash alike. media, metadata_raw and metadata have commit logs."""
 
 from __future__ import annotations
 
@@ -10,12 +10,13 @@ from collections.abc import Callable
 from datetime import UTC, datetime
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cliplake.functions import scalars as S
-from cliplake.operators import normalize, relational
+from cliplake.operators import normalize
 from cliplake.sources import calls, writers
+from cliplake.sources.commits import Table
 
 VERSION = "ingest-1.0.0"
 ATTEMPTS = "array<struct<collector:string,ok:boolean,error_category:string,error_message:string>>"
@@ -37,14 +38,8 @@ def collect(entries: DataFrame, collectors: list[tuple[str, Callable[[str], dict
     return calls.call_out(asked, one, COLLECTED, retry, "ingestion_error")
 
 
-def _old(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The table at path; none before the first run."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as e:  # the first run makes the folder
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], schema)
+def _differs() -> Column:
+    return F.concat(F.lit("the media of "), F.col("video_id"), F.lit(" differs from what is kept"))
 
 
 def checked(collected: DataFrame, media: DataFrame) -> DataFrame:
@@ -55,25 +50,32 @@ def checked(collected: DataFrame, media: DataFrame) -> DataFrame:
     no_mp4 = F.col("ok") & ~S.looks_like_mp4(F.col("content"))
     other = F.col("ok") & ~no_mp4 & (F.col("sha256") != F.col("_kept"))
     category = F.when(no_mp4, "download_failure").when(F.coalesce(other, F.lit(False)), "artifact_mismatch").otherwise(F.col("error_category"))
-    message = F.when(no_mp4, "the media is not an MP4 container").when(F.coalesce(other, F.lit(False)), F.concat(F.lit("the media of "), F.col("video_id"), F.lit(" differs from what is kept"))).otherwise(F.col("error_message"))
+    message = F.when(no_mp4, "the media is not an MP4 container").when(F.coalesce(other, F.lit(False)), _differs()).otherwise(F.col("error_message"))
     return rows.withColumns({"error_category": category, "error_message": message, "reused": F.col("_kept").isNotNull(), "ok": F.col("ok") & ~no_mp4 & ~F.coalesce(other, F.lit(False))}).drop("_id", "_kept")
 
 
 def run(entries: DataFrame, collectors: list[tuple[str, Callable[[str], dict]]], root: str, hosts: tuple[str, ...], url_pattern: str, retry: calls.Retry = calls.Retry()) -> DataFrame:
     """Ingest entries (url, creator_handle); returns url, video_id, ok, error_category, error_message, sha256, n_bytes, reused, attempts, observation (time stamp if the video was known) and the normalised fields.
 
-    Collectors are called once: what they return is written first. Of two entries
-    of one video in a run the first by url is kept."""
+    Collectors are called once: what they return is written first. Of several
+    entries of one video in a run the first by url is kept; one with other bytes
+    than what is kept, by this run, an earlier one or another at the same time, is
+    an artifact_mismatch."""
     spark, stamp = entries.sparkSession, f"{datetime.now(UTC):%Y%m%dT%H%M%SZ}"
     where = f"{root}/collected/{stamp}-{uuid4().hex[:8]}"
     collect(entries, collectors, hosts, retry).write.parquet(where)
-    media_schema = "video_id string, sha256 string, n_bytes bigint, content binary"
-    rows = checked(spark.read.parquet(where), _old(spark, f"{root}/media", media_schema))
+    media = Table(spark, f"{root}/media", "video_id string, sha256 string, n_bytes bigint, content binary")
+    rows = checked(spark.read.parquet(where), media.read())
     rows = normalize.normalize(rows.withColumn("_payload", F.try_parse_json("payload")), "_payload", "creator_handle").drop("_payload")
-    rows.withColumn("observation", F.when(F.col("reused"), F.lit(stamp))).write.parquet(f"{where}-checked")
+    rows.write.parquet(f"{where}-checked")
     rows = spark.read.parquet(f"{where}-checked")
-    good = relational.latest(rows.where("ok").withColumn("_order", F.xxhash64("url")), "video_id", ["_order", "url"]).drop("_order")
-    writers.write_once(good.select(*[x.split()[0] for x in media_schema.split(", ")]), f"{root}/media", "video_id")
+    media.add_once(rows.where("ok"), "video_id", "sha256", F.col("url")).write.parquet(f"{where}-outcomes")
+    told = spark.read.parquet(f"{where}-outcomes").select(F.col("video_id").alias("_id"), F.col("sha256").alias("_digest"), "outcome")
+    rows = rows.join(told, F.col("ok") & (F.col("video_id") == F.col("_id")) & (F.col("sha256") == F.col("_digest")), "left").drop("_id", "_digest")
+    late = F.coalesce(F.col("outcome") == "artifact_mismatch", F.lit(False))
+    rows = rows.withColumns({"ok": F.col("ok") & ~late, "error_category": F.when(late, "artifact_mismatch").otherwise(F.col("error_category")), "error_message": F.when(late, _differs()).otherwise(F.col("error_message")), "reused": F.col("reused") | F.coalesce(F.col("outcome") == "reused", F.lit(False))}).drop("outcome")
+    rows = rows.withColumn("observation", F.when(F.col("reused"), F.lit(stamp)))
+    good = rows.where("ok").groupBy("video_id").agg(F.min_by(F.struct(*[c for c in rows.columns if c not in ("video_id", "content")]), "url").alias("_r")).select("video_id", "_r.*")
     raw = good.where("NOT reused").select("video_id", F.sha2("payload", 256).alias("sha256"), "payload")
     writers.write_once(raw, f"{root}/metadata_raw", "video_id")
     fields = good.select("video_id", "source_url", "collected_at", "collector_name", "collector_version", *FIELDS)

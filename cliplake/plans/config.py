@@ -35,6 +35,8 @@ class RunConfig:
     top_p: float | None = None
     max_output_tokens: int | None = None
     min_gap_seconds: float = 30.0
+    lanes: int = 8
+    ledger_batch: int = 1000
     max_attempts: int = 6
     input_per_mtok_usd: float | None = None
     output_per_mtok_usd: float | None = None

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from cliplake.functions import scalars as S
 from cliplake.operators import contracts, evaluation, merge, metrics, project, relational
 from cliplake.plans.config import RunConfig, load
-from cliplake.sources import calls, readers
+from cliplake.sources import calls, ledger, readers, writers
+from cliplake.sources.pacing import Pace
 
 VERSION = "multistep-1.0.0"
 PART = "struct<mime_type:string,role:string,path:string,text:string>"
@@ -65,27 +66,28 @@ def summary(parts: Column, sizes: Column | None = None) -> Column:
 
 
 class Caller:
-    """A model behind a least gap between calls of a process, and a pause that a provider asks for before another try."""
+    """A model with its settings, as a function of a request's row."""
 
-    def __init__(self, model: Callable, config: RunConfig, sleep: Callable[[float], None] = time.sleep):
-        self.model, self.settings, self.gap, self.sleep, self.last = model, config.generation_settings(), config.min_gap_seconds, sleep, None
+    def __init__(self, model: Callable, config: RunConfig):
+        self.model, self.settings = model, config.generation_settings()
 
     def __call__(self, row: dict) -> dict:
-        if self.last is not None and (wait := self.gap - (time.monotonic() - self.last)) > 0:
-            self.sleep(wait)
         parts = [p if isinstance(p, dict) else p.asDict() for p in row["parts"]]
         began = time.monotonic()
-        try:
-            text, usage = self.model(parts, self.settings)
-        finally:
-            self.last = time.monotonic()
+        text, usage = self.model(parts, self.settings)
         return {"raw": text, "latency_seconds": round(time.monotonic() - began, 3), **{k: usage.get(k) for k in ("input_tokens", "output_tokens", "total_tokens")}}
 
 
 def ask(requests: DataFrame, model: Callable, config: RunConfig, path: str, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
-    """ANSWER and how the call went, for requests (video_id, batch, parts); written to `path` first."""
-    got = calls.call_out(requests.select("video_id", "batch", "parts"), Caller(model, config, sleep), ANSWER, calls.Retry(config.max_attempts, 5.0, sleep=sleep), "model_provider")
-    got.write.mode("errorifexists").parquet(path)
+    """ANSWER and how the call went, for requests (video_id, batch, parts), written to `path`.
+
+    Calls are kept in a ledger beside it, batch by batch, so that a run that was
+    killed goes on behind its last batch; between any two calls of the cluster
+    there is the config's least gap. An answer that is there already stays."""
+    if not writers.complete(requests.sparkSession, path):
+        pace = Pace(config.min_gap_seconds, config.lanes, sleep=sleep)
+        got = ledger.call(requests.select("video_id", "batch", "parts"), Caller(model, config), ANSWER, f"{path}-ledger", "answers", "video_id", calls.Retry(config.max_attempts, 5.0, sleep=sleep), "model_provider", config.ledger_batch, pace)
+        got.write.mode("overwrite").parquet(path)
     return requests.sparkSession.read.parquet(path)
 
 
@@ -109,12 +111,14 @@ def run(videos: DataFrame, shots: DataFrame, frames: DataFrame, model: Callable,
 
     Returns runs: run_id, video_id, status (complete, or the step that failed),
     errors, document, canonical, validation, usage, evaluation. What fails for a
-    video is in its row; the raw answers stay."""
+    video is in its row; the raw answers stay. A run that was killed goes on under
+    its run_id: what it has written is read, only calls that it lacks are made."""
     spark, run_id = videos.sparkSession, run_id or new_run_id()
     root, stamp = f"{out}/{run_id}", datetime.now(UTC).isoformat()
 
     def kept(df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("errorifexists").parquet(f"{root}/{name}")
+        if not writers.complete(spark, f"{root}/{name}"):
+            df.write.mode("overwrite").parquet(f"{root}/{name}")
         return spark.read.parquet(f"{root}/{name}")
 
     listed = shot_list(shots, frames)
@@ -186,14 +190,16 @@ def single_pass(videos: DataFrame, model: Callable, out: str, config: RunConfig
     root = f"{out}/{run_id}"
     prompt = S.render(config.prompt, {"source_metadata": F.to_json("source_metadata")})
     requests = videos.withColumn("prompt", prompt).select("video_id", F.lit(0).alias("batch"), "prompt", F.array(_part("video/mp4", "source_video", F.col("path")), _part("text/plain", "prompt", text=F.col("prompt"))).alias("parts"))
-    requests.withColumns({"settings": F.lit(str(config.generation_settings())), "summary": summary(F.col("parts"))}).write.parquet(f"{root}/requests")
+    if not writers.complete(videos.sparkSession, f"{root}/requests"):
+        requests.withColumns({"settings": F.lit(str(config.generation_settings())), "summary": summary(F.col("parts"))}).write.mode("overwrite").parquet(f"{root}/requests")
     said = ask(requests, model, config, f"{root}/answers", sleep)
     parsed = S.parse_object(F.col("raw"))
     failed = lambda m: F.struct(F.lit(False).alias("valid"), F.array(F.struct(F.lit("/").alias("path"), m.alias("message"))).alias("errors"))
     validation = F.when(~F.col("ok"), failed(F.concat(F.lit("call failure: "), F.col("error_message")))).when(parsed.isNull(), failed(F.lit("parse failure: not a JSON object"))).otherwise(contracts.verdict(parsed, "single_pass_v0_1", platform))
     cost = S.usage_cost(F.col("input_tokens"), F.col("output_tokens"), F.lit(config.input_per_mtok_usd).cast("double"), F.lit(config.output_per_mtok_usd).cast("double"))
     rows = said.select(F.lit(run_id).alias("run_id"), "video_id", F.lit(config.model_id).alias("model_id"), F.lit(config.prompt_version).alias("prompt_version"), "raw", validation.alias("validation"), "input_tokens", "output_tokens", "total_tokens", "latency_seconds", cost.alias("cost_usd"))
-    rows.write.parquet(f"{root}/runs")
+    if not writers.complete(videos.sparkSession, f"{root}/runs"):
+        rows.write.mode("overwrite").parquet(f"{root}/runs")
     return videos.sparkSession.read.parquet(f"{root}/runs")
 
 

@@ -2,8 +2,9 @@
 
     python -m cliplake.plans.pilot SOURCES COHORT.json OUT --stages package.module:function
 
-Below OUT: calls/<run>/<stage> (what each stage returned, written before anything
-reads it, so that every stage is called once a video), records (one row per video
+Below OUT: ledger (every call, kept batch by batch), calls/<run>/<stage> (what each
+stage returned, written before anything reads it, so that every stage is called once
+a video), records (one row per video
 and run, appended), index (rebuilt from the latest record of every video),
 rejections and ingestion_failures (logs), manual_review and report."""
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cliplake.functions import scalars as S
 from cliplake.operators import cohort, contracts, metrics, relational
-from cliplake.sources import calls, readers, writers
+from cliplake.sources import calls, ledger, readers, writers
 
 VERSION = "pilot-1.0.0"
 #: What a stage returns for a video. facts are passed on to later stages and end up in the record.
@@ -45,10 +46,12 @@ class FrameStage:
     plan: Callable[[DataFrame], DataFrame]
 
 
-def run_stages(entries: DataFrame, stages: dict[str, Callable[[dict], dict] | FrameStage], path: str, retry: calls.Retry = calls.Retry()) -> DataFrame:
+def run_stages(entries: DataFrame, stages: dict[str, Callable[[dict], dict] | FrameStage], path: str, retry: calls.Retry = calls.Retry(), ledger_path: str | None = None, fresh: bool = False, batch_rows: int = ledger.BATCH) -> DataFrame:
     """A row per video and stage, up to the first stage that fails: STAGE, ok, error_category, error_message, attempts, stage, position.
 
-    Each stage is written below `path` before the next one or the result reads it."""
+    Each stage is written below `path` before the next one or the result reads it.
+    With ledger_path, calls are kept there batch by batch, and those of earlier runs
+    that went well for the same input are not made again, unless `fresh`."""
     spark, rows = entries.sparkSession, None
     left = entries if "facts" in entries.columns else entries.withColumn("facts", F.create_map().cast("map<string,string>"))
     names = [f.name for f in spark.createDataFrame([], STAGE).schema]
@@ -56,7 +59,8 @@ def run_stages(entries: DataFrame, stages: dict[str, Callable[[dict], dict] | Fr
         if isinstance(stage, FrameStage):
             got = stage.plan(left)
         else:
-            got = calls.call_out(left, lambda row, f=stage: _merged(row, f(row)), STAGE, retry, "unexpected")
+            one = lambda row, f=stage: _merged(row, f(row))
+            got = ledger.call(left, one, STAGE, ledger_path, name, "url", retry, "unexpected", batch_rows, fresh=fresh) if ledger_path else calls.call_out(left, one, STAGE, retry, "unexpected")
         got = _conform(got, names)
         where = f"{path}/{name}"
         got.withColumns({"stage": F.lit(name), "position": F.lit(k)}).write.mode("errorifexists").parquet(where)
@@ -102,7 +106,8 @@ def records(spark: SparkSession, out: str) -> DataFrame:
 
 
 def latest_records(spark: SparkSession, out: str) -> DataFrame:
-    return relational.latest(records(spark, out), "video_id", ["recorded_at", "run_id"])
+    """The last record of each video; of one run's records of several urls, that of the last url."""
+    return relational.latest(records(spark, out), "video_id", ["recorded_at", "run_id", "url"])
 
 
 def run(
@@ -116,11 +121,14 @@ def run(
     reprocess: bool = False,
     retry: calls.Retry = calls.Retry(),
     hosts: tuple[str, ...] | None = None,
+    batch_rows: int = ledger.BATCH,
 ) -> DataFrame:
     """Runs the stages for the accepted entries and returns the one-row report.
 
     With resume, videos whose latest record below `out` is a success are not run
-    again, but count; reprocess runs all. With hosts, a url must be on one of
+    again, but count; reprocess runs all. Calls are kept in batches of batch_rows
+    below out/ledger: after a run that was killed, a stage goes on behind its last
+    batch. With hosts, a url must be on one of
     them, else it fails in ingestion as invalid_url. The report is over the latest
     records of all runs, the rejections of this one and its failures without a
     video_id."""
@@ -139,7 +147,7 @@ def run(
     if hosts:
         first = next(iter(stages))
         stages = {**stages, first: _guarded(stages[first], hosts)}
-    run_stages(accepted, stages, f"{out}/calls/{run_id}", retry)
+    run_stages(accepted, stages, f"{out}/calls/{run_id}", retry, f"{out}/ledger", reprocess or not resume, batch_rows)
     rows = None
     for name in stages:
         got = spark.read.parquet(f"{out}/calls/{run_id}/{name}")
@@ -152,7 +160,7 @@ def run(
 
     latest = latest_records(spark, out)
     index = latest.withColumn("source_url", F.col("url"))
-    writers.write_index(writers.index_rows(index), f"{out}/index")
+    writers.write_index(writers.index_rows(index), f"{out}/index", -(-latest.count() // writers.INDEX_ROWS))
     outcome = latest.select("video_id", "url", "status", "failure_category", "schema_valid", "total_latency_seconds", "total_usage_cost_usd")
     missed = relational.unrecorded(lost.select("video_id", "url", "status", "failure_category"), spark.read.parquet(f"{out}/index"))
     outcome = outcome.unionByName(missed, allowMissingColumns=True).unionByName(rejected.select("video_id", "url", F.lit("rejected_by_cohort").alias("status")), allowMissingColumns=True)

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from cliplake.sources.calls import Failure
+from cliplake.sources.commits import Table
 
 INDEX = "video_id string, creator_id string, creator_handle string, source_url string, cohort_id string, published_at string, observed_at string, views bigint, likes bigint, comments bigint, shares bigint, duration_seconds double, status string, creative_ir_path string, canonical_ir_path string, pipeline_version string, schema_versions string, model_ids string, total_usage_cost_usd double, total_latency_seconds double"
 
+#: Rows of an index file.
+INDEX_ROWS = 5_000_000
+
 
 def index_rows(manifests: DataFrame) -> DataFrame:
     """Rows of INDEX; columns that the manifests lack are null, maps become JSON with sorted keys."""
@@ -31,11 +35,17 @@ def index_rows(manifests: DataFrame) -> DataFrame:
 
 
 def write_index(rows: DataFrame, path: str, files: int = 1) -> None:
-    """Rebuild the index. Without rows there is still a file with the schema. More rows than fit a file: raise `files`."""
-    parts = rows.coalesce(1) if files == 1 else rows.repartitionByRange(files, "video_id")
+    """Rebuild the index, in ranges of video_id. Without rows there is still a file with the schema. INDEX_ROWS fit a file."""
+    parts = rows.coalesce(1) if files <= 1 else rows.repartitionByRange(files, "video_id")
     parts.sortWithinPartitions("video_id").write.mode("overwrite").parquet(path)
 
 
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether a whole table is at path: its job has committed."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def writing(path: str, call: Callable[[], None]) -> None:
     """call(), which writes to path; what goes wrong is a file_write_failure."""
     try:
@@ -72,22 +82,10 @@ def append_log(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").option("ignoreNullFields", "false").json(path)
 
 
-def write_once(rows: DataFrame, path: str, key: str, digest: str = "sha256") -> DataFrame:
-    """Append rows whose key is new; returns those whose key is there with another digest (artifact_mismatch)."""
-    spark: SparkSession = rows.sparkSession
-    try:
-        old = spark.read.schema(rows.schema).parquet(path)
-    except Exception as e:  # the first write makes the folder
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        rows.write.parquet(path)
-        return rows.limit(0)
-    known = old.select(F.col(key).alias("_k"), F.col(digest).alias("_d"))
-    clash = rows.join(known, (F.col(key) == F.col("_k")) & (F.col(digest) != F.col("_d")), "left_semi")
-    bad = [r[0] for r in clash.select(key).limit(1).collect()]
-    fresh = rows.join(known.select("_k"), F.col(key) == F.col("_k"), "left_anti")
-    fresh.write.mode("append").parquet(path)
-    return clash if bad else rows.limit(0)
+def write_once(rows: DataFrame, path: str, key: str, digest: str = "sha256", order: Column | None = None) -> DataFrame:
+    """Keep rows whose key is new, as one transaction; returns the key and digest of those that are kept with another digest (artifact_mismatch), of earlier writes, of others at the same time, or of this batch (the least `order` is kept)."""
+    table = Table(rows.sparkSession, path, rows.schema)
+    return table.add_once(rows, key, digest, order).where("outcome = 'artifact_mismatch'").select(key, digest)
 
 
 def write_snapshots(rows: DataFrame, path: str) -> None:
