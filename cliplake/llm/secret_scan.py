@@ -47,6 +47,8 @@ RULES = (
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}"),
 )
 BASE = ("assign", "access", "hex")
+#: Hits of a text whose places are added up together.
+PART = 256
 _FINDINGS = "array<struct<kind:string,version:int,start:int,end:int>>"
 LEDGER = f"blob string, scanned array<string>, findings {_FINDINGS}"
 
@@ -60,16 +62,21 @@ def _spans(text: Column, rule: Rule) -> Column:
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     tested = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
     gaps = F.split(text, rule.pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_FINDINGS).alias("out"))
-
     def step(a: Column, x: Column) -> Column:
         begin = a["at"] + x["gap"]
         end = begin + F.length(x["hit"])
         one = F.struct(F.lit(rule.kind).alias("kind"), F.lit(rule.version).alias("version"), begin.alias("start"), end.alias("end"))
         return F.struct(end.alias("at"), F.when(F.length(x["test"]) >= rule.least, F.array_append(a["out"], one)).otherwise(a["out"]).alias("out"))
 
+    def part(a: Column, some: Column) -> Column:
+        """One more part: an append copies its array, so a part's array is short and the parts are few."""
+        done = F.aggregate(some, F.struct(a["at"].alias("at"), F.array().cast(_FINDINGS).alias("out")), step)
+        return F.transform(F.array(done), lambda d: F.struct(d["at"].alias("at"), F.array_append(a["out"], d["out"]).alias("out")))[0]
+
     parts = F.transform(F.slice(F.arrays_zip(found.alias("hit"), tested.alias("test"), gaps.alias("gap")), F.lit(1), F.size(found)), lambda p: F.struct(p["hit"].alias("hit"), p["test"].alias("test"), F.length(p["gap"]).alias("gap")))
-    return F.when(text.rlike(rule.pattern), F.aggregate(parts, start, step)["out"]).otherwise(F.array().cast(_FINDINGS))
+    some = F.transform(F.array(parts), lambda p: F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / PART).cast("int")), lambda k: F.slice(p, k * PART + 1, F.lit(PART))))[0]
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_FINDINGS}>").alias("out"))
+    return F.when(text.rlike(rule.pattern), F.flatten(F.aggregate(some, start, part)["out"])).otherwise(F.array().cast(_FINDINGS))
 
 
 def new_ledger(spark: SparkSession) -> str:

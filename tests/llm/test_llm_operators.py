@@ -63,6 +63,15 @@ def test_ledger_scans_only_what_is_new(spark, docs):
     assert [r[0] for r in last] == [["access@2"]]
 
 
+def test_secrets_of_a_long_manifest(spark, docs):
+    r = random.Random(9)
+    text = "\n".join(f"{r.getrandbits(160):040x}  f{i}" for i in range(100_000)) + "\ntoken = abcdef0123"  # 5 MB, all of it hits
+    few = "\n".join(text.split("\n")[: secret_scan.PART + 3])
+    got = {x["doc_id"]: x for x in secret_scan.digest(secret_scan.scan(docs([(1, text), (2, few)]), secret_scan.new_ledger(spark))).collect()}
+    for i, t in ((1, text), (2, few)):
+        assert got[i]["spans"] == base_secrets(t) and got[i]["n_hex"] == t.count("\n") + (i == 2)
+
+
 # ---- 2
 
 
