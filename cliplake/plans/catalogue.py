@@ -475,3 +475,4 @@ def latest_snapshot(spark, sf):
 
 
 from cliplake.plans import catalogue_documents as _more  # noqa: E402,F401  registers its queries
+from cliplake.plans import catalogue_series as _series  # noqa: E402,F401  registers its queries
