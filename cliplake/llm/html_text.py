@@ -7,8 +7,9 @@ and class names, weigh nothing; lines of an article that the page names weigh
 BOOST times as much. Weights are summed over windows of WINDOW lines, and one
 threshold is taken from the sums of the page. A stretch of the page from where the
 sums rise from nothing to where they dive to nothing is text if they surge over
-the threshold in between. Its lines are kept, but for those of the parts above and
-for runs of lines of links.
+the threshold in between. Its lines are kept, but for those of the parts above and,
+outside a named article, for runs of lines of links; inside one, links between two
+of its lines stay.
 
 Scale: one pass over the pages, no shuffle, a page at a time, in time linear in
 its length: the tokenizer never goes back, and open elements are counted, so that
@@ -159,21 +160,21 @@ class _Block:
         self.names: Counter = Counter()
 
 
-def lines(html: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, characters outside links, out of place, in a named article) of each block in page order."""
-    found: list[tuple[str, int, bool, bool]] = []
+def lines(html: str) -> list[tuple[str, int, bool, int]]:
+    """(text, characters outside links, out of place, number of the outermost named article it is in, 0 if none) of each block in page order."""
+    found: list[tuple[str, int, bool, int]] = []
     blocks = [_Block("", False, False)]
     open_blocks: Counter = Counter()
     text: list[str] = []
     link: list[str] = []
-    out = articles = links = 0
+    out = articles = links = number = 0
 
     def flush() -> None:
         if text:
             raw = _SPACE.sub(" ", unescape("".join(text))).strip()
             if raw:
                 linked = len(_SPACE.sub(" ", unescape("".join(link))).strip())
-                found.append((raw, max(0, len(raw) - linked), out > 0, articles > 0))
+                found.append((raw, max(0, len(raw) - linked), out > 0, number if articles > 0 else 0))
             text.clear()
             link.clear()
 
@@ -225,6 +226,7 @@ def lines(html: str) -> list[tuple[str, int, bool, bool]]:
             blocks.append(block)
             open_blocks[name] += 1
             out += block.out
+            number += block.article and not articles
             articles += block.article
         elif name not in _VOID and name not in _RAW and not attrs.endswith("/"):
             bad = _out_of_place(name, attrs, articles > 0)
@@ -236,8 +238,17 @@ def lines(html: str) -> list[tuple[str, int, bool, bool]]:
     return found
 
 
-def weights(found: list[tuple[str, int, bool, bool]]) -> list[int]:
-    return [0 if bad or plain < PLAIN_SHARE * len(text) else plain * (BOOST if art else 1) for text, plain, bad, art in found]
+def weights(found: list[tuple[str, int, bool, int]]) -> list[int]:
+    weight = [0 if bad or plain < PLAIN_SHARE * len(text) else plain * (BOOST if art else 1) for text, plain, bad, art in found]
+    # lines of links between two lines of one named article are part of it
+    last: dict[int, int] = {art: k for k, (_, _, _, art) in enumerate(found) if art and weight[k]}
+    begun: set[int] = set()
+    for k, (_, _, bad, art) in enumerate(found):
+        if weight[k]:
+            begun.add(art)
+        elif art and not bad and art in begun and k < last[art]:
+            weight[k] = 1
+    return weight
 
 
 def stretches(weight: list[int], window: int = WINDOW, surge: int = SURGE) -> list[tuple[int, int]]:
@@ -285,7 +296,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars (code points): a row per row of pages.
 
     Null html counts as empty and gives an empty text; null urls and ids stay;
-    repeated rows are alike; other columns are not read."""
+    repeated rows are alike; other columns are not read. Pages of any length are
+    read whole, in time linear in it; an empty table gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -472,6 +472,34 @@ def test_density_decides_on_pages_with_a_named_article():
     assert got.count("Paragraph") == 5
 
 
+def test_links_between_lines_of_an_article_stay():
+    reading = "<ul>" + "".join(f"<li><a href=r{k}>Reading {k}</a></li>" for k in range(6)) + "</ul>"
+    p = lambda k: f"<p>Paragraph {k} of the real text, which is long enough for a surge of its own.</p>"
+    got = html_text.extract(PAGE % f"<article>{p(1)}{reading}<p><a href=x>One more</a> of</p>{p(2)}<div class='ad'><p>Buy!</p></div>{p(3)}</article>").split("\n")
+    assert [x.split()[0] for x in got] == ["Paragraph"] + ["Reading"] * 6 + ["One", "Paragraph", "Paragraph"]
+    # those of another article, and those behind the last line, are not part of it
+    got = html_text.extract(PAGE % f"<article>{p(1)}</article><article>{reading}</article><article>{p(2)}{reading}</article>").split("\n")
+    assert [x.split()[0] for x in got] == ["Paragraph"] * 2
+
+
+def test_windows_alone_find_the_text_of_the_given_pages(spark, sf):
+    """With all names taken away, only the distribution of text is left: it throws out the menus, and keeps the article."""
+    bare = re.compile(r"(?i)\s(class|id|role)=(\"[^\"]*\"|'[^']*'|[^\s>]+)|(?<=</)(nav|article|footer|header|aside|main)\b|(?<=<)(nav|article|footer|header|aside|main)\b")
+    pages = [r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").select("html").collect() if r["html"]]
+    kept = lost = menus = decided = 0
+    for html in pages:
+        want = html_text.extract(html).split("\n")
+        plain = bare.sub(lambda m: "" if m.group(1) else "div", html)
+        assert not any(bad or art for _, _, bad, art in html_text.lines(plain))
+        got = Counter(html_text.extract(plain).split("\n"))
+        links = [t for t, n, _, _ in html_text.lines(plain) if n < html_text.PLAIN_SHARE * len(t)]
+        menus += len(links)
+        decided += sum(t not in got for t in links)
+        kept += sum((Counter(want) & got).values())
+        lost += sum((Counter(want) - got).values())
+    assert menus > 3 * len(pages) and decided >= 0.98 * menus and lost <= 0.02 * (kept + lost)
+
+
 # ---- 7
 
 
