@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from itertools import combinations
 
 from pyspark.sql import functions as F
 
@@ -50,6 +51,33 @@ def near_duplicate_media(spark, sf):
     return neighbours.near_pairs(both, "id", "v", NEAR).withColumn("cosine", F.round("cosine", 6))
 
 
+@query("""
+SELECT CASE WHEN grouping(user_id % 3) = 0 THEN CAST(user_id % 3 AS VARCHAR) END AS cohort_id, CASE WHEN grouping(event_type) = 0 THEN event_type END AS model_id, CASE WHEN grouping(strftime(ts, '%Y-%m-%d')) = 0 THEN strftime(ts, '%Y-%m-%d') END AS day,
+ concat_ws(',', CASE WHEN grouping(user_id % 3) = 0 THEN 'cohort_id' END, CASE WHEN grouping(event_type) = 0 THEN 'model_id' END, CASE WHEN grouping(strftime(ts, '%Y-%m-%d')) = 0 THEN 'day' END) AS level,
+ count(*) AS n, count(*) FILTER (event_id % 4 <> 0) AS successes, count(*) FILTER (event_id % 4 <> 0 AND event_id % 8 <> 1) AS valid, round(sum(value) / count(value), 6) AS latency_mean, true AS median_near
+FROM events GROUP BY CUBE (user_id % 3, event_type, strftime(ts, '%Y-%m-%d'))""")
+def metric_cube(spark, sf):
+    """Events as records: states by cohort, model and day, written once, merged to all levels. median_near: the merged median's rank is within 3 % of the middle, counted over the records."""
+    from cliplake.operators import states
+
+    records = _t(spark, sf, "events").select(
+        (F.col("user_id") % 3).cast("string").alias("cohort_id"), F.col("event_type").alias("model_id"), F.date_format("ts", "yyyy-MM-dd").alias("day"),
+        F.when(F.col("event_id") % 4 == 0, "failed").otherwise("success").alias("status"), (F.col("event_id") % 8 != 1).alias("schema_valid"), F.col("value").alias("total_latency_seconds"), F.lit(None).cast("double").alias("total_usage_cost_usd"),
+    )
+    path = f"{_scratch(spark)}/states-{uuid.uuid4().hex}"
+    states.store(states.partial(records), path)
+    got = states.metrics(states.merged(spark.read.parquet(path)))
+    levels = got.select(*states.DIMENSIONS, "level", "latency_p50")
+    every = [",".join(c) for k in range(4) for c in combinations(states.DIMENSIONS, k)]
+    met = records.select(*states.DIMENSIONS, F.col("total_latency_seconds").alias("v"), F.explode(F.array(*[F.lit(x) for x in every])).alias("l"))
+    keys = [F.when(F.array_contains(F.split("l", ","), d), F.col(d)).alias(f"_{d}") for d in states.DIMENSIONS]
+    met = met.select("l", "v", *keys).join(levels, (F.col("l") == F.col("level")) & F.col("_cohort_id").eqNullSafe(F.col("cohort_id")) & F.col("_model_id").eqNullSafe(F.col("model_id")) & F.col("_day").eqNullSafe(F.col("day")))
+    near = met.groupBy("level", *states.DIMENSIONS).agg((F.avg(F.when(F.col("v") < F.col("latency_p50"), 1.0).otherwise(0.0)) <= 0.53).alias("a"), (F.avg(F.when(F.col("v") <= F.col("latency_p50"), 1.0).otherwise(0.0)) >= 0.47).alias("b"))
+    near = near.select(F.col("level").alias("_l"), *[F.col(d).alias(f"_{d}") for d in states.DIMENSIONS], (F.col("a") & F.col("b")).alias("median_near"))
+    out = got.join(near, (F.col("level") == F.col("_l")) & F.col("cohort_id").eqNullSafe(F.col("_cohort_id")) & F.col("model_id").eqNullSafe(F.col("_model_id")) & F.col("day").eqNullSafe(F.col("_day")))
+    return out.select(*states.DIMENSIONS, "level", "n", "successes", "valid", F.round("latency_mean", 6).alias("latency_mean"), "median_near")
+
+
 @query("""
 WITH d AS (SELECT doc_id, doc_id % 97 AS k, sha256(coalesce(text, '')) AS sha256 FROM documents),
 one AS (SELECT k, min(sha256) AS kept FROM d WHERE doc_id % 2 = 0 GROUP BY k),
