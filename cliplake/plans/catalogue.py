@@ -68,9 +68,9 @@ def subject_category(spark, sf):
     return _t(spark, sf, "documents").select("doc_id", S.subject_category(F.col("text")).alias("category"))
 
 
-@query(f"SELECT conv_id, turn, {_ROLE_SQL} AS text_role FROM conversations WHERE text IS NOT NULL")
+@query(f"SELECT conv_id, turn, CASE WHEN text IS NOT NULL THEN {_ROLE_SQL} END AS text_role FROM conversations")
 def text_role(spark, sf):
-    return _t(spark, sf, "conversations").where("text IS NOT NULL").select("conv_id", "turn", S.text_role(F.col("text")).alias("text_role"))
+    return _t(spark, sf, "conversations").select("conv_id", "turn", S.text_role(F.col("text")).alias("text_role"))
 
 
 @query("SELECT doc_id, array_to_string(list_transform(list_filter(string_split_regex(trim(text), '[ \\t\\n\\v\\f\\r]+'), lambda x: starts_with(x, '#')), lambda x: ltrim(x, '#')), ',') AS tags FROM documents")
@@ -125,15 +125,15 @@ def midpoint_clamp(spark, sf):
     return _t(spark, sf, "lineitem").select(*_SHIP, "l_orderkey", mid.alias("mid"), S.frame_index(F.col("l_quantity"), F.lit(0.5), start, start + 25).alias("frame"))
 
 
-@query("SELECT conv_id, turn, regexp_matches(text, '(?i)\\b(the|is)\\b[^\\n]*\\b(of|to)\\b') AS hint FROM conversations WHERE text IS NOT NULL")
+@query("SELECT conv_id, turn, regexp_matches(text, '(?i)\\b(the|is)\\b[^\\n]*\\b(of|to)\\b') AS hint FROM conversations")
 def pattern_flag(spark, sf):
-    return _t(spark, sf, "conversations").where("text IS NOT NULL").select("conv_id", "turn", F.col("text").rlike(r"(?i)\b(the|is)\b[^\n]*\b(of|to)\b").alias("hint"))
+    return _t(spark, sf, "conversations").select("conv_id", "turn", F.col("text").rlike(r"(?i)\b(the|is)\b[^\n]*\b(of|to)\b").alias("hint"))
 
 
-@query(f"SELECT conv_id, turn, regexp_matches(text, '(?i)\\b(cta|call[s]? to action|comment[- ]?bait|engagement prompt|ask[s]?(ing)? viewers|comment your|drop a comment|follow for|link in bio)\\b') AS cta FROM (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN concat(text, ' Link in bio!') ELSE text END AS text FROM conversations) WHERE text IS NOT NULL")
+@query(f"SELECT conv_id, turn, coalesce(regexp_matches(text, '(?i)\\b(cta|call[s]? to action|comment[- ]?bait|engagement prompt|ask[s]?(ing)? viewers|comment your|drop a comment|follow for|link in bio)\\b'), false) AS cta FROM (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN text || ' Link in bio!' ELSE text END AS text FROM conversations)")
 def cta_flag(spark, sf):
     rows = _t(spark, sf, "conversations").withColumn("text", F.when(F.col("turn") % 3 == 0, F.concat("text", F.lit(" Link in bio!"))).otherwise(F.col("text")))
-    return rows.where("text IS NOT NULL").select("conv_id", "turn", S.mentions_cta(F.col("text")).alias("cta"))
+    return rows.select("conv_id", "turn", S.mentions_cta(F.col("text")).alias("cta"))
 
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
@@ -218,9 +218,9 @@ def merged_error_counts(spark, sf):
     return metrics.merge_counts(metrics.review_error_counts(reviews), events)
 
 
-@query("SELECT count(*) AS reviewed_count, round(avg((quality * 5 + (1 - toxic) * 5) / 2), 3) AS average_overall FROM labels WHERE quality IS NOT NULL AND toxic IS NOT NULL")
+@query("SELECT count(*) AS reviewed_count, round(avg((quality * 5 + (1 - toxic) * 5) / 2), 3) AS average_overall FROM labels")
 def review_macro_mean(spark, sf):
-    rows = _t(spark, sf, "labels").where("quality IS NOT NULL AND toxic IS NOT NULL")
+    rows = _t(spark, sf, "labels")
     scores = F.create_map(F.lit("quality"), (F.col("quality") * 5).cast("double"), F.lit("safety"), ((1 - F.col("toxic")) * 5).cast("double"))
     return metrics.review_summary(rows.select(scores.alias("scores")))
 
@@ -384,7 +384,7 @@ def claim_inventory(spark, sf):
     audio = F.struct(*[none.alias(k) for k in ("music", "music_certainty", "sfx", "sfx_certainty", "ambience", "ambience_certainty")])
     user = F.col("role") == "user"
     shot = F.struct("turn", F.when(user, F.array().cast("array<struct<text:string,exact:boolean>>")).otherwise(F.array(text)).alias("on_screen_text"), F.when(user, F.array(quote)).otherwise(F.array().cast("array<struct<speaker:string,text:string,exact:boolean>>")).alias("spoken_dialogue"), audio.alias("audio"))
-    rows = _t(spark, sf, "conversations").where("text IS NOT NULL").groupBy("conv_id").agg(F.array_sort(F.collect_list(shot), lambda a, b: (a["turn"] - b["turn"]).cast("int")).alias("shots"))
+    rows = _t(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(shot), lambda a, b: (a["turn"] - b["turn"]).cast("int")).alias("shots"))
     rows = rows.select("conv_id", project.claims(F.col("shots")).alias("c")).where(F.size("c") > 0)
     return rows.select("conv_id", _joined(F.transform("c", lambda x: F.concat_ws(":", x["kind"], x["text"]))).alias("claims"))
 

@@ -389,13 +389,13 @@ def report_row(spark, sf):
 # ---- ingestion and reviews
 
 
-@query("""SELECT doc_id, NOT (doc_id % 3 = 0 OR strlen(text) < 4) AND doc_id % 4 <> 2 AS ok, CASE WHEN doc_id % 3 = 0 OR strlen(text) < 4 THEN 'download_failure' WHEN doc_id % 4 = 2 THEN 'artifact_mismatch' END AS error_category, doc_id % 2 = 0 AS reused FROM documents WHERE text IS NOT NULL""")
+@query("""SELECT doc_id, NOT (doc_id % 3 = 0 OR strlen(coalesce(text, '')) < 4) AND doc_id % 4 <> 2 AS ok, CASE WHEN doc_id % 3 = 0 OR strlen(coalesce(text, '')) < 4 THEN 'download_failure' WHEN doc_id % 4 = 2 THEN 'artifact_mismatch' END AS error_category, doc_id % 2 = 0 AS reused FROM documents""")
 def media_checks(spark, sf):
     """Texts as media, two thirds of them behind the mark of an MP4; every other one is there already, half of those with other bytes."""
     from cliplake.operators import ingest
 
-    rows = _t(spark, sf, "documents").where("text IS NOT NULL")
-    body = F.encode("text", "UTF-8")
+    rows = _t(spark, sf, "documents")
+    body = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     content = F.when(F.col("doc_id") % 3 == 0, body).otherwise(F.concat(F.unhex(F.lit("0000001866747970")), body))
     rows = rows.select("doc_id", _text(F.col("doc_id")).alias("video_id"), content.alias("content"), F.lit(True).alias("ok"), F.lit(None).cast("string").alias("error_category"), F.lit(None).cast("string").alias("error_message"))
     media = rows.where("doc_id % 2 = 0").select("video_id", F.when(F.col("doc_id") % 4 == 0, F.sha2("content", 256)).otherwise("other").alias("sha256"))
