@@ -254,6 +254,72 @@ def test_nodes_are_shared_prefixes():
     assert np.array_equal(forest_join.nodes(a, [4, 6]), np.concatenate([forest_join.nodes(a, [4]), forest_join.nodes(a, [6])]))
 
 
+def chained(words, n, shared=0.45):
+    """Texts of which each shares a part of its words with the next: many weak meetings in a chain."""
+    out, part = [], words(220)
+    for _ in range(n):
+        own = words(220)
+        k = int(len(own) * 2 * shared / (1 + shared))
+        text = part[-k:] + own[k:]
+        out.append(" ".join(text))
+        part = text
+    return out
+
+
+def test_weak_meetings_don_t_chain_candidates(docs, words, monkeypatch):
+    texts = chained(words, 600)
+    pairs = [(i, i + 10_000) for i in range(0, 600, 60)]
+    near = {}
+    for i, j in pairs:
+        w = texts[i].split()
+        w[7] = "changed"
+        near[j] = " ".join(w)
+    made = {}
+    real = forest_join.cut
+    monkeypatch.setattr(forest_join, "cut", lambda df, name: made.setdefault(name, real(df, name)))
+    monkeypatch.setattr(forest_join, "sweep", lambda *a: None)
+    got = {r["doc_id"]: r["class_id"] for r in forest_join.classes(docs([*enumerate(texts), *near.items()])).collect()}
+    assert got == {i: i for i in range(600)} | {j: i for i, j in pairs}
+    # meetings under nodes are many, and chain most texts; candidates are the pairs
+    assert made["held"].select("cls").distinct().count() > 300
+    assert made["members"].count() <= 2 * len(pairs) + 10 and made["members"].groupBy("root").count().agg(F.max("count")).collect()[0][0] <= 4
+
+
+def test_large_nodes_are_split(docs, words, monkeypatch):
+    """With nodes of at most 3 sets the same classes come out: a group of near copies meets in other tries."""
+    r = random.Random(21)
+    rows, want = [], {}
+    for g in range(6):
+        base = words(150)
+        for k in range(12):
+            w = list(base)
+            w[r.randrange(len(w))] = f"x{g}{k}"
+            rows.append((100 * g + k, " ".join(w)))
+            want[100 * g + k] = 100 * g
+    full = {x["doc_id"]: (x["class_id"], x["n_links"]) for x in forest_join.classes(docs(rows)).collect()}
+    assert {i: c for i, (c, _) in full.items()} == want
+    rounds = []
+    real = forest_join.cut
+    monkeypatch.setattr(forest_join, "cut", lambda df, name: rounds.append(name) or real(df, name))
+    monkeypatch.setattr(forest_join.meetings, "__defaults__", (3,))
+    split = {x["doc_id"]: (x["class_id"], x["n_links"]) for x in forest_join.classes(docs(rows)).collect()}
+    assert split == full and rounds.count("split") >= 2
+
+
+def test_near_groups_of_sketches():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 256, (4, 128)).astype(np.uint8)
+    own = rng.integers(0, 4, 40)
+    s = base[own].copy()
+    for row in s:
+        row[rng.choice(128, 20, replace=False)] = rng.integers(0, 256, 20)
+    first = forest_join.near(s, forest_join.agreement())
+    assert [own[f] for f in first] == own.tolist() and (first <= np.arange(40)).all() and len(set(first.tolist())) == len(set(own.tolist()))
+    # 3 million pairs at the threshold would lose one
+    agree = (rng.random((20_000, 128)) < forest_join.THRESHOLD).mean(axis=1)
+    assert agree.min() >= forest_join.agreement() and 0.6 < forest_join.agreement() < 0.65
+
+
 def test_components(spark):
     r = random.Random(4)
     edges = [(r.randrange(200), r.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 340)]
