@@ -32,6 +32,8 @@ from .common import text_of
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("other", *KINDS)
+#: A segment with a letter is none of these, so that no digest or id is one.
+NO_LETTERS = ("card", "ip")
 LONGEST = 6
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -133,7 +135,8 @@ class Field:
 
     def scores(self, names: list[str], size: int) -> list[float]:
         get = self.weight.get
-        return [sum(get((f, lab), 0.0) for f in names) if lab != "other" or size == 1 else float("-inf") for lab in LABELS]
+        none = [lab == "other" and size > 1 or lab in NO_LETTERS and "letters" in names for lab in LABELS]
+        return [float("-inf") if x else sum(get((f, lab), 0.0) for f in names) for lab, x in zip(LABELS, none)]
 
     def _lattice(self, chunks: list[str], before: str) -> list[tuple[int, int, list[str], list[float]]]:
         out = []
@@ -206,7 +209,8 @@ def _sentences(seed: int, count: int) -> Iterator[tuple[str, list[str], set[tupl
         "card": [card, lambda: four(card(), " "), lambda: four(card(), "-")],
         "phone": [lambda: f"+{num(2)} {num(3)} {num(7)}", lambda: f"({num(3)}) {num(3)}-{num(4)}", lambda: f"{num(3)}-{num(3)}-{num(4)}", lambda: f"+1 ({num(3)}) {num(3)}-{num(4)}", lambda: f"{num(3)}.{num(3)}.{num(4)}", lambda: f"+{num(11)}", lambda: f"({num(3)}) {num(4)} - {num(4)}", lambda: f"{num(3)} - {num(3)} - {num(4)}"],
     }
-    bad = [lambda: num(r.randint(1, 6)), lambda: f"{num(4)}-{num(2)}-{num(2)}", lambda: f"{num(2)}/{num(2)}/{num(4)}", lambda: f"${num(3)}.{num(2)}", lambda: f"v{num(1)}.{num(1)}.{num(2)}", lambda: num(16)[:15], lambda: num(r.randint(7, 12)), lambda: f"{num(1)},{num(3)},{num(3)}", lambda: f"@{name()}", lambda: f"{num(2)}:{num(2)}", lambda: name() + num(3), lambda: "300.400.1." + num(3), lambda: num(24), lambda: f"{num(4)} {num(4)}", lambda: f"{num(3)} {num(2)}", lambda: f"{num(2)}.{num(3)}", lambda: f"{num(8)}-{num(4)}-{num(4)}", lambda: f"{num(5)} {num(3)} {num(2)}", lambda: f"{num(2)} - {num(2)}", lambda: f"{name()} [at]", lambda: f"[at] {name()}"]
+    mixed = lambda n, letters: "".join(r.choice("0123456789" + letters) for _ in range(n))
+    bad = [lambda: mixed(r.choice([12, 16, 32, 40, 64]), "abcdef"), lambda: f"{mixed(8, 'abcdef')}-{mixed(4, 'abcdef')}-{mixed(4, 'abcdef')}", lambda: mixed(r.randint(9, 20), "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), lambda: num(r.randint(1, 6)), lambda: f"{num(4)}-{num(2)}-{num(2)}", lambda: f"{num(2)}/{num(2)}/{num(4)}", lambda: f"${num(3)}.{num(2)}", lambda: f"v{num(1)}.{num(1)}.{num(2)}", lambda: num(16)[:15], lambda: num(r.randint(7, 12)), lambda: f"{num(1)},{num(3)},{num(3)}", lambda: f"@{name()}", lambda: f"{num(2)}:{num(2)}", lambda: name() + num(3), lambda: "300.400.1." + num(3), lambda: num(24), lambda: f"{num(4)} {num(4)}", lambda: f"{num(3)} {num(2)}", lambda: f"{num(2)}.{num(3)}", lambda: f"{num(8)}-{num(4)}-{num(4)}", lambda: f"{num(5)} {num(3)} {num(2)}", lambda: f"{num(2)} - {num(2)}", lambda: f"{name()} [at]", lambda: f"[at] {name()}"]
     cues = {k: [w for w, v in CUES.items() if v == k] for k in KINDS}
     for _ in range(count):
         chunks: list[str] = []
@@ -313,7 +317,8 @@ def scan(docs: DataFrame, field: Field | None = None) -> DataFrame:
     """doc_id, spans (array of kind, start, end, base): a row per row of docs.
 
     Offsets are code points of the whole text, end exclusive. Null texts count
-    as empty; repeated rows are alike; other columns are not read."""
+    as empty; repeated rows are alike; other columns are not read. Texts of any
+    length are read whole; an empty table gives no rows."""
     held = docs.sparkSession.sparkContext.broadcast(field or train())
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]))
 
