@@ -128,8 +128,7 @@ def candidates(docs: DataFrame, bench: DataFrame, most: int = ANCHORS) -> DataFr
     keys = [c for c in ("n",) if c in bench.columns]
     widths = sorted(r[0] for r in bench.select("width").distinct().collect()) or [3]  # 1, 2, 3
     anchors = bench.select("anchor", *keys).distinct()
-    if anchors.limit(most + 1).count() <= most:
-        anchors = F.broadcast(anchors)
+    few = anchors.limit(most + 1).count() <= most
     rows = keyed(docs)
     signs = SIGNS + NUMERIC
     raw = rows.select("doc_id", "row_hash", F.split(F.regexp_replace(F.translate(F.lower("text"), signs, " " * len(signs)), "  +", " "), " ").alias("raw"))
@@ -140,6 +139,10 @@ def candidates(docs: DataFrame, bench: DataFrame, most: int = ANCHORS) -> DataFr
         near = near.select("doc_id", "row_hash", hashes[0].alias("of"))
     else:
         near = near.select("doc_id", "row_hash", F.explode(F.array(*hashes)).alias("of"))
+    if few:
+        anchors = F.broadcast(anchors)
+    else:  # words that are in no anchor stay where they are
+        near = maybe_in(near, "of", anchors, "anchor")
     met = near.join(anchors, F.col("of") == F.col("anchor"), "inner" if keys else "left_semi")
     return met.select("doc_id", "row_hash", *keys).distinct()
 
