@@ -1,4 +1,4 @@
-"""A data source for record folders: <path>/<video_id>/<artifact>, one text file an artifact.
+"""A data source for record folders: <path>/<video_id>/<artifact>, one text file an artifact, whose name may have folders in it.
 
     spark.dataSource.register(folders.RecordFolders)
     spark.read.format("record_folders").load(path)
@@ -28,7 +28,7 @@ SCHEMA = "video_id string, artifact string, content string"
 PER_PARTITION = 200
 #: Files that are moved at a time.
 MOVES = 32
-_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9._=-]*")
+_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9._=-]*(?:/[A-Za-z0-9][A-Za-z0-9._=-]*)*")
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
@@ -38,9 +38,9 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
     return fs.LocalFileSystem(), path.rstrip("/")
 
 
-def _listed(where: fs.FileSystem, at: str) -> list[fs.FileInfo]:
-    found = where.get_file_info(fs.FileSelector(at, allow_not_found=True))
-    return sorted((f for f in found if not f.base_name.startswith(("_", "."))), key=lambda f: f.base_name)
+def _listed(where: fs.FileSystem, at: str, deep: bool = False) -> list[fs.FileInfo]:
+    found = where.get_file_info(fs.FileSelector(at, allow_not_found=True, recursive=deep))
+    return sorted((f for f in found if not f.base_name.startswith(("_", "."))), key=lambda f: f.path)
 
 
 @dataclass
@@ -64,10 +64,10 @@ class Reader(DataSourceReader):
     def read(self, partition: Folders) -> Iterator[tuple]:
         where, at = _open(self.path)
         for name in partition.names:
-            for f in _listed(where, f"{at}/{name}"):
+            for f in _listed(where, f"{at}/{name}", True):
                 if f.type == fs.FileType.File and (self.artifacts is None or f.base_name in self.artifacts):
                     with where.open_input_stream(f.path) as stream:
-                        yield name, f.base_name, stream.read().decode("utf-8", "replace")
+                        yield name, f.path[len(f"{at}/{name}/") :], stream.read().decode("utf-8", "replace")
 
 
 @dataclass
@@ -86,7 +86,7 @@ class Writer(DataSourceWriter):
             video, artifact, content = row
             if content is None:
                 continue
-            if not (_NAME.fullmatch(video or "") and _NAME.fullmatch(artifact or "")):
+            if "/" in (video or "/") or not (_NAME.fullmatch(video) and _NAME.fullmatch(artifact or "")):
                 raise ValueError(f"no name of a record: {video}/{artifact}")
             staged = f"{at}/_staging/{self.job}/{task}/{len(files)}"
             where.create_dir(staged.rpartition("/")[0], recursive=True)
@@ -135,7 +135,7 @@ class Writer(DataSourceWriter):
 
 
 class RecordFolders(DataSource):
-    """Options: path; artifacts (names joined by commas: read only these), per_partition (folders)."""
+    """Options: path; artifacts (file names joined by commas: read only these), per_partition (folders)."""
 
     @classmethod
     def name(cls) -> str:

@@ -147,6 +147,30 @@ def test_two_pass_run(spark, two_pass):
     assert [(p["mime_type"], p["role"]) for p in parts] == [("video/mp4", "source_video"), ("image/jpeg", "frame:shot_001"), ("text/plain", "prompt")] and parts[2]["byte_length"] > 50
 
 
+def test_artifacts_of_a_two_pass_run(spark, two_pass, tmp_path):
+    from cliplake.plans import artifacts
+
+    tmp, rows, got = two_pass
+    run = rows.collect()[0]["run_id"]
+    videos = spark.createDataFrame([(n, (6.0, "a" * 64)) for n in ("good", "bad", "down", "nomechanism")], "video_id string, media_facts struct<duration_seconds:double,sha256:string>")
+    compared = spark.createDataFrame([("good", "validated", 4.5)], "video_id string, decision string, average double")
+    made = artifacts.two_pass(spark, f"{tmp}/{run}", run, videos, compared)
+    artifacts.write(made, str(tmp_path / "r"))
+    artifacts.write(made, str(tmp_path / "r"))  # what is there stays
+    at = tmp_path / "r" / "good" / "decompilation" / "multi_step" / run
+    names = sorted(str(p.relative_to(at)) for p in at.rglob("*") if p.is_file())
+    batches = [0, 1]
+    assert names == sorted([n % b for n in artifacts.TWO_PASS_NAMES if "%" in n for b in batches] + [n for n in artifacts.TWO_PASS_NAMES if "%" not in n])
+    assert json.loads((at / "media_facts.json").read_text()) == {"duration_seconds": 6.0, "sha256": "a" * 64}
+    assert [x["shot_id"] for x in json.loads((at / "shots.json").read_text())["shots"]] == ["shot_001", "shot_002", "shot_003"]
+    assert json.loads((at / "creative_ir.json").read_text()) == json.loads(got["good"]["document"]) and json.loads((at / "validation.json").read_text())["valid"]
+    assert (at / "synthesis/response.raw.txt").read_text().startswith("```json") and json.loads((at / "synthesis/response.parsed.json").read_text())["observed_summary"] == "s"
+    assert json.loads((at / "comparison_vs_single_pass.json").read_text()) == {"decision": "validated", "average": 4.5}
+    bad = tmp_path / "r" / "bad" / "decompilation" / "multi_step" / run
+    assert (bad / "shot_analysis/response_001.raw.txt").read_text() == "no json" and (bad / "shot_analysis/response_001.parsed.json").read_text() == "null"
+    assert not (bad / "synthesis").exists() and not (bad / "canonical_ir.json").exists() and not (tmp_path / "r/_mismatches").exists()
+
+
 def test_single_pass(spark, tmp_path):
     good = {"schema_version": "0.1", "source": {"video_id": "1"}, "observed": {"timeline": [], "visible_text": [], "dialogue": [], "visual": {}, "audio": {}}, "inferred": {}, "generation": {}}
     answers = {"a": json.dumps(good), "b": "not json", "c": json.dumps({**good, "mood": 1})}
