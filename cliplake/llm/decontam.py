@@ -229,7 +229,8 @@ def check(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Null and empty texts, on either side, match nothing; items of fewer than WINDOW
     template words, or of too few plain ones, match only as they are; an empty benchmark or one with null ids leaves all
-    clean. Repeated rows get the same verdict; other columns are not read."""
+    clean. Repeated rows get the same verdict; other columns are not read. Texts of
+    any length are read whole; an empty table gives no rows."""
     since, rows = mark(), keyed(docs).drop("text")
     bad = cut(contaminated(docs, benchmark), "contaminated")
     sweep(docs.sparkSession, since, bad)

@@ -196,8 +196,9 @@ def score(docs: DataFrame, path: str = VOCABULARY, hot: int = HOT) -> DataFrame:
 
     A null text counts as empty: one token, the end. A null doc_id has the empty
     text as its own. Without training documents N and V are 0. Repeated rows each
-    get their own, equal row; other columns are not read. Scores are log10. The
-    vocabulary's file must be there on every executor."""
+    get their own, equal row; other columns are not read. Scores are log10. Texts of
+    any length are scored whole; an empty table gives no rows. The vocabulary's file
+    must be there on every executor."""
     since = mark()
     fold = keyed(docs).agg(F.count_if(~_held_out())).collect()[0][0]
     seen = cut(count_tokens(docs), "counts")

@@ -177,7 +177,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     neither has lines to lose. Rows that share a doc_id count as one document:
     equal lines at the same line number are the same line. Line breaks are \\n;
     the lines that stay are unchanged. Columns of docs may have any name; of
-    those named as the two that are added, the added ones stay."""
+    those named as the two that are added, the added ones stay. Lines of any length
+    are compared whole; an empty table gives no rows."""
     names = [c for c in docs.columns if c not in ("removed_lines", "total_lines")]
     cells = [F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in names]
     return _apply(docs).select(*cells, F.col("lines").alias("removed_lines"), F.col("total").alias("total_lines"))

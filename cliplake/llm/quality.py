@@ -214,7 +214,9 @@ def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Null and empty texts have counts of 0 and fail. Labels with a null doc_id or
     quality are ignored; of several for a document the lowest quality counts.
-    Repeated rows are judged alike."""
+    Repeated rows are judged alike. Texts of any length are counted whole; an empty
+    table gives no rows, and without usable labels all that pass the hard rules are
+    kept. Other columns are not read."""
     since = mark()
     counts = cut(count(docs), "counts")
     forest, threshold = fit(counts, labels)

@@ -123,7 +123,8 @@ def scan(versions: DataFrame, ledger: str, rules: tuple = RULES, path: str = "do
 
     Null texts count as empty; an empty table gives no rows and an empty ledger
     entry; repeated rows and copies each get the findings of their blob; other
-    columns are not read."""
+    columns are not read. Texts of any length are scanned whole, in time in
+    proportion to their hits."""
     found = cut(update_ledger(versions, ledger, rules, text), "findings")
     order = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.kind, i)])
     ranked = F.transform("findings", lambda f: F.struct(f["start"].alias("start"), F.element_at(order, f["kind"]).alias("rank"), f["kind"].alias("kind"), f["end"].alias("end")))

@@ -174,7 +174,8 @@ def dedup(docs: DataFrame, sentences: int = SENTENCES, least: int = WORDS) -> Da
     stays. Rows that share a doc_id count as one document for that order and keep
     what they have in common. Null texts count as empty. Lines that lose nothing
     are unchanged; in others blanks between what is left become one. Texts with
-    fewer sentences or words than a run lose nothing. Other columns are not read."""
+    fewer sentences or words than a run lose nothing; texts of any length are read
+    whole, one at a time. An empty table gives no rows. Other columns are not read."""
     since = mark()
     every = cut(run_table(docs, sentences, least), "runs")
     table, last = every.where("h IS NOT NULL"), F.coalesce("doc_id", F.lit((1 << 63) - 1))
