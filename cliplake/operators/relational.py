@@ -32,10 +32,13 @@ def duplicates(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 
 
-def refuse_duplicates(rows: DataFrame, key: str) -> DataFrame:
-    bad = [r[0] for r in duplicates(rows, [key]).orderBy(key).select(key).collect()]  # a list of sources, which are few
-    if bad:
-        raise ValueError(f"duplicates of {key}: {', '.join(map(str, bad))}")
+def refuse_duplicates(rows: DataFrame, key: str, named: int = 20) -> DataFrame:
+    """rows; an error that names the first duplicate keys, and how many more there are, if there are any."""
+    bad = duplicates(rows, [key]).select(key)
+    first = [r[0] for r in bad.orderBy(key).limit(named + 1).collect()]
+    if first:
+        more = f" and {bad.count() - named} more" if len(first) > named else ""
+        raise ValueError(f"duplicates of {key}: {', '.join(map(str, first[:named]))}{more}")
     return rows
 
 

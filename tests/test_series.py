@@ -146,3 +146,12 @@ def test_tables_follow_threshold_and_recall():
         n = neighbours.tables(t, recall, bits)
         p = (1 - math.acos(t) / math.pi) ** bits
         assert 1 - (1 - p) ** n >= recall > 1 - (1 - p) ** (n - 1)
+
+
+def test_the_message_on_duplicates_is_bounded(spark):
+    rows = spark.range(60).select(F.format_string("u%02d", F.col("id") % 30).alias("url"))
+    with pytest.raises(ValueError, match="duplicates of url: u00, u01, .*u19 and 10 more$"):
+        relational.refuse_duplicates(rows, "url")
+    with pytest.raises(ValueError, match="duplicates of url: u01$"):
+        relational.refuse_duplicates(rows.where("url = 'u01'"), "url")
+    assert relational.refuse_duplicates(rows.distinct(), "url").count() == 30
