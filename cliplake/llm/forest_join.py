@@ -9,7 +9,9 @@ above the threshold, so their prefixes stay long, and sets too small for any hav
 no partner but copies. A node of a trie is known by the hash of its path, so that
 documents with a common prefix, which stand together in the order of labels, meet
 in a group instead of a sort. A node of more than NODE sets is split by the next
-minimum of its label, again and again. Sets that meet under a node are candidates
+minimum of its label, again and again, which finds most of its candidates early;
+what that leaves apart under the node is then compared pair by pair, in blocks, so
+that a split loses nothing. Sets that meet under a node are candidates
 of each other if all their minima agree as often as those of a pair at the
 threshold do, but for SIGMAS standard deviations: sets that share some boilerplate
 meet, but are no candidates, and don't chain others together. Within the groups
@@ -21,7 +23,9 @@ of copies makes no pairs. A meeting adds one row per member and node, never the
 pairs. Large groups are cut into size bands (similar sets differ little in size)
 and blocks, of BLOCK_SETS sets at most; a task holds two blocks. Pairs are counted
 inside a task and leave it as one row per set. A node's members meet as sketches of
-a byte a minimum. Text moves once to meet its group,
+a byte a minimum; of a large node, those outside its largest group of candidates
+meet all others in blocks of NODE, in bounded memory, at worst with the square of
+such a node's size. Text moves once to meet its group,
 and again only for sets that have candidates: once for each block of its group,
 so that a group of M sets moves SPREAD or M / BLOCK_SETS times its text.
 """
@@ -227,14 +231,13 @@ def _candidates(held: DataFrame, least: float) -> DataFrame:
 def meetings(sets: DataFrame, least: float, node: int = NODE) -> DataFrame:
     """b, a: candidate links among sets(cls, nodes, levels, sketch), enough to connect all candidates.
 
-    A node of more than `node` sets is split by the next minimum of its label, which
-    a pair at the threshold shares with that probability, and which it may meet in
-    another trie instead; a node whose whole label is shared is not split any more,
-    and its sets are linked to the least one."""
+    A node of more than `node` sets is split by the next minimum of its label; a node
+    whose whole label is shared is not split any more, and its sets are linked to the
+    least one. Pairs that a split parts are looked for by _remaining()."""
     place = sets.select("cls", "levels", F.posexplode("nodes").alias("p", "prefix"))
     place = place.select("cls", "prefix", (F.col("p") % TREES).alias("tree"), F.element_at("levels", (F.col("p") / TREES).cast("int") + 1).alias("depth"))
     bytes_of = sets.select(F.col("cls").alias("of"), "sketch")
-    found = None
+    found, whole = None, None
     while place is not None:
         met = place.groupBy("prefix").agg(F.count("*").alias("size"), F.min("cls").alias("least"), F.max("cls").alias("most")).where("least <> most")
         met = cut(met.select(F.col("prefix").alias("p"), "size", "least"), "met")
@@ -246,10 +249,51 @@ def meetings(sets: DataFrame, least: float, node: int = NODE) -> DataFrame:
         large = held.where((F.col("size") > node) & (F.col("depth") < MAX_DEPTH))
         place = None
         if large.limit(1).count():
+            whole = large.select("prefix", "cls") if whole is None else whole  # of the first round, before any split
             large = large.join(bytes_of, F.col("cls") == F.col("of"))
             label = F.substr("sketch", F.col("tree") * MAX_DEPTH + F.col("depth") + 1, F.lit(1))
             place = cut(large.select("cls", F.xxhash64("prefix", label).alias("prefix"), "tree", (F.col("depth") + 1).alias("depth")), "split")
-    return found.distinct()
+    if whole is None:
+        return found.distinct()
+    group = cut(components(found).select(F.col("node").alias("b"), F.col("root").alias("a")), "grouped")
+    return group.unionByName(_remaining(whole, bytes_of, group, least, node)).distinct()
+
+
+def _remaining(whole: DataFrame, bytes_of: DataFrame, group: DataFrame, least: float, block: int) -> DataFrame:
+    """b, a: candidate links between groups(b, a: set and root) under the nodes of whole(prefix, cls), exact by sketch.
+
+    A node's sets outside its largest group are compared with all of its sets, in
+    tasks of two blocks of about `block` sets; a node of one group has none."""
+    held = whole.join(group.select(F.col("b").alias("of"), "a"), F.col("cls") == F.col("of"), "left")
+    held = cut(held.select("prefix", "cls", F.coalesce("a", "cls").alias("root")), "large")
+    parts = held.groupBy("prefix", "root").agg(F.count("*").alias("n"))
+    plan = parts.groupBy(F.col("prefix").alias("p")).agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n")).where("n > most.n")
+    blocks = lambda n: F.ceil(n / F.lit(block)).cast("int")
+    plan = cut(plan.select("p", F.col("most.root").alias("main"), blocks(F.col("most.n")).alias("mains"), blocks(F.col("n") - F.col("most.n")).alias("rests")), "plan")
+    rows = held.join(plan, F.col("prefix") == F.col("p")).withColumn("inside", F.col("root") == F.col("main"))
+    rows = rows.withColumn("i", F.pmod(F.xxhash64("cls"), F.when(F.col("inside"), F.col("mains")).otherwise(F.col("rests"))).cast("int"))
+    i, upto = F.col("i"), lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    key = lambda kind, x, y: F.concat_ws(":", "prefix", F.lit(kind), x, y)
+    own = F.concat(F.transform(upto("rests"), lambda j: key("rest", F.least(i, j), F.greatest(i, j))), F.transform(upto("mains"), lambda j: key("main", i, j)))
+    tasks = F.when(F.col("inside"), F.transform(upto("rests"), lambda j: key("main", j, i))).otherwise(own)
+    rows = rows.join(bytes_of, F.col("cls") == F.col("of")).select("cls", "inside", "sketch", F.explode(tasks).alias("key"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("cls")
+        sketch = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), -1)
+        cls, inside = pdf["cls"].to_numpy(), pdf["inside"].to_numpy(bool)
+        if not inside.any():
+            first = near(sketch, least)
+            other = first != np.arange(len(cls))
+            return pd.DataFrame({"b": cls[other], "a": cls[first[other]]})
+        main, links = np.flatnonzero(inside), []
+        for k in np.flatnonzero(~inside):  # one link to the largest group is enough
+            ok = (sketch[main] == sketch[k]).mean(axis=1) >= least
+            if ok.any():
+                links.append((cls[k], cls[main[ok.argmax()]]))
+        return pd.DataFrame(links, columns=["b", "a"], dtype=np.int64)
+
+    return cut(rows.groupBy("key").applyInPandas(run, "b long, a long"), "remaining")
 
 
 def _count_links(sets: list[np.ndarray], copies: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:

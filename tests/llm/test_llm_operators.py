@@ -306,6 +306,32 @@ def test_large_nodes_are_split(docs, words, monkeypatch):
     assert split == full and rounds.count("split") >= 2
 
 
+def groups_of(links, ids):
+    root = {i: i for i in ids}
+    for b, a in links:
+        x, y = root[b], root[a]
+        root = {i: min(x, y) if r in (x, y) else r for i, r in root.items()}
+    return root
+
+
+def test_a_split_loses_no_candidates(spark):
+    """Sets that share one node and whose next minima differ: with small nodes the groups are those of all pairs."""
+    rng = np.random.default_rng(12)
+    base = rng.integers(0, 256, (5, 128)).astype(np.uint8)
+    sketches = base[np.r_[np.zeros(20, int), rng.integers(0, 5, 20), np.arange(40) % 5]].copy()
+    for n, row in enumerate(sketches):
+        row[rng.choice(np.arange(8, 128), 12 if n < 60 else 40, replace=False)] = 0
+        row[4:8] = rng.integers(0, 256, 4)  # the rest of the shared label
+    rows = [(n, [7, *range(1000 * n + 100, 1000 * n + 115)], [4], bytearray(s.tobytes())) for n, s in enumerate(sketches)]
+    sets = spark.createDataFrame(rows, "cls long, nodes array<long>, levels array<int>, sketch binary")
+    least = forest_join.agreement()
+    pairs = [(j, i) for i in range(80) for j in range(i + 1, 80) if (sketches[i] == sketches[j]).mean() >= least]
+    want = groups_of(pairs, range(80))
+    assert 5 <= len(set(want.values())) < 60
+    for node in (3, 9, 1024):
+        assert groups_of([(x["b"], x["a"]) for x in forest_join.meetings(sets, least, node).collect()], range(80)) == want, node
+
+
 def test_near_groups_of_sketches():
     rng = np.random.default_rng(5)
     base = rng.integers(0, 256, (4, 128)).astype(np.uint8)
