@@ -110,16 +110,17 @@ def rational(text: Column) -> Column:
 
 
 def gcd(a: Column, b: Column) -> Column:
-    """Greatest common divisor by a bounded fold: 64 divisions do for any two ints."""
+    """Greatest common divisor by a bounded fold: divisions are at most five for each digit of the smaller number (Lamé), and one that swaps."""
+    most = 5 * F.least(F.length(a.cast("string")), F.length(b.cast("string"))) + 1
     start = F.struct(a.cast("bigint").alias("x"), b.cast("bigint").alias("y"))
     step = lambda s, _: F.when(s["y"] == 0, s).otherwise(F.struct(s["y"].alias("x"), (s["x"] % F.nullif(s["y"], F.lit(0))).alias("y")))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(64)), start, step)["x"]
+    return F.aggregate(F.sequence(F.lit(1), most), start, step)["x"]
 
 
 def aspect_ratio(width: Column, height: Column) -> Column:
-    g = gcd(width, height)
-    whole = lambda x: F.floor(x / g)
-    return F.when((width > 0) & (height > 0), F.concat(whole(width).cast("string"), F.lit(":"), whole(height).cast("string")))
+    whole = lambda x, g: F.floor(x / g).cast("string")
+    text = F.get(F.transform(F.array(gcd(width, height)), lambda g: F.concat(whole(width, g), F.lit(":"), whole(height, g))), F.lit(0))  # g is computed once
+    return F.when((width > 0) & (height > 0), text)
 
 
 def midpoint(start: Column, end: Column) -> Column:

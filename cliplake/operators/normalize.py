@@ -91,21 +91,24 @@ def normalize(rows: DataFrame, payload: str = "payload", hint: str | None = None
 
 
 def probe_facts(rows: DataFrame, raw: str = "probe_json") -> DataFrame:
-    """Media facts from prober JSON: the first video stream, duration of the container before that of the stream; null struct if it isn't an object with one."""
-    v = S.parse_object(F.col(raw))
-    streams = F.filter(F.try_variant_get(v, "$.streams", "array<variant>"), lambda s: F.try_variant_get(s, "$.codec_type", "string") == "video")
-    video = F.get(streams, F.lit(0))
-    at = lambda k, t="string": F.try_variant_get(video, f"$.{k}", t)
-    rate = S.rational(at("avg_frame_rate"))
-    width, height = at("width").try_cast("int"), at("height").try_cast("int")
+    """Media facts from prober JSON: the first video stream, duration of the container before that of the stream; null struct if it isn't an object with one.
+
+    Parsed JSON, stream, size and rate are columns of their own, so that each is computed once a row."""
+    got = rows.withColumn("_v", F.try_parse_json(S.unfenced(F.col(raw))))
+    got = got.withColumn("_v", F.when(F.schema_of_variant("_v").startswith("OBJECT"), F.col("_v")))
+    streams = F.filter(F.try_variant_get("_v", "$.streams", "array<variant>"), lambda s: F.try_variant_get(s, "$.codec_type", "string") == "video")
+    got = got.withColumn("_video", F.get(streams, F.lit(0)))
+    at = lambda k, t="string": F.try_variant_get("_video", f"$.{k}", t)
+    got = got.withColumns({"_width": at("width").try_cast("int"), "_height": at("height").try_cast("int"), "_rate": at("avg_frame_rate")})
+    got = got.withColumn("_rate", S.rational(F.col("_rate")))
     facts = F.struct(
-        F.coalesce(F.try_variant_get(v, "$.format.duration", "string").try_cast("double"), at("duration").try_cast("double")).alias("duration_seconds"),
-        width.alias("width"),
-        height.alias("height"),
-        S.aspect_ratio(width, height).alias("aspect_ratio"),
-        rate["text"].alias("fps_text"),
-        rate["value"].alias("fps"),
+        F.coalesce(F.try_variant_get("_v", "$.format.duration", "string").try_cast("double"), at("duration").try_cast("double")).alias("duration_seconds"),
+        F.col("_width").alias("width"),
+        F.col("_height").alias("height"),
+        S.aspect_ratio(F.col("_width"), F.col("_height")).alias("aspect_ratio"),
+        F.col("_rate.text").alias("fps_text"),
+        F.col("_rate.value").alias("fps"),
         F.coalesce(at("nb_read_frames").try_cast("bigint"), at("nb_frames").try_cast("bigint")).alias("frame_count"),
         at("codec_name").alias("video_codec"),
     )
-    return rows.withColumn("media_facts", F.when(video.isNotNull(), facts))
+    return got.select(*[F.col(f"`{c}`") for c in rows.columns if c != "media_facts"], F.when(F.col("_video").isNotNull(), facts).alias("media_facts"))

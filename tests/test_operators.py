@@ -265,3 +265,16 @@ def test_stream(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() == 2
     batch = snapshots.growth(spark.read.parquet(f"{tmp_path}/in")).collect()[0]
     assert (batch["n"], batch["least"], batch["most"]) == (3, 1, 4)
+
+
+def parses(df) -> int:
+    return df._jdf.queryExecution().optimizedPlan().toString().lower().count("parsejson")
+
+
+def test_facts_are_parsed_once_a_row(spark, sf):
+    from cliplake.plans import catalogue
+
+    assert parses(catalogue.queries()["media_facts"](spark, sf)) == 1
+    sizes = spark.createDataFrame([(1080, 1920), (987, 610), (610, 987), (7, 7), (2147483647, 2), (0, 3), (None, 3)], "w int, h int")
+    got = [x[0] for x in sizes.select(S.aspect_ratio(F.col("w"), F.col("h"))).collect()]
+    assert got == ["9:16", "987:610", "610:987", "1:1", "2147483647:2", None, None]
