@@ -274,10 +274,13 @@ def _semantic(document: Column, name: str) -> list[Column]:
 
 def violations(document: Column, name: str, platform: str = PLATFORM) -> Column:
     """array<struct<path, message>> of a VARIANT document against a contract: those of its schema by path, then those of the rules over several fields."""
-    schema = validate.errors(document, load_schema(name, platform))
-    rules = F.filter(F.array(*_semantic(document, name)).cast("array<string>"), lambda m: m.isNotNull())
     cut = lambda m: F.struct(F.substring_index(m, ": ", 1).alias("path"), F.substr(m, F.locate(": ", m) + 2).alias("message"))
-    return F.transform(F.concat(schema, rules), cut)
+
+    def found(d: Column) -> Column:
+        rules = F.filter(F.array(*_semantic(d, name)).cast("array<string>"), lambda m: m.isNotNull())
+        return F.transform(F.concat(validate.errors(d, load_schema(name, platform)), rules), cut)
+
+    return validate.let(document, found)
 
 
 def require_valid(rows: DataFrame, document: str, name: str, platform: str = PLATFORM) -> DataFrame:
@@ -290,5 +293,4 @@ def require_valid(rows: DataFrame, document: str, name: str, platform: str = PLA
 
 def verdict(document: Column, name: str, platform: str = PLATFORM) -> Column:
     """struct(valid, errors)."""
-    found = violations(document, name, platform)
-    return F.struct((F.size(found) == 0).alias("valid"), found.alias("errors"))
+    return validate.let(violations(document, name, platform), lambda found: F.struct((F.size(found) == 0).alias("valid"), found.alias("errors")))

@@ -33,7 +33,7 @@ def _none() -> Column:
     return F.array().cast(_TEXTS)
 
 
-def _let(value: Column, body) -> Column:
+def let(value: Column, body) -> Column:
     """body(value), with value computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
@@ -44,7 +44,7 @@ def _known(messages: Column) -> Column:
 
 def _node(v: Column, body) -> Column:
     """body(value, kind) of a VARIANT, each computed once; kind is null where the value is missing."""
-    return _let(F.struct(v.alias("v"), F.schema_of_variant(v).alias("k")), lambda s: body(s["v"], s["k"]))
+    return let(v, lambda x: let(F.schema_of_variant(x), lambda k: body(x, k)))
 
 
 def _messages(v: Column, kind: Column, schema: dict, path: str, root: dict) -> Column:
@@ -93,23 +93,33 @@ def _messages(v: Column, kind: Column, schema: dict, path: str, root: dict) -> C
     if "exclusiveMinimum" in schema:
         fail(is_number & (number <= schema["exclusiveMinimum"]), f"not more than {schema['exclusiveMinimum']}")
     if any(k in schema for k in ("minItems", "maxItems", "uniqueItems", "items")):
-        more.append(F.when(is_list, _let(F.try_variant_get(v, "$", "array<variant>"), lambda items: _list_messages(items, schema, path, root))).otherwise(_none()))
+        more.append(F.when(is_list, let(F.try_variant_get(v, "$", "array<variant>"), lambda items: _list_messages(items, schema, path, root))).otherwise(_none()))
     is_object = kind.startswith("OBJECT")
     props = schema.get("properties", {})
-    if schema.get("required") or schema.get("additionalProperties") is False:
-
-        def by_key(keys: Column) -> Column:
-            out = [F.when(~F.array_contains(keys, name), F.lit(f"{path}: lacks {name}")) for name in schema.get("required", [])]
-            if schema.get("additionalProperties") is False:
-                extra = F.array_except(keys, F.array(*[F.lit(k) for k in props]).cast(_TEXTS))
-                out.append(F.when(F.size(extra) > 0, F.concat(F.lit(f"{path}: does not allow "), F.array_join(F.array_sort(extra), ", "))))
-            return F.array(*out).cast(_TEXTS)
-
-        more.append(F.when(is_object, _let(F.map_keys(F.try_variant_get(v, "$", "map<string,variant>")), by_key)).otherwise(_none()))
-    for name, sub in props.items():
-        step = f".{name}" if _NAME.match(name) else f'["{name}"]'
-        child = _node(F.try_variant_get(v, "$" + step, "variant"), lambda x, k, sub=sub, step=step: _messages(x, k, sub, path + step, root))
-        more.append(F.when(is_object, child).otherwise(_none()))
+    required = schema.get("required", [])
+    away, closed = [n for n in required if n not in props], schema.get("additionalProperties") is False
+
+    def children(take) -> list[Column]:
+        out = []
+        for name, sub in props.items():
+            step = f".{name}" if _NAME.match(name) else f'["{name}"]'
+            none = F.array(F.lit(f"{path}: lacks {name}")) if name in required else _none()
+            out.append(_node(take(name, step), lambda x, k, sub=sub, step=step, none=none: F.when(k.isNull(), none).otherwise(_messages(x, k, sub, path + step, root))))
+        return out
+
+    def by_key(fields: Column) -> Column:
+        keys = F.map_keys(fields)
+        out = [F.when(~F.array_contains(keys, name), F.lit(f"{path}: lacks {name}")) for name in away]
+        if closed:
+            extra = F.filter(keys, lambda x: ~x.isin(*props)) if props else keys
+            said = lambda e: F.when(F.size(e) > 0, F.concat(F.lit(f"{path}: does not allow "), F.array_join(F.array_sort(e), ", ")))
+            out.append(let(extra, said))
+        return F.concat(F.array(*out).cast(_TEXTS), *children(lambda name, step: F.try_element_at(fields, F.lit(name))))
+
+    if away or closed:  # a value of a map is taken out once, with its keys
+        more.append(F.when(is_object, let(F.try_variant_get(v, "$", "map<string,variant>"), by_key)).otherwise(_none()))
+    elif props:
+        more.append(F.when(is_object, F.concat(*children(lambda name, step: F.try_variant_get(v, "$" + step, "variant")))).otherwise(_none()))
     for sub in schema.get("allOf", []):
         if "if" in sub:
             holds = F.size(_known(_messages(v, kind, sub["if"], path, root))) == 0
@@ -137,14 +147,17 @@ def _list_messages(items: Column, schema: dict, path: str, root: dict) -> Column
         first = lambda x, i: F.struct(i.alias("i"), F.get(_known(_node(x, lambda v, k: _messages(v, k, schema["items"], "$", root))), F.lit(0)).alias("m"))
         bad = F.filter(F.transform(items, first), lambda e: e["m"].isNotNull())
         one = F.get(bad, F.lit(0))
-        out.append(F.when(F.size(bad) > 0, _let(one, lambda e: F.concat(F.lit(f"{path}["), e["i"].cast("string"), F.lit("]"), F.substr(e["m"], F.lit(2))))))
+        out.append(F.when(F.size(bad) > 0, let(one, lambda e: F.concat(F.lit(f"{path}["), e["i"].cast("string"), F.lit("]"), F.substr(e["m"], F.lit(2))))))
     return F.array(*out).cast(_TEXTS)
 
 
 def errors(document: Column, schema: dict) -> Column:
     """Sorted messages of a VARIANT document; empty if it is valid. A null document is one error."""
-    found = F.array_sort(_known(_node(document, lambda v, k: _messages(v, k, schema, "$", schema))))
-    return F.when(document.isNull(), F.array(F.lit("$: not a JSON document"))).otherwise(found)
+
+    def found(v: Column, kind: Column) -> Column:
+        return F.when(v.isNull(), F.array(F.lit("$: not a JSON document"))).otherwise(F.array_sort(_known(_messages(v, kind, schema, "$", schema))))
+
+    return _node(document, found)
 
 
 def first_error(found: Column) -> Column:

@@ -278,3 +278,13 @@ def test_facts_are_parsed_once_a_row(spark, sf):
     sizes = spark.createDataFrame([(1080, 1920), (987, 610), (610, 987), (7, 7), (2147483647, 2), (0, 3), (None, 3)], "w int, h int")
     got = [x[0] for x in sizes.select(S.aspect_ratio(F.col("w"), F.col("h"))).collect()]
     assert got == ["9:16", "987:610", "610:987", "1:1", "2147483647:2", None, None]
+
+
+def test_documents_are_parsed_once_a_row(spark, sf):
+    from cliplake.plans import catalogue
+
+    assert parses(catalogue.queries()["contract_verdicts"](spark, sf)) == 1
+    schema = {"type": "object", "required": ["a", "z"], "additionalProperties": False, "properties": {"a": {"type": ["integer", "null"]}, "b": {"type": "object", "required": ["c"], "properties": {"c": {"type": "string"}}}}}
+    rows = spark.createDataFrame([('{"a":null,"b":{"c":null},"z":1}',), ('{"b":{"d":1}}',), ("[1]",), (None,)], "j string")
+    got = [x[0] for x in rows.select(validate.errors(F.parse_json("j"), schema)).collect()]
+    assert got == [["$.b.c: expected string", "$: does not allow z"], ["$.b: lacks c", "$: lacks a", "$: lacks z"], ["$: expected object"], ["$: not a JSON document"]]
