@@ -332,6 +332,29 @@ def test_a_split_loses_no_candidates(spark):
         assert groups_of([(x["b"], x["a"]) for x in forest_join.meetings(sets, least, node).collect()], range(80)) == want, node
 
 
+def test_the_pipeline_drops_near_copies_that_a_split_parts(docs, words, monkeypatch):
+    """All sets share one node of the forest only, and no minimum after it."""
+    import corpus_pipeline
+
+    rows = []
+    for g in range(5):
+        base = words(120)
+        rows += [(10 * g, " ".join(base)), (10 * g + 1, " ".join([*base[:60], f"other{g}", *base[61:]]))]
+    real = forest_join.sets_of
+
+    def crowded(*a):
+        own = F.unhex(F.lpad(F.hex(F.abs(F.hash("cls")).cast("long")), 8, "0"))
+        alone = F.transform(F.sequence(F.lit(1), F.lit(15)), lambda i: F.xxhash64("cls", i))
+        sketch = F.concat(F.substring("sketch", 1, 4), own, F.substring("sketch", 9, 120))
+        return real(*a).withColumns({"nodes": F.concat(F.array(F.lit(7).cast("long")), alone), "levels": F.array(F.lit(4)), "sketch": sketch})
+
+    monkeypatch.setattr(forest_join, "sets_of", crowded)
+    monkeypatch.setattr(forest_join.meetings, "__defaults__", (3,))
+    df = docs(rows)
+    got = corpus_pipeline.ngram_jaccard(df.sparkSession, df, "")
+    assert sorted(x["doc_id"] for x in got.collect()) == [0, 10, 20, 30, 40]
+
+
 def test_near_groups_of_sketches():
     rng = np.random.default_rng(5)
     base = rng.integers(0, 256, (4, 128)).astype(np.uint8)
