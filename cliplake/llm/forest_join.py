@@ -24,8 +24,8 @@ pairs. Large groups are cut into size bands (similar sets differ little in size)
 and blocks, of BLOCK_SETS sets at most; a task holds two blocks. Pairs are counted
 inside a task and leave it as one row per set. A node's members meet as sketches of
 a byte a minimum; of a large node, those outside its largest group of candidates
-meet all others in blocks of NODE, in bounded memory, at worst with the square of
-such a node's size. Text moves once to meet its group,
+meet all others in blocks of MANY * NODE at most, in bounded memory, at worst with
+the square of such a node's size. Text moves once to meet its group,
 and again only for sets that have candidates: once for each block of its group,
 so that a group of M sets moves SPREAD or M / BLOCK_SETS times its text.
 """
@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, keyed, mark, maybe_in, sweep
+from .common import cut, keyed, mark, maybe_in, small, sweep
 from .graph import components
 
 SHINGLE = 5
@@ -52,6 +52,8 @@ MAX_DEPTH = 8
 RECALL = 0.999
 #: Most sets that meet under a node; larger ones are split.
 NODE = 1024
+#: Blocks of what a split leaves apart hold so many times NODE sketches at most, and fewer until there are so many PARTS.
+MANY, PARTS = 16, 8
 #: A pair at the threshold agrees less than by so many deviations once in 3 million.
 SIGMAS = 5.0
 #: Most sets in a block, and most runs.
@@ -174,20 +176,29 @@ def agreement(threshold: float = THRESHOLD) -> float:
     return threshold - SIGMAS * float(np.sqrt(threshold * (1 - threshold) / minima))
 
 
+def agree(sketches: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Share of equal bytes of each sketch and the other one, or its own other one; sketches of whole eights of bytes, below 256."""
+    words = (sketches == other).view(np.uint64).sum(axis=1)  # eight counts, a byte each
+    return ((words * np.uint64(0x0101010101010101)) >> np.uint64(56)) / sketches.shape[1]
+
+
 def near(sketches: np.ndarray, least: float) -> np.ndarray:
     """For each set the index of the first set of its group: sets that agree in the share `least` of their sketch's bytes, and those connected by such."""
     k = len(sketches)
     first = np.full(k, -1, np.int64)
+    rest, held = np.arange(k), sketches
     for i in range(k):
         if first[i] >= 0:
             continue
         first[i], front = i, [i]
-        rest = np.flatnonzero(first < 0)
+        at = np.searchsorted(rest, i, side="right")
+        rest, held = rest[at:], held[at:]  # views: sets without partners are not copied
         while front and len(rest):
-            ok = (sketches[rest] == sketches[front.pop()]).mean(axis=1) >= least
-            first[rest[ok]] = i
-            front += rest[ok].tolist()
-            rest = rest[~ok]
+            ok = agree(held, sketches[front.pop()]) >= least
+            if ok.any():
+                first[rest[ok]] = i
+                front += rest[ok].tolist()
+                rest, held = rest[~ok], held[~ok]
     return first
 
 
@@ -201,7 +212,7 @@ def _candidates(held: DataFrame, least: float) -> DataFrame:
             begin = np.flatnonzero(np.r_[True, prefix[1:] != prefix[:-1]])
             size = np.diff(np.r_[begin, len(prefix)])
             two = begin[size == 2]
-            two = two[(sketch[two] == sketch[two + 1]).mean(axis=1) >= least]
+            two = two[agree(sketch[two], sketch[two + 1]) >= least]
             b, a = [cls[two + 1]], [cls[two]]
             for at, k in zip(begin[size > 2].tolist(), size[size > 2].tolist()):
                 own = cls[at : at + k]
@@ -228,12 +239,28 @@ def _candidates(held: DataFrame, least: float) -> DataFrame:
     return rows.mapInArrow(run, "b long, a long")
 
 
+def _to_least(held: DataFrame, bytes_of: DataFrame, share: float) -> DataFrame:
+    """b, a: of held(cls, least: the least set of its node), those that are candidates of the least one, linked to it."""
+    pairs = held.where("cls <> least").select("cls", "least").distinct()
+    first = pairs.select("least").distinct().join(bytes_of, F.col("least") == F.col("of")).select(F.col("least").alias("l"), F.col("sketch").alias("other"))
+    rows = pairs.join(bytes_of, F.col("cls") == F.col("of")).join(small(first), F.col("least") == F.col("l")).select("cls", "least", "sketch", "other")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                own, other = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(b.num_rows, -1) for k in (2, 3))
+                ok = pa.array(agree(own, other) >= share)
+                yield pa.RecordBatch.from_arrays([b.column(0).filter(ok), b.column(1).filter(ok)], names=["b", "a"])
+
+    return rows.mapInArrow(run, "b long, a long")
+
+
 def meetings(sets: DataFrame, least: float, node: int = NODE) -> DataFrame:
     """b, a: candidate links among sets(cls, nodes, levels, sketch), enough to connect all candidates.
 
     A node of more than `node` sets is split by the next minimum of its label; a node
-    whose whole label is shared is not split any more, and its sets are linked to the
-    least one. Pairs that a split parts are looked for by _remaining()."""
+    whose whole label is shared is not split any more, and candidates of its least set
+    are linked to that. Pairs that this leaves apart are looked for by _remaining()."""
     place = sets.select("cls", "levels", F.posexplode("nodes").alias("p", "prefix"))
     place = place.select("cls", "prefix", (F.col("p") % TREES).alias("tree"), F.element_at("levels", (F.col("p") / TREES).cast("int") + 1).alias("depth"))
     bytes_of = sets.select(F.col("cls").alias("of"), "sketch")
@@ -243,16 +270,17 @@ def meetings(sets: DataFrame, least: float, node: int = NODE) -> DataFrame:
         met = cut(met.select(F.col("prefix").alias("p"), "size", "least"), "met")
         held = cut(place.join(met, F.col("prefix") == F.col("p")).drop("p"), "held")
         few = held.where(F.col("size") <= node).join(bytes_of, F.col("cls") == F.col("of"))
-        links = _candidates(few, least).unionByName(held.where((F.col("size") > node) & (F.col("depth") >= MAX_DEPTH) & (F.col("cls") != F.col("least"))).select(F.col("cls").alias("b"), F.col("least").alias("a")))
-        links = cut(links.distinct(), "meetings")
-        found = links if found is None else found.unionByName(links)
-        large = held.where((F.col("size") > node) & (F.col("depth") < MAX_DEPTH))
-        place = None
+        large = held.where(F.col("size") > node)
+        links, place = _candidates(few, least), None
         if large.limit(1).count():
             whole = large.select("prefix", "cls") if whole is None else whole  # of the first round, before any split
-            large = large.join(bytes_of, F.col("cls") == F.col("of"))
+            links = links.unionByName(_to_least(large.where(F.col("depth") >= MAX_DEPTH), bytes_of, least))
+            large = large.where(F.col("depth") < MAX_DEPTH).join(bytes_of, F.col("cls") == F.col("of"))
             label = F.substr("sketch", F.col("tree") * MAX_DEPTH + F.col("depth") + 1, F.lit(1))
             place = cut(large.select("cls", F.xxhash64("prefix", label).alias("prefix"), "tree", (F.col("depth") + 1).alias("depth")), "split")
+            place = place if place.limit(1).count() else None
+        links = cut(links.distinct(), "meetings")
+        found = links if found is None else found.unionByName(links)
     if whole is None:
         return found.distinct()
     group = cut(components(found).select(F.col("node").alias("b"), F.col("root").alias("a")), "grouped")
@@ -263,12 +291,12 @@ def _remaining(whole: DataFrame, bytes_of: DataFrame, group: DataFrame, least: f
     """b, a: candidate links between groups(b, a: set and root) under the nodes of whole(prefix, cls), exact by sketch.
 
     A node's sets outside its largest group are compared with all of its sets, in
-    tasks of two blocks of about `block` sets; a node of one group has none."""
+    tasks of two blocks of about MANY * `block` sets at most; a node of one group has none."""
     held = whole.join(group.select(F.col("b").alias("of"), "a"), F.col("cls") == F.col("of"), "left")
     held = cut(held.select("prefix", "cls", F.coalesce("a", "cls").alias("root")), "large")
     parts = held.groupBy("prefix", "root").agg(F.count("*").alias("n"))
     plan = parts.groupBy(F.col("prefix").alias("p")).agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n")).where("n > most.n")
-    blocks = lambda n: F.ceil(n / F.lit(block)).cast("int")
+    blocks = lambda n: F.greatest(F.ceil(n / F.lit(MANY * block)), F.least(F.lit(PARTS), F.ceil(n / F.lit(block)))).cast("int")
     plan = cut(plan.select("p", F.col("most.root").alias("main"), blocks(F.col("most.n")).alias("mains"), blocks(F.col("n") - F.col("most.n")).alias("rests")), "plan")
     rows = held.join(plan, F.col("prefix") == F.col("p")).withColumn("inside", F.col("root") == F.col("main"))
     rows = rows.withColumn("i", F.pmod(F.xxhash64("cls"), F.when(F.col("inside"), F.col("mains")).otherwise(F.col("rests"))).cast("int"))
@@ -286,11 +314,11 @@ def _remaining(whole: DataFrame, bytes_of: DataFrame, group: DataFrame, least: f
             first = near(sketch, least)
             other = first != np.arange(len(cls))
             return pd.DataFrame({"b": cls[other], "a": cls[first[other]]})
-        main, links = np.flatnonzero(inside), []
+        main, of, links = sketch[inside], cls[inside], []
         for k in np.flatnonzero(~inside):  # one link to the largest group is enough
-            ok = (sketch[main] == sketch[k]).mean(axis=1) >= least
+            ok = agree(main, sketch[k]) >= least
             if ok.any():
-                links.append((cls[k], cls[main[ok.argmax()]]))
+                links.append((cls[k], of[ok.argmax()]))
         return pd.DataFrame(links, columns=["b", "a"], dtype=np.int64)
 
     return cut(rows.groupBy("key").applyInPandas(run, "b long, a long"), "remaining")
@@ -353,9 +381,11 @@ def _verify(threshold: float):
     return run
 
 
-def _groups(members: DataFrame) -> DataFrame:
-    """members (cls, root, n, copies) -> a row per set and task: key, side (0 first block, 1 second, 2 the only one)."""
-    ratio = float(np.log(1.25))
+def _groups(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """members (cls, root, n, copies) -> a row per set and task: key, side (0 first block, 1 second, 2 the only one).
+
+    Sizes of linked sets differ by 1 / threshold at most, so that they lie in one band or in neighbours."""
+    ratio = float(-np.log(min(threshold, THRESHOLD)))
     members = members.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / ratio + 1e-9).cast("int"))
     bands = members.groupBy("root", "band").agg(F.count("*").alias("sets"), F.sum("n").alias("grams"))
     total = bands.groupBy("root").agg(F.sum("sets").alias("sets"), F.sum("grams").alias("grams"))
@@ -394,7 +424,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECAL
     star = meetings(sets, agreement(threshold))
     group = components(star)
     members = cut(sets.drop("nodes", "levels", "sketch").join(group, F.col("cls") == F.col("node")).select("cls", "root", "n", "copies", "row_hash"), "members")
-    tasks = _groups(members)
+    tasks = _groups(members, threshold)
     text = maybe_in(keyed(docs), "row_hash", members, "row_hash").select(F.col("row_hash").alias("h"), "text")
     text = members.select("cls", "row_hash").join(text, F.col("row_hash") == F.col("h")).groupBy("cls").agg(F.first("text").alias("text"))
     text = cut(text.select(F.col("cls").alias("c"), "text"), "texts")

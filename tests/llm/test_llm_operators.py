@@ -332,6 +332,33 @@ def test_a_split_loses_no_candidates(spark):
         assert groups_of([(x["b"], x["a"]) for x in forest_join.meetings(sets, least, node).collect()], range(80)) == want, node
 
 
+def test_a_whole_label_alone_makes_no_candidates(spark):
+    """Sets that share all minima of one label, of more than a node may hold: the groups are those of all pairs, the least set being in none."""
+    rng = np.random.default_rng(31)
+    sketches = rng.integers(0, 256, (40, 128)).astype(np.uint8)
+    sketches[20:] = sketches[1 + np.arange(20) % 7]
+    for row in sketches[20:]:
+        row[rng.choice(np.arange(8, 128), 15, replace=False)] = 0
+    sketches[:, :8] = 9
+    least = forest_join.agreement()
+    want = groups_of([(j, i) for i in range(40) for j in range(i + 1, 40) if (sketches[i] == sketches[j]).mean() >= least], range(40))
+    assert len(set(want.values())) == 20
+    for levels, first in (([8], 7), ([4], 8)):
+        rows = [(n, [first, *range(1000 * n + 100, 1000 * n + 115)], levels, bytearray(s.tobytes())) for n, s in enumerate(sketches)]
+        sets = spark.createDataFrame(rows, "cls long, nodes array<long>, levels array<int>, sketch binary")
+        assert groups_of([(x["b"], x["a"]) for x in forest_join.meetings(sets, least, 3).collect()], range(40)) == want, levels
+
+
+def test_sets_of_other_sizes_are_partners_at_lower_thresholds(docs, words):
+    """A group of more sets than one task compares, of sizes as far apart as the threshold allows."""
+    base = words(400)
+    rows = [(n, " ".join(base[: 210 + 2 * n])) for n in range(90)]
+    size = [210 + 2 * n - 4 for n, _ in rows]
+    want = {n: sum(min(x, y) >= 0.5 * max(x, y) for y in size) - 1 for n, x in enumerate(size)}
+    got = {x["doc_id"]: x["n_links"] for x in forest_join.classes(docs(rows), threshold=0.5).collect()}
+    assert got == want
+
+
 def test_the_pipeline_drops_near_copies_that_a_split_parts(docs, words, monkeypatch):
     """All sets share one node of the forest only, and no minimum after it."""
     import corpus_pipeline
