@@ -43,13 +43,12 @@ def content_cuts(spark, sf):
 WITH m AS (SELECT 2 * vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings UNION ALL SELECT 2 * vec_id + 1, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(x * 8 + 0.5) / 8) FROM embeddings)
 SELECT a.id AS a, b.id AS b, round(list_cosine_similarity(a.v, b.v), 6) AS cosine FROM m a JOIN m b ON a.id < b.id WHERE list_cosine_similarity(a.v, b.v) >= {NEAR}""")
 def near_duplicate_media(spark, sf):
-    """Every medium and a copy that was encoded again, coarsely. Copies that became equal have their pairs, too; one pair at the threshold in a million may be missed."""
-    v = F.col("embedding").cast("array<double>")
+    """Every medium and a copy that was encoded again, coarsely: all pairs, those of copies that became equal, too."""
     rows = _t(spark, sf, "embeddings")
-    again = rows.select((2 * F.col("vec_id") + 1).alias("id"), F.transform(v, lambda x: F.floor(x * 8 + 0.5) / F.lit(8.0)).alias("v"))
-    both = rows.select((2 * F.col("vec_id")).alias("id"), v.alias("v")).unionByName(again)
-    pairs = neighbours.near_pairs(both, "id", "v", NEAR, recall=0.999999)
-    return neighbours.row_pairs(pairs, both, "id", "v").withColumn("cosine", F.round("cosine", 6))
+    v, kind = F.col("embedding").cast("array<double>"), "array<float>" if dict(rows.dtypes)["embedding"] == "array<float>" else "array<double>"  # floats and their eighths are exact as floats
+    again = rows.select((2 * F.col("vec_id") + 1).alias("id"), F.transform(v, lambda x: F.floor(x * 8 + 0.5) / F.lit(8.0)).cast(kind).alias("v"))
+    both = rows.select((2 * F.col("vec_id")).alias("id"), F.col("embedding").cast(kind).alias("v")).unionByName(again)
+    return neighbours.all_pairs(both, "id", "v", NEAR).withColumn("cosine", F.round("cosine", 6))
 
 
 @query("""

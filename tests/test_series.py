@@ -157,6 +157,69 @@ def test_copies_have_their_pairs(spark, tmp_path):
     assert sum(x[2] == 1 for x in want) > 30 and sorted(got) == sorted(want)
 
 
+def test_all_pairs_in_blocks(spark, monkeypatch):
+    """Blocks of few vectors, more copies than an entry holds, lengths, and keys that are texts."""
+    r = random.Random(4)
+    base = [[r.gauss(0, 1) for _ in range(24)] for _ in range(200)]
+    rows = [(f"k{i:03d}", v) for i, v in enumerate(base)] + [(f"m{i:03d}", [x + r.gauss(0, 0.3) for x in base[i % 200]]) for i in range(300)]
+    rows += [(f"c{i:03d}", [1e200 * x for x in base[7]] if i % 2 else base[7]) for i in range(40)] + [(f"s{i}", base[9][:23]) for i in range(3)]
+    odd = [(None, base[3]), ("o1", None), ("o2", [0.0] * 24), ("o3", [float("nan")] * 24), ("o4", []), ("o5", [None, *base[7][1:]]), ("k000", [2 * x for x in base[0]])]
+    monkeypatch.setattr(neighbours, "BLOCK_BYTES", 10_000)
+    monkeypatch.setattr(neighbours, "COPIES", 3)
+    got = neighbours.all_pairs(spark.createDataFrame(rows + odd, "id string, v array<double>"), "id", "v", 0.95).collect()
+    brute = {}
+    for n in (23, 24):
+        ids, x = zip(*[(i, np.array(v) / max(map(abs, v))) for i, v in [*rows, *odd[-1:]] if len(v) == n])
+        u = np.array(x) / np.linalg.norm(x, axis=1, keepdims=True)
+        g = u @ u.T
+        for i, j in zip(*np.nonzero(np.triu(g >= 0.95, 1))):
+            if ids[i] != ids[j]:
+                brute.setdefault((min(ids[i], ids[j]), max(ids[i], ids[j])), []).append(g[i, j])
+    assert sum(map(len, brute.values())) == len(got) > 1000 and {(x["a"], x["b"]) for x in got} == set(brute)
+    assert all(abs(x["cosine"] - brute[x["a"], x["b"]][0]) < 1e-9 for x in got)
+    assert neighbours.all_pairs(spark.createDataFrame([], "id string, v array<double>"), "id", "v", 0.95).count() == 0
+
+
+def test_cosines_are_found_across_tiles():
+    r = np.random.default_rng(3)
+    x = r.normal(size=(2_500, 4))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for y, same in ((x, True), (x[:2_100], False)):
+        got = [z for p, q, _ in neighbours._met(x, y, same, 0.99) for z in zip(p.tolist(), q.tolist())]
+        g = u @ u[: len(y)].T >= 0.99
+        want = {*zip(*(z.tolist() for z in np.nonzero(np.triu(g, 1) if same else g)))}
+        assert len(got) == len(want) > 1_000 and set(got) == want
+
+
+@pytest.mark.parametrize("groups", [3, 700])
+def test_the_bound_of_few_coordinates_loses_no_pair(groups):
+    """Few pairs, so that the bound holds on, and many, so that all coordinates are taken; cosines on either side of the threshold."""
+    r = np.random.default_rng(groups)
+    x = r.normal(size=(groups, 64))[np.arange(1_500) % groups] + r.normal(size=(1_500, 64)) * r.uniform(0, 0.6, size=(1_500, 1))
+    assert neighbours._short(64, 0.9) < 0.6 * 64 < neighbours._short(64, 0.5)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for y, same in ((x, True), (x[:1_100], False)):
+        got = [z for p, q, _ in neighbours._met(x, y, same, 0.9) for z in zip(p.tolist(), q.tolist())]
+        g = u @ u[: len(y)].T >= 0.9
+        want = {*zip(*(z.tolist() for z in np.nonzero(np.triu(g, 1) if same else g)))}
+        assert len(got) == len(want) > 300 and set(got) == want
+
+
+def test_near_duplicate_media_shuffles_vectors_only(spark):
+    """Not each vector once a table, nor pairs that only met by chance."""
+    from cliplake.plans import catalogue
+
+    def shuffled():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        jvm, store = spark.sparkContext._jvm, spark.sparkContext._jsc.sc().statusStore()
+        stages = store.stageList(jvm.java.util.ArrayList(), False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    before = shuffled()
+    assert catalogue.queries()["near_duplicate_media"](spark, "/root/testdata/sf0.001").count() == 500
+    assert 0 < shuffled() - before < 4 * 2 * 500 * 64 * 4
+
+
 def test_tables_follow_threshold_and_recall():
     assert neighbours.tables(1.0, 0.999, 12) == 1
     for t, recall, bits in ((0.9, 0.99, 8), (0.8, 0.9, 12)):
